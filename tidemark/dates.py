@@ -81,12 +81,12 @@ class Interval:
         return F.date_sub(day, self.amount * (7 if self.unit == "week" else 1))
 
 
-def date_structs(rows: Sequence[dict[str, date]]) -> Column:
+def date_structs(rows: Sequence[dict[str, date | None]]) -> Column:
     """Literal array of structs, one per as-of date; its length is the number of dates."""
-    return F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in row.items()]) for row in rows])
+    return F.array(*[F.struct(*[F.lit(v).cast("date").alias(k) for k, v in row.items()]) for row in rows])
 
 
-def explode_dates(rows: Sequence[dict[str, date]], keep) -> Column:
+def explode_dates(rows: Sequence[dict[str, date | None]], keep) -> Column:
     """Explode to the as-of structs for which ``keep(struct)`` holds.
 
     This turns "event within a window of as-of date" into a narrow step, so that what follows

@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from tidemark.dates import Interval, date_structs, explode_dates, to_date
 
 KEYS = ["entity_id", "as_of_date"]
-FIRST_DAY = date(1, 1, 1)
 
 
 @dataclass(frozen=True)
@@ -118,6 +117,11 @@ def _prepared(source: DataFrame, spec: FeatureSource) -> DataFrame:
     return rows.withColumn("_day", known).where(F.col("entity_id").isNotNull() & F.col("_day").isNotNull())
 
 
+def _first_after(window: Column, day: Column) -> Column:
+    """No earlier as-of date also lies after the day."""
+    return window["prev"].isNull() | (window["prev"] <= day)
+
+
 def _pieces(spec: FeatureSource) -> tuple[dict, dict]:
     """Primitive aggregates that the features are made of: bounded ones by interval, and running ones."""
     bounded: dict[str, tuple[str, Column, Interval]] = {}
@@ -163,11 +167,11 @@ def aggregate_features(
         longest = spans[min(spans)] if spans else None
         dates = [
             {"as_of": d, "prev": p, "lo": longest.before(d) if longest else d}
-            for p, d in zip([FIRST_DAY, *days], days)
+            for p, d in zip([None, *days], days)
         ]
         day = F.col("_day")
         if running:
-            keep = lambda s: (s["as_of"] > day) & ((s["lo"] <= day) | (s["prev"] <= day))
+            keep = lambda s: (s["as_of"] > day) & ((s["lo"] <= day) | _first_after(s, day))
         else:
             keep = lambda s: (s["as_of"] > day) & (s["lo"] <= day)
         inputs = {n: v for n, (_, v, _) in bounded.items()} | {n: v for n, (_, v) in running.items()}
@@ -184,7 +188,7 @@ def aggregate_features(
         as_of = F.col("_w.as_of")
         parts = [
             F.when(day >= iv.before_col(as_of), F.col(n)).alias(n) for n, (_, _, iv) in bounded.items()
-        ] + [F.when(F.col("_w.prev") <= day, F.col(n)).alias(n) for n in running]
+        ] + [F.when(_first_after(F.col("_w"), day), F.col(n)).alias(n) for n in running]
         rows = fanned.select("entity_id", as_of.alias("as_of_date"), *parts, F.lit(None).cast("boolean").alias("_key"))
         rows = rows.unionByName(keys.withColumn("_key", F.lit(True)), allowMissingColumns=True)
         merged = rows.groupBy(*KEYS).agg(
@@ -228,7 +232,7 @@ def mode_features(
     (-count, value).
     """
     days = sorted({to_date(d) for d in as_of_dates})
-    dates = [{"as_of": d, "prev": p} for p, d in zip([FIRST_DAY, *days], days)]
+    dates = [{"as_of": d, "prev": p} for p, d in zip([None, *days], days)]
     keys = cohort.select(*KEYS).distinct()
     values = F.array(
         *[
@@ -237,7 +241,7 @@ def mode_features(
         ]
     )
     day = F.col("_day")
-    first = F.filter(date_structs(dates), lambda s: (s["as_of"] > day) & (s["prev"] <= day))
+    first = F.filter(date_structs(dates), lambda s: (s["as_of"] > day) & _first_after(s, day))
     counts = (
         _prepared(source, spec)
         .where(day < F.lit(days[-1]))

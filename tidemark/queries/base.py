@@ -54,7 +54,7 @@ DATES = fo.all_dates(FOLDS)
 HORIZON = TEMPORAL.months_future
 BACK = "3 months"
 
-ASOF = "asof(as_of_date) AS (VALUES " + ", ".join(f"(DATE '{d}')" for d in DATES) + ")"
+ASOF = "dates_(as_of_date) AS (VALUES " + ", ".join(f"(DATE '{d}')" for d in DATES) + ")"
 FOLD_ROWS = (
     "folds(fold_id, role, as_of_date) AS (VALUES "
     + ", ".join(
@@ -132,7 +132,7 @@ EXITS = f"""ex AS (
 COHORT = f"""{ASOF}, {EVENTS}, {EXITS}, newest AS (
   SELECT entity_id, as_of_date, source,
          row_number() OVER (PARTITION BY entity_id, as_of_date ORDER BY event_date DESC, source DESC) AS rn
-  FROM ev JOIN asof ON event_date >= as_of_date - INTERVAL 3 MONTH AND event_date <= as_of_date
+  FROM ev JOIN dates_ ON event_date >= as_of_date - INTERVAL 3 MONTH AND event_date <= as_of_date
   WHERE source NOT IN ('returns')
 ), cohort AS (
   SELECT entity_id, as_of_date,
