@@ -83,7 +83,9 @@ class Interval:
 
 def date_structs(rows: Sequence[dict[str, date | None]]) -> Column:
     """Literal array of structs, one per as-of date; its length is the number of dates."""
-    return F.array(*[F.struct(*[F.lit(v).cast("date").alias(k) for k, v in row.items()]) for row in rows])
+    text = lambda v: "cast(null as date)" if v is None else f"date'{v}'"
+    structs = ["named_struct(" + ", ".join(f"'{k}', {text(v)}" for k, v in row.items()) + ")" for row in rows]
+    return F.expr(f"array({', '.join(structs)})")
 
 
 def explode_dates(rows: Sequence[dict[str, date | None]], keep) -> Column:

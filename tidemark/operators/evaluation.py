@@ -49,45 +49,45 @@ def precision_recall_at_k(predictions: DataFrame, k: int, segment: str | None =
 def evaluation_rows(predictions: DataFrame, k: int, segment_ks: Mapping[str, int], overall: bool = True) -> DataFrame:
     """Long evaluation table: per segment at its k, overall at k, and precision at the last k.
 
-    One aggregate over the predictions; the overall rows come from the per-segment sums. With
-    ``overall=False`` (a model of one segment) the last-k precision is the segment's.
+    One aggregate over the predictions gives every sum; its row per model and date is then laid
+    out long. With ``overall=False`` (models of one segment) the last-k precision is the segment's.
     """
     label = F.col("label")
-    bounds = F.lit(None).cast("int")
-    for segment, limit in segment_ks.items():
-        bounds = F.when(F.col("segment") == segment, limit).otherwise(bounds)
-    per_segment = predictions.groupBy(*MODEL_KEYS, "segment").agg(
-        _hits(label, F.col("segment_k") <= bounds).alias("top"),
-        _hits(label).alias("pos"),
-        _hits(label, F.col("k") <= k).alias("top_all"),
-        F.max("k").alias("last_k"),
-    )
-
-    def row(metric: str, at_k, at_segment_k, value: Column) -> Column:
+    sums = [_hits(label, F.col("k") <= k).alias("top"), _hits(label).alias("pos"), F.max("k").alias("last_k")]
+    for i, (segment, limit) in enumerate(segment_ks.items()):
+        own = F.col("segment") == segment
+        sums += [
+            _hits(label & own, F.col("segment_k") <= limit).alias(f"top_{i}"),
+            _hits(label & own).alias(f"pos_{i}"),
+            F.max(F.when(own, F.col("segment_k"))).alias(f"last_k_{i}"),
+        ]
+    wide = predictions.groupBy(*MODEL_KEYS).agg(*sums)
+
+    def row(segment: str | None, metric: str, at: Column, value: Column) -> Column:
+        none = F.lit(None).cast("long")
         return F.struct(
+            F.lit(segment).cast("string").alias("segment"),
             F.lit(metric).alias("metric"),
-            (F.lit(None) if at_k is None else F.lit(at_k) if isinstance(at_k, int) else at_k).cast("long").alias("k"),
-            (F.lit(None) if at_segment_k is None else at_segment_k).cast("long").alias("segment_k"),
+            (none if segment else at.cast("long")).alias("k"),
+            (at.cast("long") if segment else none).alias("segment_k"),
             value.cast("double").alias("value"),
         )
 
-    recall = lambda top: F.when(F.col("pos") == 0, 0.0).otherwise(F.col(top) / F.col("pos"))
-    out = per_segment.where(F.col("segment").isin(list(segment_ks))).withColumn("sk", bounds)
-    rows = [row("precision", None, F.col("sk"), F.col("top") / F.col("sk")), row("recall", None, F.col("sk"), recall("top"))]
-    if not overall:
-        rows.append(row("precision", None, F.col("last_k"), F.col("pos") / F.col("last_k")))
-    long = out.select(*MODEL_KEYS, "segment", F.inline(F.array(*rows)))
-    if not overall:
-        return long
-    totals = per_segment.groupBy(*MODEL_KEYS).agg(
-        F.sum("pos").alias("pos"), F.sum("top_all").alias("top_all"), F.max("last_k").alias("last_k")
-    )
-    rows = [
-        row("precision", k, None, F.col("top_all") / F.lit(k)),
-        row("recall", k, None, recall("top_all")),
-        row("precision", F.col("last_k"), None, F.col("pos") / F.col("last_k")),
-    ]
-    return long.unionByName(totals.select(*MODEL_KEYS, F.lit(None).cast("string").alias("segment"), F.inline(F.array(*rows))))
+    def recall(top: str, pos: str) -> Column:
+        return F.when(F.col(pos) == 0, 0.0).otherwise(F.col(top) / F.col(pos))
+
+    rows = []
+    for i, (segment, limit) in enumerate(segment_ks.items()):
+        rows.append(row(segment, "precision", F.lit(limit), F.col(f"top_{i}") / F.lit(limit)))
+        rows.append(row(segment, "recall", F.lit(limit), recall(f"top_{i}", f"pos_{i}")))
+        if not overall:
+            last = F.col(f"last_k_{i}")
+            rows.append(row(segment, "precision", last, F.try_divide(F.col(f"pos_{i}"), last)))
+    if overall:
+        rows.append(row(None, "precision", F.lit(k), F.col("top") / F.lit(k)))
+        rows.append(row(None, "recall", F.lit(k), recall("top", "pos")))
+        rows.append(row(None, "precision", F.col("last_k"), F.col("pos") / F.col("last_k")))
+    return wide.select(*MODEL_KEYS, F.inline(F.array(*rows)))
 
 
 def running_hits(

@@ -1,7 +1,7 @@
 """Train and validation matrices per fold.
 
 Imputation, categories and scaling are learnt on a fold's training rows only and applied to
-both roles, with one row of statistics per fold.
+both roles; the statistics are one row per fold and are broadcast.
 """
 
 from __future__ import annotations
@@ -41,15 +41,15 @@ def split_column_kinds(df: DataFrame) -> tuple[list[str], list[str]]:
 
 
 def slice_folds(master: DataFrame, folds: DataFrame) -> DataFrame:
-    """Rows per fold and role; a date may serve several folds."""
-    return master.join(folds, "as_of_date", "inner")
+    """Rows per fold and role; a date may serve several folds. The folds table is made of settings."""
+    return master.join(F.broadcast(folds), "as_of_date", "inner")
 
 
 def impute_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NULLs become the mean of the fold's training rows."""
     train = F.col("role") == "train"
     means = df.groupBy("fold_id").agg(*[F.avg(F.when(train, F.col(c))).alias(f"_m_{c}") for c in columns])
-    out = df.join(means, "fold_id")
+    out = df.join(F.broadcast(means), "fold_id")
     for c in columns:
         out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}")))
     return out.drop(*[f"_m_{c}" for c in columns])
@@ -89,7 +89,7 @@ def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     stats = df.groupBy("fold_id").agg(
         *[F.avg(value(c)).alias(f"_m_{c}") for c in columns], *[F.stddev_pop(value(c)).alias(f"_s_{c}") for c in columns]
     )
-    out = df.join(stats, "fold_id")
+    out = df.join(F.broadcast(stats), "fold_id")
     scaled = [
         ((F.col(c).cast("double") - F.col(f"_m_{c}")) / F.when(F.col(f"_s_{c}") == 0, 1.0).otherwise(F.col(f"_s_{c}"))).alias(c)
         for c in columns
@@ -109,7 +109,7 @@ def null_cells(df: DataFrame, columns: Sequence[str]) -> Column:
 
 def fold_fingerprint(fold: Fold, segment: str) -> str:
     """Stable name of a fold and segment, as a partition value for stored matrices."""
-    text = "|".join([*map(str, fold.train_dates), str(fold.validation_date), segment])
+    text = "|".join([*map(str, sorted(fold.train_dates)), str(fold.validation_date), segment])
     return hashlib.sha256(text.encode()).hexdigest()[:16]
 
 
@@ -121,7 +121,7 @@ def fingerprint_column(folds: DataFrame, segment: str) -> DataFrame:
             F.sha2(
                 F.concat_ws(
                     "|",
-                    F.reverse(train),
+                    train,
                     F.max(F.when(F.col("role") == "validation", F.col("as_of_date").cast("string"))),
                     F.lit(segment),
                 ),

@@ -31,9 +31,10 @@ def score_cuts(df: DataFrame, score: str = "score", rows_per_task: int = 2_000_0
     One aggregate over the score column brings back at most 1,000 numbers; none for a table
     that fits one task. The cuts only spread the work, ranks do not depend on them.
     """
+    shares = ", ".join(f"{i / 1000}D" for i in range(1, 1000))
     row = df.agg(
         F.count(score).alias("n"),
-        F.percentile_approx(score, F.array(*[F.lit(i / 1000) for i in range(1, 1000)]), 10_000).alias("q"),
+        F.expr(f"percentile_approx(`{score}`, array({shares}), 10000)").alias("q"),
     ).first()
     if not row.n or row.n <= rows_per_task:
         return []
@@ -96,7 +97,8 @@ def feature_ranker(df: DataFrame, features: Sequence[str], by: Sequence[str] = (
     A feature written ``__flip__name`` ranks from low to high; NULL ranks lowest. Rows are first counted per
     distinct combination of values. The count of combinations below one is the count below its
     first feature's value plus the count inside it, so no window holds more than the distinct
-    values of the first feature or the combinations that share one.
+    values of the first feature or the combinations that share one. ``by`` are settings of a run
+    (dates, folds, models): one row for each is broadcast.
     """
     by = list(by)
     terms = []
@@ -118,7 +120,7 @@ def feature_ranker(df: DataFrame, features: Sequence[str], by: Sequence[str] = (
         combos = combos.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
     else:
         combos = combos.withColumn("_in", F.lit(0))
-    combos = combos.join(firsts, [*by, "_f0"], "inner").join(sizes, by, "inner")
+    combos = combos.join(firsts, [*by, "_f0"], "inner").join(F.broadcast(sizes), by, "inner")
     score = (F.col("_below") + F.col("_in") + (F.col("_n") + 1) / 2) / F.col("_all")
     combos = combos.select(*by, *names, score.alias("score"))
     return keyed.join(combos, [*by, *names], "inner").drop(*names)
@@ -129,7 +131,8 @@ def linear_ranker(
 ) -> DataFrame:
     """Weighted sum with weights scaled to sum 1, then min-max to [0, 1] inside ``by``.
 
-    If all raw scores are equal the score is 0.
+    If all raw scores are equal the score is 0. ``by`` are settings of a run (dates, folds,
+    models): one row of bounds for each is broadcast.
     """
     by = list(by)
     total = float(sum(weights.values()))
@@ -139,7 +142,7 @@ def linear_ranker(
         raw = term if raw is None else raw + term
     scored = df.withColumn("_raw", raw)
     span = scored.groupBy(*by).agg(F.min("_raw").alias("_lo"), F.max("_raw").alias("_hi"))
-    out = scored.join(span, by, "inner")
+    out = scored.join(F.broadcast(span), by, "inner")
     score = F.when(F.col("_hi") > F.col("_lo"), (F.col("_raw") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")))
     return out.withColumn("score", F.coalesce(score, F.lit(0.0))).drop("_raw", "_lo", "_hi")
 

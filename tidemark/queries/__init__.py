@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["scalars", "etl", "temporal"]
+MODULES = ["scalars", "etl", "temporal", "matrices", "ranks"]
 
 
 def load_all():

@@ -33,8 +33,15 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A driver table; its frame is kept, as reading the schema takes a job."""
+    key = (spark.sparkContext.applicationId, f"{sf}/{name}.parquet")
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(key[1])
+    return _TABLES[key]
 
 
 # ---- temporal settings -----------------------------------------------------------------

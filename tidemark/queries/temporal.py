@@ -181,13 +181,8 @@ HISTORY_SQL = """
 
 
 def rounded(df):
-    out = df
-    for c in df.columns:
-        if "_spend_sum_" in c:
-            out = out.withColumn(c, F.round(c, 2))
-        elif "_spend_avg_" in c:
-            out = out.withColumn(c, F.round(c, 8))
-    return out
+    places = lambda c: 2 if "_spend_sum_" in c else 8 if "_spend_avg_" in c else None
+    return df.select(*[F.round(c, places(c)).alias(c) if places(c) else c for c in df.columns])
 
 
 def only(spec: FeatureSource, **parts) -> FeatureSource:
@@ -324,12 +319,13 @@ def _(spark, sf):
 def _(spark, sf):
     from tidemark.operators.evaluation import evaluation_rows
     from tidemark.operators.ranking import attach_labels, linear_ranker, rank_predictions
+    from tidemark.session import stored
 
-    people = cohort(spark, sf)
+    people = stored(cohort(spark, sf), "cohort")
     spec = FeatureSource("orders", "ord", "o_orderdate", windows=(WindowAggregate("n", "1", ("sum",), ("3 months", "12 months", "9999 months")),))
     features = fe.build_features(people, order_source(spark, sf), spec, b.DATES)
     weights = {"ord_n_sum_3m": 2.0, "ord_n_sum_12m": 1.0, "ord_n_sum_9999m": 1.0}
     scored = linear_ranker(features, weights).select(*KEYS, "score")
     made = co.build_labels(people, b.label_events(spark, sf), b.LABEL_NAMES, b.DATES, b.HORIZON, b.SEGMENTS)
-    ranked = rank_predictions(attach_labels(scored, made).withColumn("model_id", F.lit(1)))
+    ranked = rank_predictions(stored(attach_labels(scored, made).withColumn("model_id", F.lit(1)), "flagship"))
     return evaluation_rows(ranked, b.TOTAL_K, b.SEGMENT_KS)

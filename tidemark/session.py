@@ -55,3 +55,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once to a new table in the shared folder and read back.
+
+    For frames that several later steps read: they scan the table instead of computing it again.
+    """
+    path = new_table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
