@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["scalars", "etl", "temporal", "matrices", "ranks"]
+MODULES = ["scalars", "etl", "temporal", "matrices", "ranks", "evaluations"]
 
 
 def load_all():
