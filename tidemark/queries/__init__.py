@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["scalars", "etl", "temporal", "matrices", "ranks", "evaluations"]
+MODULES = ["scalars", "etl", "temporal", "matrices", "ranks", "evaluations", "groups", "reports", "storage"]
 
 
 def load_all():
