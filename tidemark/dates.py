@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _INTERVAL = re.compile(r"^\s*(\d+)\s*(day|week|month|year)s?\s*$", re.I)
@@ -88,10 +88,10 @@ def date_structs(rows: Sequence[dict[str, date | None]]) -> Column:
     return F.expr(f"array({', '.join(structs)})")
 
 
-def explode_dates(rows: Sequence[dict[str, date | None]], keep) -> Column:
-    """Explode to the as-of structs for which ``keep(struct)`` holds.
+def fan_out(df: DataFrame, columns: Sequence[str | Column], rows: Sequence[dict[str, date | None]], keep) -> DataFrame:
+    """Each row once per as-of date for which ``keep(window)`` holds, with the date's struct ``_w``.
 
-    This turns "event within a window of as-of date" into a narrow step, so that what follows
-    is an equi-key aggregate instead of a range join.
+    This turns "event within a window of as-of date" into a narrow step, so that what follows is
+    an equi-key aggregate instead of a range join. Explode and filter run in one generated loop.
     """
-    return F.explode(F.filter(date_structs(rows), keep))
+    return df.select(*columns, F.explode(date_structs(rows)).alias("_w")).where(keep(F.col("_w")))

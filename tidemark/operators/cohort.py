@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.dates import Interval, explode_dates, to_date
+from tidemark.dates import Interval, fan_out, to_date
 
 KEYS = ["entity_id", "as_of_date"]
 
@@ -22,13 +22,12 @@ def first_exits(exits: DataFrame) -> DataFrame:
     )
 
 
-def segment_of(source: Column, segment_sources: Mapping[str, Sequence[str]]) -> Column:
-    """Segment of a source; sources in no list give NULL."""
-    out = None
-    for segment, sources in segment_sources.items():
-        test = source.isin(list(sources))
-        out = F.when(test, segment) if out is None else out.when(test, segment)
-    return F.lit(None).cast("string") if out is None else out
+def segment_rank(source: Column, segment_sources: Mapping[str, Sequence[str]]) -> Column:
+    """1, 2, ... for the segments in their order, 0 for sources in no list."""
+    out = F.lit(0)
+    for i, sources in reversed(list(enumerate(segment_sources.values(), start=1))):
+        out = F.when(source.isin(list(sources)), i).otherwise(out)
+    return out
 
 
 def build_cohort(
@@ -41,29 +40,33 @@ def build_cohort(
 ) -> DataFrame:
     """Entities with an event in ``[as_of - interval_back, as_of]`` that have not yet exited.
 
-    The newest event sets the segment; on one day the greatest source name wins. Each event
-    fans out to the as-of dates whose window holds it, and the newest event is a max over
-    (date, source), so a hot entity collapses before the shuffle.
+    The newest event sets the segment; on one day the segment listed last wins, and a source
+    without segment never wins. Each event fans out to the as-of dates whose window holds it. Day
+    and segment make one number, so the newest event is a hash-aggregated max and a hot entity
+    collapses before the shuffle.
     """
     back = Interval.parse(interval_back)
     dates = [{"as_of": d, "lo": back.before(d)} for d in sorted({to_date(x) for x in as_of_dates})]
+    day = F.col("event_date")
     rows = events.where(
-        F.col("entity_id").isNotNull()
-        & F.col("event_date").between(F.lit(min(d["lo"] for d in dates)), F.lit(dates[-1]["as_of"]))
+        F.col("entity_id").isNotNull() & day.between(F.lit(min(d["lo"] for d in dates)), F.lit(dates[-1]["as_of"]))
     )
     if exclude_sources:
         rows = rows.where(~F.col("source").isin(list(exclude_sources)))
-    day = F.col("event_date")
+    names = list(segment_sources)
+    base = len(names) + 1
+    code = F.unix_date(day).cast("long") * base + segment_rank(F.col("source"), segment_sources)
+    rows = rows.select("entity_id", "event_date", code.alias("_code"))
+    inside = lambda w: (w["lo"] <= day) & (day <= w["as_of"])
+    rank = F.pmod(F.col("_newest"), F.lit(base))
+    segment = F.lit(None).cast("string")
+    for i, name in enumerate(names, start=1):
+        segment = F.when(rank == i, name).otherwise(segment)
     newest = (
-        rows.select(
-            "entity_id",
-            "event_date",
-            "source",
-            explode_dates(dates, lambda s: (s["lo"] <= day) & (day <= s["as_of"])).alias("w"),
-        )
-        .groupBy("entity_id", F.col("w.as_of").alias("as_of_date"))
-        .agg(F.max(F.struct("event_date", "source")).alias("newest"))
-        .select(*KEYS, segment_of(F.col("newest.source"), segment_sources).alias("segment"))
+        fan_out(rows, ["entity_id", "event_date", "_code"], dates, inside)
+        .groupBy("entity_id", F.col("_w.as_of").alias("as_of_date"))
+        .agg(F.max("_code").alias("_newest"))
+        .select(*KEYS, segment.alias("segment"))
     )
     if exits is None:
         return newest
@@ -92,16 +95,11 @@ def label_hits(
     ]
     day = F.col("event_date")
     keys = ["entity_id"] + (["label_name"] if by_name else [])
-    return (
-        label_events.where(
-            F.col("entity_id").isNotNull()
-            & (day > F.lit(dates[0]["as_of"]))
-            & (day < F.lit(max(d["hi"] for d in dates)))
-        )
-        .select(*keys, explode_dates(dates, lambda s: (s["as_of"] < day) & (day < s["hi"])).alias("w"))
-        .select(*keys, F.col("w.as_of").alias("as_of_date"))
-        .distinct()
+    rows = label_events.where(
+        F.col("entity_id").isNotNull() & (day > F.lit(dates[0]["as_of"])) & (day < F.lit(max(d["hi"] for d in dates)))
     )
+    inside = lambda w: (w["as_of"] < day) & (day < w["hi"])
+    return fan_out(rows, [*keys, "event_date"], dates, inside).select(*keys, F.col("_w.as_of").alias("as_of_date")).distinct()
 
 
 def build_labels(

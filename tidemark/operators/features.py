@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.dates import Interval, date_structs, explode_dates, to_date
+from tidemark.dates import Interval, fan_out, to_date
 
 KEYS = ["entity_id", "as_of_date"]
 
@@ -171,20 +171,12 @@ def aggregate_features(
         ]
         day = F.col("_day")
         if running:
-            keep = lambda s: (s["as_of"] > day) & ((s["lo"] <= day) | _first_after(s, day))
+            keep = lambda w: (w["as_of"] > day) & ((w["lo"] <= day) | _first_after(w, day))
         else:
-            keep = lambda s: (s["as_of"] > day) & (s["lo"] <= day)
+            keep = lambda w: (w["as_of"] > day) & (w["lo"] <= day)
         inputs = {n: v for n, (_, v, _) in bounded.items()} | {n: v for n, (_, v) in running.items()}
-        fanned = (
-            _prepared(source, spec)
-            .where(day < F.lit(days[-1]))
-            .select(
-                "entity_id",
-                "_day",
-                *[v.alias(n) for n, v in inputs.items()],
-                explode_dates(dates, keep).alias("_w"),
-            )
-        )
+        known = _prepared(source, spec).where(day < F.lit(days[-1]))
+        fanned = fan_out(known, ["entity_id", "_day", *[v.alias(n) for n, v in inputs.items()]], dates, keep)
         as_of = F.col("_w.as_of")
         parts = [
             F.when(day >= iv.before_col(as_of), F.col(n)).alias(n) for n, (_, _, iv) in bounded.items()
@@ -236,29 +228,26 @@ def mode_features(
     keys = cohort.select(*KEYS).distinct()
     values = F.array(
         *[
-            F.struct(F.lit(m.name).alias("feature"), _guarded(m.arg, m.where).cast("string").alias("value"))
+            F.named_struct(
+                F.lit("feature"), F.lit(m.name), F.lit("value"), _guarded(m.arg, m.where).cast("string")
+            )
             for m in spec.modes
         ]
     )
     day = F.col("_day")
-    first = F.filter(date_structs(dates), lambda s: (s["as_of"] > day) & _first_after(s, day))
+    known = _prepared(source, spec).where(day < F.lit(days[-1]))
+    first = lambda w: (w["as_of"] > day) & _first_after(w, day)
     counts = (
-        _prepared(source, spec)
-        .where(day < F.lit(days[-1]))
-        .select("entity_id", first[0]["as_of"].alias("bucket"), F.explode(values).alias("v"))
+        fan_out(known, ["entity_id", "_day", values.alias("vs")], dates, first)
+        .select("entity_id", F.col("_w.as_of").alias("bucket"), F.explode("vs").alias("v"))
         .where("v.value is not null")
         .groupBy("entity_id", "bucket", "v.feature", "v.value")
         .count()
     )
+    later = lambda w: w["as_of"] >= F.col("bucket")
     best = (
-        counts.select(
-            "entity_id",
-            "feature",
-            "value",
-            "count",
-            explode_dates([{"as_of": d} for d in days], lambda s: s["as_of"] >= F.col("bucket")).alias("w"),
-        )
-        .groupBy("entity_id", F.col("w.as_of").alias("as_of_date"), "feature", "value")
+        fan_out(counts, ["entity_id", "feature", "value", "count", "bucket"], [{"as_of": d} for d in days], later)
+        .groupBy("entity_id", F.col("_w.as_of").alias("as_of_date"), "feature", "value")
         .agg((-F.sum("count")).alias("neg"))
         .groupBy(*KEYS)
         .agg(
@@ -287,12 +276,8 @@ def expression_features(
     and Spark aggregates by (entity, as-of date). ``as_of_date`` may be used in ``exprs``.
     """
     days = sorted({to_date(d) for d in as_of_dates})
-    rows = (
-        _prepared(source, spec)
-        .withColumn("_w", explode_dates([{"as_of": d} for d in days], lambda s: s["as_of"] > F.col("_day")))
-        .withColumn("as_of_date", F.col("_w.as_of"))
-        .drop("_w")
-    )
+    rows = fan_out(_prepared(source, spec), ["*"], [{"as_of": d} for d in days], lambda w: w["as_of"] > F.col("_day"))
+    rows = rows.withColumn("as_of_date", F.col("_w.as_of")).drop("_w")
     calculated = rows.groupBy(*KEYS).agg(*[F.expr(e).alias(f"{spec.prefix}_{n}") for n, e in exprs.items()])
     return cohort.select(*KEYS).distinct().join(calculated, KEYS, "left")
 

@@ -138,7 +138,8 @@ EXITS = f"""ex AS (
 
 COHORT = f"""{ASOF}, {EVENTS}, {EXITS}, newest AS (
   SELECT entity_id, as_of_date, source,
-         row_number() OVER (PARTITION BY entity_id, as_of_date ORDER BY event_date DESC, source DESC) AS rn
+         row_number() OVER (PARTITION BY entity_id, as_of_date ORDER BY event_date DESC,
+           CASE WHEN source IN ('web_orders', 'shipments') THEN 1 WHEN source = 'store_orders' THEN 2 ELSE 0 END DESC) AS rn
   FROM ev JOIN dates_ ON event_date >= as_of_date - INTERVAL 3 MONTH AND event_date <= as_of_date
   WHERE source NOT IN ('returns')
 ), cohort AS (

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions import text as tx
+from tidemark.functions import vocab as v
 from tidemark.operators import checks as ck
+from tidemark.operators import cohort as co
 from tidemark.operators import evaluation as ev
 from tidemark.operators import explore as ex
 from tidemark.operators.features import age_columns
@@ -15,8 +18,7 @@ from tidemark.queries import groups as gq
 from tidemark.queries import temporal as tp
 from tidemark.queries.base import register, t
 from tidemark.queries.scalars import CALL_FLAGS, CALL_VIEW, DIAGNOSIS, FLAGS, SECOND, flagged_calls, lit, sql_classify
-from tidemark.functions import text as tx
-from tidemark.functions import vocab as v
+from tidemark.session import stored
 from tidemark.sources import catalog as ct
 
 TABLES = ["customer", "orders", "lineitem", "part", "supplier", "nation", "region", "events"]
@@ -234,7 +236,9 @@ def _(spark, sf):
     SELECT "check", n = 0 AS ok, CAST(n AS STRING) AS detail FROM r""",
 )
 def _(spark, sf):
-    people, made, attrs = tp.cohort(spark, sf), tp.labels(spark, sf), etl.attributes(spark, sf)
+    people = stored(tp.cohort(spark, sf), "cohort")
+    made = co.build_labels(people, b.label_events(spark, sf), b.LABEL_NAMES, b.DATES, b.HORIZON, b.SEGMENTS)
+    attrs = etl.attributes(spark, sf)
     status = attrs.where("attribute_type = 'status'").select("attribute_value")
     births = attrs.where("attribute_type = 'dob'").select(F.col("attribute_value").cast("date").alias("dob"))
     age, _ = age_columns(F.col("dob"), F.lit("2000-07-01").cast("date"))
@@ -258,7 +262,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     preds = b.predictions(spark, sf)
-    stored = eq.evaluations(spark, sf).where("segment = 'east'").select("model_id", "as_of_date", "metric", "value")
+    kept = eq.evaluations(spark, sf).where("segment = 'east'").select("model_id", "as_of_date", "metric", "value")
     curve = ev.pr_curve(preds, "east").where("segment_k = 75")
     again = ev.melt_metrics(curve.select("model_id", "as_of_date", "precision", "recall"))
     resolved = t(spark, sf, "orders").select(F.col("o_custkey").alias("sourceid"), F.col("o_custkey").alias("entity_id"))
@@ -268,7 +272,7 @@ def _(spark, sf):
         F.col("o_custkey").alias("entity_id"), F.to_date("o_orderdate").alias("as_of_date"), F.lit(True).alias("label")
     )
     return ck.all_checks(
-        ck.metrics_match(stored, again, "stored metrics match the curve"),
+        ck.metrics_match(kept, again, "stored metrics match the curve"),
         ck.ids_in_crosswalk(resolved, "sourceid", b.crosswalk(spark, sf), "CRM.CUSTOMER", "ids are in the crosswalk"),
         ck.tables_covered({"clean": TABLES[:4], "raw": TABLES[4:]}, wanted, "every table is covered"),
         ck.label_span(costly, 6, "labels span less than the horizon"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.dates import explode_dates
+from tidemark.dates import fan_out
 from tidemark.operators import cohort as co
 from tidemark.operators import conform as cf
 from tidemark.operators import features as fe
@@ -32,8 +32,8 @@ def _(spark, sf):
     cfg = b.TEMPORAL
     ladder = fo.date_ladder(b.DATES[0], fo.add_months(b.DATES[-1], -6), cfg.train_sampling_freq_months, 0, cfg.max_train_history_months)
     day = F.to_date("o_orderdate")
-    rows = t(spark, sf, "orders").select(explode_dates([{"as_of": d} for d in ladder], lambda s: day < s["as_of"]).alias("w"))
-    return rows.groupBy(F.col("w.as_of").alias("as_of_date")).agg(F.count(F.lit(1)).alias("orders_before"))
+    rows = fan_out(t(spark, sf, "orders"), ["o_orderdate"], [{"as_of": d} for d in ladder], lambda w: day < w["as_of"])
+    return rows.groupBy(F.col("_w.as_of").alias("as_of_date")).agg(F.count(F.lit(1)).alias("orders_before"))
 
 
 def cohort(spark, sf):
