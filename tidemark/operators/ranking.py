@@ -39,7 +39,8 @@ def score_cuts(df: DataFrame, score: str = "score", rows_per_task: int = 2_000_0
     if not row.n or row.n <= rows_per_task:
         return []
     step = max(1, 1000 * rows_per_task // row.n)
-    return sorted(set(row.q[step - 1 :: step]) | {v for v, nxt in zip(row.q, row.q[1:]) if v == nxt})
+    cuts = set(row.q[step - 1 :: step]) | {v for v, nxt in zip(row.q, row.q[1:]) if v == nxt}
+    return sorted(float(c) for c in cuts)
 
 
 def add_rank(
@@ -67,7 +68,7 @@ def add_rank(
     starts = cut.groupBy(*keys).count().select(*keys, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
     inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     ranked = cut.withColumn("_r", inside).join(starts, keys, "inner")
-    return ranked.withColumn(name, (F.col("_r") + F.col("_start")).cast("long")).drop("_b", "_t", "_r", "_start")
+    return ranked.select(*df.columns, (F.col("_r") + F.col("_start")).cast("long").alias(name))
 
 
 def rank_predictions(
@@ -91,14 +92,38 @@ def attach_labels(scores: DataFrame, labels: DataFrame) -> DataFrame:
 # ---- rankers ---------------------------------------------------------------------------
 
 
-def feature_ranker(df: DataFrame, features: Sequence[str], by: Sequence[str] = ("as_of_date",)) -> DataFrame:
+def sum_before(
+    df: DataFrame, by: Sequence[str], order: str, amount: str, name: str, cuts: Sequence[float] = ()
+) -> DataFrame:
+    """Sum of ``amount`` over the rows of ``by`` with a smaller ``order`` (distinct inside ``by``).
+
+    With ``cuts`` the groups are summed in buckets, so that a large group is not one task.
+    """
+    by = list(by)
+    if not cuts:
+        before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(name, F.coalesce(F.sum(amount).over(before), F.lit(0)))
+    edges = F.array(*[F.lit(float(c)) for c in cuts])
+    rows = df.withColumn("_b", F.size(F.filter(edges, lambda c: c < F.col(order))))
+    keys = [*by, "_b"]
+    before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(*keys).agg(F.sum(amount).alias("_s"))
+    starts = starts.select(*keys, F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_start"))
+    out = rows.withColumn("_in", F.coalesce(F.sum(amount).over(inside), F.lit(0))).join(starts, keys, "inner")
+    return out.withColumn(name, F.col("_start") + F.col("_in")).drop("_b", "_in", "_start")
+
+
+def feature_ranker(
+    df: DataFrame, features: Sequence[str], by: Sequence[str] = ("as_of_date",), rows_per_task: int = 2_000_000
+) -> DataFrame:
     """Average-rank percentile of the features in lexicographic order, 1 is highest.
 
-    A feature written ``__flip__name`` ranks from low to high; NULL ranks lowest. Rows are first counted per
-    distinct combination of values. The count of combinations below one is the count below its
-    first feature's value plus the count inside it, so no window holds more than the distinct
-    values of the first feature or the combinations that share one. ``by`` are settings of a run
-    (dates, folds, models): one row for each is broadcast.
+    A feature written ``__flip__name`` ranks from low to high; NULL ranks lowest. Rows are first
+    counted per distinct combination of values, which takes care of any number of ties. The rows
+    below a combination are, feature by feature, those that agree on the features before and
+    have less in this one. ``by`` are settings of a run (dates, folds, models): one row for each
+    is broadcast.
     """
     by = list(by)
     terms = []
@@ -110,20 +135,18 @@ def feature_ranker(df: DataFrame, features: Sequence[str], by: Sequence[str] = (
     names = [f"_f{i}" for i in range(len(terms))]
     keyed = df.select("*", *terms)
     combos = keyed.groupBy(*by, *names).agg(F.count(F.lit(1)).alias("_n"))
-
-    firsts = combos.groupBy(*by, "_f0").agg(F.sum("_n").alias("_first_n"))
-    below = Window.partitionBy(*by).orderBy("_f0").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = firsts.select(*by, "_f0", F.coalesce(F.sum("_first_n").over(below), F.lit(0)).alias("_below"))
     sizes = combos.groupBy(*by).agg(F.sum("_n").alias("_all"))
-    if len(names) > 1:
-        inside = Window.partitionBy(*by, "_f0").orderBy(*names[1:]).rowsBetween(Window.unboundedPreceding, -1)
-        combos = combos.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-    else:
-        combos = combos.withColumn("_in", F.lit(0))
-    combos = combos.join(firsts, [*by, "_f0"], "inner").join(F.broadcast(sizes), by, "inner")
-    score = (F.col("_below") + F.col("_in") + (F.col("_n") + 1) / 2) / F.col("_all")
-    combos = combos.select(*by, *names, score.alias("score"))
-    return keyed.join(combos, [*by, *names], "inner").drop(*names)
+    out = combos.join(F.broadcast(sizes), by, "inner")
+    below = F.lit(0)
+    for i, name in enumerate(names):
+        group = [*by, *names[:i]]
+        counts = combos.groupBy(*group, name).agg(F.sum("_n").alias("_c"))
+        counts = sum_before(counts, group, name, "_c", f"_below{i}", score_cuts(counts, name, rows_per_task))
+        out = out.join(counts.drop("_c"), [*group, name], "inner")
+        below = below + F.col(f"_below{i}")
+    score = (below + (F.col("_n") + 1) / 2) / F.col("_all")
+    scored = out.select(*by, *names, score.alias("score"))
+    return keyed.join(scored, [*by, *names], "inner").drop(*names)
 
 
 def linear_ranker(

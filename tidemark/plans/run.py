@@ -73,7 +73,7 @@ def run_experiment(
     labels = co.build_labels(cohort, label_events, exp.selected_labels, dates, exp.temporal.months_future, exp.segments)
     labels = rs.overwrite(labels, f"{folder}/{co.label_table_name(exp.label_group, exp.segment)}", by_date)
     features = [
-        rs.overwrite(build_features(cohort, tables[s.name], s, dates), f"{folder}/features/{s.name}", by_date)
+        rs.overwrite(build_features(cohort, tables[s.name], s, dates), f"{folder}/features/{s.name}_{s.prefix}", by_date)
         for s in exp.feature_sources
     ]
     master = mx.master_matrix(cohort, features)

@@ -9,6 +9,7 @@ from tidemark.operators import model_selection as ms
 from tidemark.queries import base as b
 from tidemark.queries import temporal as tp
 from tidemark.queries.base import register, t
+from tidemark.session import stored
 
 MK = "model_id, as_of_date"
 
@@ -40,6 +41,11 @@ EVALUATIONS = f"""g AS (SELECT {MK}, segment, sum(CASE WHEN label AND segment_k
     UNION ALL SELECT {MK}, NULL, 'precision', last_k, NULL, pos / last_k::DOUBLE FROM a)"""
 
 
+def stored_predictions(spark, sf):
+    """Predictions as a table, for what reads them more than once."""
+    return stored(b.predictions(spark, sf), "predictions")
+
+
 def evaluations(spark, sf):
     return ev.evaluation_rows(b.predictions(spark, sf), b.TOTAL_K, b.SEGMENT_KS)
 
@@ -73,7 +79,7 @@ COLS = ["model_id", "entity_id", "segment", "as_of_date", "label", "k", "segment
 )
 def _(spark, sf):
     """Blocks of 500 ranks, so that the block sums take part even on small tables."""
-    return ev.pr_curve(b.predictions(spark, sf), block=500).select(*COLS, "precision", "recall")
+    return ev.pr_curve(stored_predictions(spark, sf), block=500).select(*COLS, "precision", "recall")
 
 
 @register(
@@ -82,7 +88,7 @@ def _(spark, sf):
     FROM cu WHERE segment = 'west'""",
 )
 def _(spark, sf):
-    return ev.pr_curve(b.predictions(spark, sf), "west", block=500).select(*COLS, "precision", "recall")
+    return ev.pr_curve(stored_predictions(spark, sf), "west", block=500).select(*COLS, "precision", "recall")
 
 
 @register(
@@ -91,7 +97,7 @@ def _(spark, sf):
     FROM cu CROSS JOIN (VALUES ('precision'), ('recall')) m(metric)""",
 )
 def _(spark, sf):
-    return ev.melt_metrics(ev.pr_curve(b.predictions(spark, sf)).select("model_id", "entity_id", "k", "precision", "recall"))
+    return ev.melt_metrics(ev.pr_curve(stored_predictions(spark, sf)).select("model_id", "entity_id", "k", "precision", "recall"))
 
 
 @register(
@@ -102,7 +108,7 @@ def _(spark, sf):
     FROM cu CROSS JOIN (VALUES ('precision'), ('recall')) m(metric)""",
 )
 def _(spark, sf):
-    return ev.full_curve(b.predictions(spark, sf)).select("model_id", "entity_id", "segment", "k", "segment_k", "metric", "value", "segment_value")
+    return ev.full_curve(stored_predictions(spark, sf)).select("model_id", "entity_id", "segment", "k", "segment_k", "metric", "value", "segment_value")
 
 
 IN_TOP = "((segment = 'east' AND segment_k <= 75) OR (segment = 'west' AND segment_k <= 40))"
@@ -313,11 +319,12 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Stored values of every second model's west rows are wrong, and some models have no predictions."""
-    good = evaluations(spark, sf)
+    preds = stored_predictions(spark, sf)
+    good = ev.evaluation_rows(preds, b.TOTAL_K, b.SEGMENT_KS)
     wrong = F.when((F.col("segment") == "west") & (F.col("model_id") % 2 == 0), F.col("value") + 0.5).otherwise(F.col("value"))
     ghosts = good.where("segment = 'west' and model_id % 3 = 0").withColumn("model_id", F.col("model_id") + 1000)
     old = good.withColumn("value", wrong).unionByName(ghosts)
-    return ev.repair_evaluations(old, b.predictions(spark, sf), "west", 40).withColumn("value", F.round("value", 9))
+    return ev.repair_evaluations(old, preds, "west", 40).withColumn("value", F.round("value", 9))
 
 
 def importances(spark, sf):

@@ -54,7 +54,8 @@ SLICED = f"{MASTER}, {tp.SERIES_FOLDS}, sliced AS (SELECT * FROM master JOIN fol
 
 
 def sliced(spark, sf):
-    return mx.slice_folds(master(spark, sf), fo.folds_frame(spark, b.FOLDS))
+    """Fold rows of the stored master matrix, as the statistics and the rows both read it."""
+    return mx.slice_folds(stored(master(spark, sf), "master"), fo.folds_frame(spark, b.FOLDS))
 
 
 @register("m1_feature_join", f"WITH {MASTER} SELECT * REPLACE (round(dem_age, 6) AS dem_age) FROM master")

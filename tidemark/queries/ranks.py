@@ -22,7 +22,7 @@ KEYS = ["entity_id", "as_of_date"]
       / count(*) OVER (PARTITION BY as_of_date) AS score FROM x""",
 )
 def _(spark, sf):
-    return rk.feature_ranker(mt.master(spark, sf), ["ord_n_sum_12m", "__flip__ord_days_since_last"]).select(*KEYS, "score")
+    return rk.feature_ranker(stored(mt.master(spark, sf), "master"), ["ord_n_sum_12m", "__flip__ord_days_since_last"]).select(*KEYS, "score")
 
 
 @register(
@@ -40,7 +40,8 @@ def _(spark, sf):
         (F.col("o_custkey") % 10).alias("c10"),
         (F.col("o_orderkey") % 3).alias("o3"),
     )
-    return rk.feature_ranker(rows, ["__flip__price", "c10", "o3"]).select(*KEYS, "score")
+    # Pieces of 100 rows, so that the bucketed sums take part on small tables.
+    return rk.feature_ranker(rows, ["__flip__price", "c10", "o3"], rows_per_task=100).select(*KEYS, "score")
 
 
 WEIGHTS = {"ord_n_sum_3m": 2.0, "ord_n_sum_12m": 1.0, "ord_days_since_last": 0.25}
@@ -66,7 +67,7 @@ def _(spark, sf):
     SELECT entity_id, as_of_date, round((r - min(r) OVER w) / (max(r) OVER w - min(r) OVER w), 9) AS score FROM x WINDOW w AS (PARTITION BY as_of_date)""",
 )
 def _(spark, sf):
-    return rk.linear_ranker(mt.master(spark, sf), WEIGHTS).select(*KEYS, F.round("score", 9).alias("score"))
+    return rk.linear_ranker(stored(mt.master(spark, sf), "master"), WEIGHTS).select(*KEYS, F.round("score", 9).alias("score"))
 
 
 GRID = {"DecisionTreeClassifier": {"max_depth": [1, 2], "criterion": ["gini", "entropy"]}, "LogisticRegression": {"C": [0.01, 1.0]}}

@@ -261,8 +261,8 @@ def _(spark, sf):
       FROM (SELECT entity_id FROM (SELECT DISTINCT o_custkey AS entity_id, date_trunc('month', o_orderdate) AS m FROM orders WHERE o_totalprice > 490000) GROUP BY entity_id HAVING date_diff('month', min(m), max(m)) >= 6)""",
 )
 def _(spark, sf):
-    preds = b.predictions(spark, sf)
-    kept = eq.evaluations(spark, sf).where("segment = 'east'").select("model_id", "as_of_date", "metric", "value")
+    preds = eq.stored_predictions(spark, sf)
+    kept = ev.evaluation_rows(preds, b.TOTAL_K, b.SEGMENT_KS).where("segment = 'east'").select("model_id", "as_of_date", "metric", "value")
     curve = ev.pr_curve(preds, "east").where("segment_k = 75")
     again = ev.melt_metrics(curve.select("model_id", "as_of_date", "precision", "recall"))
     resolved = t(spark, sf, "orders").select(F.col("o_custkey").alias("sourceid"), F.col("o_custkey").alias("entity_id"))
