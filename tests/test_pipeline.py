@@ -24,7 +24,7 @@ SF = "/root/testdata/sf0.01"
 def test_experiment_end_to_end(spark, tmp_path):
     folder = str(tmp_path)
     exp = Experiment(
-        temporal=fo.FoldConfig("1999-01-01", "2000-07-01", 6, 6, 12, fold_shift_months=6),
+        temporal=fo.FoldConfig("1999-01-01", "2000-01-01", 6, 6, 12, fold_shift_months=6),
         interval_back="3 months", segment_sources=b.SEGMENT_SOURCES, selected_labels=b.LABEL_NAMES, label_group="Any trouble",
         feature_sources=[mt.NUMBERS, mt.KINDS],
         models={

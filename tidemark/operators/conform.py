@@ -20,10 +20,10 @@ EVENT_COLUMNS = ["entity_id", "event_date", "event_type", "source"]
 
 
 def latest_snapshot(df: DataFrame, date_col: str) -> DataFrame:
-    """Rows of the newest match run."""
+    """Rows of the newest match run; the newest date is one row and is broadcast."""
     day = F.col(date_col).cast("date")
     newest = df.agg(F.max(day).alias("_newest"))
-    return df.withColumn("_newest", day).join(newest, "_newest", "left_semi").drop("_newest")
+    return df.withColumn("_newest", day).join(F.broadcast(newest), "_newest", "left_semi").drop("_newest")
 
 
 def resolve(

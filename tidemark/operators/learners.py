@@ -89,6 +89,7 @@ def boost_stumps(
     rows = VectorAssembler(inputCols=list(features), outputCol="_x").transform(
         train.withColumn("_y", F.col("label").cast("double")).withColumn("_w", F.lit(1.0))
     ).persist()
+    cached = rows
     stumps: list[Stump] = []
     for i in range(rounds):
         tree = DecisionTreeClassifier(featuresCol="_x", labelCol="_y", weightCol="_w", maxDepth=1, seed=0).fit(rows)
@@ -111,6 +112,7 @@ def boost_stumps(
         rows = rows.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * miss))
         if (i + 1) % cut_every == 0:
             rows = cut_lineage(rows)
+    cached.unpersist()
     return stumps
 
 

@@ -49,10 +49,8 @@ def impute_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NULLs become the mean of the fold's training rows."""
     train = F.col("role") == "train"
     means = df.groupBy("fold_id").agg(*[F.avg(F.when(train, F.col(c))).alias(f"_m_{c}") for c in columns])
-    out = df.join(F.broadcast(means), "fold_id")
-    for c in columns:
-        out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}")))
-    return out.drop(*[f"_m_{c}" for c in columns])
+    filled = lambda c: F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}")).alias(c)
+    return df.join(F.broadcast(means), "fold_id").select(*[filled(c) if c in columns else c for c in df.columns])
 
 
 def train_categories(df: DataFrame, columns: Sequence[str], limit: int = 1000) -> dict[str, list[str | None]]:
@@ -73,13 +71,12 @@ def train_categories(df: DataFrame, columns: Sequence[str], limit: int = 1000) -
 
 def one_hot(df: DataFrame, categories: dict[str, Sequence[str | None]]) -> DataFrame:
     """A 0/1 column per training category; NULL is a category, unknown values are all zero."""
-    out = df
-    for c, values in categories.items():
-        for v in values:
-            name = f"{c}_{'None' if v is None else v}"
-            test = F.col(c).isNull() if v is None else F.col(c).eqNullSafe(v)
-            out = out.withColumn(name, F.when(test, 1.0).otherwise(0.0))
-    return out.drop(*categories)
+    hot = [
+        F.when(F.col(c).eqNullSafe(v), 1.0).otherwise(0.0).alias(f"{c}_{'None' if v is None else v}")
+        for c, values in categories.items()
+        for v in values
+    ]
+    return df.select(*[c for c in df.columns if c not in categories], *hot)
 
 
 def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:

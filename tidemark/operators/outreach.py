@@ -81,15 +81,15 @@ def outcomes_after_referral(
 ) -> DataFrame:
     """Flag counts after being reached: ever, and until ``max_date`` + ``months_future``.
 
-    Only full months count. The lists are the small side (at most months * k rows per model
-    set) and Spark checks their size before it broadcasts them.
+    Only full months count. The lists hold at most months * k rows per model set and are
+    broadcast, so that the events, with their hot entities, stay where they are.
     """
     low = F.lit(to_date(min_date))
     end = F.add_months(F.lit(to_date(max_date)), months_future)
     full = Window.partitionBy("model_set_id", "month")
     listed = blocks.withColumn("_n", F.count(F.lit(1)).over(full)).where(F.col("_n") == k)
     listed = listed.select("model_set_id", "entity_id", F.add_months(low, F.col("month")).alias("_from"))
-    hits = events.select("entity_id", "event_date", *flags).join(listed, "entity_id")
+    hits = events.select("entity_id", "event_date", *flags).join(F.broadcast(listed), "entity_id")
     after = F.col("event_date") > F.col("_from")
     late = F.col("event_date") > end
     wide = hits.groupBy("model_set_id").agg(
@@ -117,7 +117,7 @@ def exit_breakdown(blocks: DataFrame, exits: DataFrame, k: int, causes: Mapping[
     """Exits of listed entities by cause column (``{column: output name}``) and by any cause."""
     full = Window.partitionBy("model_set_id", "month")
     listed = blocks.withColumn("_n", F.count(F.lit(1)).over(full)).where(F.col("_n") == k)
-    rows = exits.select("entity_id", *causes).join(listed.select("model_set_id", "entity_id"), "entity_id")
+    rows = exits.select("entity_id", *causes).join(F.broadcast(listed.select("model_set_id", "entity_id")), "entity_id")
     any_cause = F.greatest(*[F.col(c).cast("int") for c in causes]) if len(causes) > 1 else F.col(next(iter(causes))).cast("int")
     return rows.groupBy("model_set_id").agg(
         *[F.sum(F.col(c).cast("int")).alias(n) for c, n in causes.items()], F.sum(any_cause).alias("any_cause")

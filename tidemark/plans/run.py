@@ -6,6 +6,7 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,23 +105,22 @@ def run_experiment(
         models = rs.model_rows(sets, [end])
         rs.append(models, folder, "models")
         ids = {r.model_set_id: r.model_id for r in models.collect()}
+        weights = []
         for set_id, kind, params in set_ids:
             fitted = ln.fit(train, columns, kind, grid[(kind, params)])
-            model_id = ids[set_id]
-            scores = rs.overwrite(fitted.score(validation), f"{folder}/scores/model_id={model_id}")
-            ranked = rank_predictions(attach_labels(scores, labels).withColumn("model_id", F.lit(model_id)))
-            rs.save_predictions(ranked, folder)
-            stored = rs.read_predictions(spark, folder, [model_id])
-            rows_ = ev.evaluation_rows(stored, exp.k, exp.segment_ks, overall=exp.segment == "ALL")
-            rs.append(rows_, folder, "evaluations")
-            weights = fitted.importances(spark)
-            if weights is not None:
-                rs.append(
-                    weights.select(F.lit(model_id).alias("model_id"), F.lit(end).alias("train_end_date"), "feature_name", "feature_importance"),
-                    folder, "importances",
-                )
+            rs.append(fitted.score(validation).withColumn("model_id", F.lit(ids[set_id])), folder, f"scores/{name}", ["model_id"])
+            own = fitted.importances(spark)
+            if own is not None:
+                weights.append(own.select(F.lit(ids[set_id]).alias("model_id"), F.lit(end).alias("train_end_date"), "*"))
             if fitted.model is not None:
-                ln.save(fitted, f"{folder}/saved_models/{kind}_{set_id}_{model_id}")
+                ln.save(fitted, f"{folder}/saved_models/{kind}_{set_id}_{ids[set_id]}")
+        # All models of the fold are ranked and evaluated together.
+        scores = spark.read.parquet(f"{folder}/scores/{name}").withColumn("model_id", F.col("model_id").cast("long"))
+        rs.save_predictions(rank_predictions(attach_labels(scores, labels)), folder)
+        stored = rs.read_predictions(spark, folder, list(ids.values()))
+        rs.append(ev.evaluation_rows(stored, exp.k, exp.segment_ks, overall=exp.segment == "ALL"), folder, "evaluations")
+        if weights:
+            rs.append(reduce(DataFrame.unionByName, weights), folder, "importances")
     rs.end_experiment(spark, folder, experiment_id, clock())
     return experiment_id
 

@@ -38,7 +38,7 @@ _TABLES: dict[tuple[str, str], DataFrame] = {}
 
 def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A driver table; its frame is kept, as reading the schema takes a job."""
-    key = (spark.sparkContext.applicationId, f"{sf}/{name}.parquet")
+    key = (f"{spark.sparkContext.applicationId}-{id(spark)}", f"{sf}/{name}.parquet")
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(key[1])
     return _TABLES[key]

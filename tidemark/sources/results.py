@@ -25,19 +25,24 @@ def stable_id(*parts: Column) -> Column:
     return F.abs(F.xxhash64(*parts)).cast("long")
 
 
+def _arranged(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of a table partition together, in even pieces however large the partition is."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def append(df: DataFrame, folder: str, table: str, partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("append").partitionBy(*partition_by).parquet(f"{folder}/{table}")
+    _arranged(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(f"{folder}/{table}")
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a table anew and read it back."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    _arranged(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace only the partitions that ``df`` holds."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    _arranged(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
 def start_experiment(
@@ -93,7 +98,7 @@ def model_rows(model_sets: DataFrame, train_end_dates: Sequence) -> DataFrame:
 def save_predictions(predictions: DataFrame, folder: str, csv: bool = False) -> str:
     """Predictions, one partition per model; CSV with a header if wanted."""
     path = f"{folder}/predictions" + ("_csv" if csv else "")
-    writer = predictions.write.mode("append").partitionBy("model_id")
+    writer = _arranged(predictions, ["model_id"]).write.mode("append").partitionBy("model_id")
     writer.option("header", True).csv(path) if csv else writer.parquet(path)
     return path
 
