@@ -25,20 +25,25 @@ KINDS = FeatureSource("orders", "cat", "o_orderdate", modes=(ModeFeature("priori
 DOB = FeatureSource("attributes", "dem", "event_date", modes=(ModeFeature("dob", "attribute_value", where="attribute_type = 'dob'"),))
 
 
-def feature_tables(spark, sf):
-    """Numbers, categories and age of the cohort, one table per source."""
+def feature_tables(spark, sf, parts=("numbers", "kinds", "age")):
+    """The cohort and its chosen feature tables, one per source."""
     people = stored(tp.cohort(spark, sf), "cohort")
-    dob = fe.build_features(people, etl.attributes(spark, sf), DOB, b.DATES)
-    age, _ = fe.age_columns(F.col("dem_dob").cast("date"), F.col("as_of_date"))
-    return people, [
-        fe.build_features(people, tp.order_source(spark, sf), NUMBERS, b.DATES),
-        fe.build_features(people, tp.order_source(spark, sf), KINDS, b.DATES),
-        dob.select(*KEYS, F.when(F.col("entity_id") % 5 != 0, age).alias("dem_age")),
-    ]
+
+    def age():
+        dob = fe.build_features(people, etl.attributes(spark, sf), DOB, b.DATES)
+        years, _ = fe.age_columns(F.col("dem_dob").cast("date"), F.col("as_of_date"))
+        return dob.select(*KEYS, F.when(F.col("entity_id") % 5 != 0, years).alias("dem_age"))
+
+    make = {
+        "numbers": lambda: fe.build_features(people, tp.order_source(spark, sf), NUMBERS, b.DATES),
+        "kinds": lambda: fe.build_features(people, tp.order_source(spark, sf), KINDS, b.DATES),
+        "age": age,
+    }
+    return people, [make[p]() for p in parts]
 
 
-def master(spark, sf, dates=None):
-    people, tables = feature_tables(spark, sf)
+def master(spark, sf, dates=None, parts=("numbers", "kinds", "age")):
+    people, tables = feature_tables(spark, sf, parts)
     return mx.master_matrix(people, tables, dates)
 
 
@@ -53,9 +58,9 @@ MASTER = f"""{tp.JOINED}, {etl.ATTRIBUTES}, cnt AS (SELECT entity_id, as_of_date
 SLICED = f"{MASTER}, {tp.SERIES_FOLDS}, sliced AS (SELECT * FROM master JOIN folds USING (as_of_date))"
 
 
-def sliced(spark, sf):
+def sliced(spark, sf, parts=("numbers", "kinds", "age")):
     """Fold rows of the stored master matrix, as the statistics and the rows both read it."""
-    return mx.slice_folds(stored(master(spark, sf), "master"), fo.folds_frame(spark, b.FOLDS))
+    return mx.slice_folds(stored(master(spark, sf, parts=parts), "master"), fo.folds_frame(spark, b.FOLDS))
 
 
 @register("m1_feature_join", f"WITH {MASTER} SELECT * REPLACE (round(dem_age, 6) AS dem_age) FROM master")
@@ -102,7 +107,7 @@ def _(spark, sf):
     SELECT fold_id, role, entity_id, as_of_date, round(coalesce(dem_age, m), 6) AS dem_age FROM sliced JOIN mean USING (fold_id)""",
 )
 def _(spark, sf):
-    out = mx.impute_mean(sliced(spark, sf), ["dem_age"])
+    out = mx.impute_mean(sliced(spark, sf, ["age"]), ["dem_age"])
     return out.select("fold_id", "role", *KEYS, F.round("dem_age", 6).alias("dem_age"))
 
 
@@ -116,7 +121,7 @@ CATEGORIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
     + ", CASE WHEN cat_priority IS NULL THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS \"cat_priority_None\" FROM sliced",
 )
 def _(spark, sf):
-    rows = sliced(spark, sf)
+    rows = sliced(spark, sf, ["kinds"])
     found = mx.train_categories(rows, ["cat_priority"])
     found["cat_priority"] = sorted({*found["cat_priority"], None}, key=lambda v: (v is None, v))
     out = mx.one_hot(rows, found)
@@ -135,7 +140,7 @@ SCALED = ["ord_n_sum_3m", "ord_n_sum_12m", "ord_days_since_last"]
     + " FROM sliced JOIN st USING (fold_id)",
 )
 def _(spark, sf):
-    out = mx.standardise(sliced(spark, sf), SCALED)
+    out = mx.standardise(sliced(spark, sf, ["numbers"]), SCALED)
     return out.select("fold_id", "role", *KEYS, *[F.round(c, 6).alias(c) for c in SCALED])
 
 

@@ -22,7 +22,7 @@ KEYS = ["entity_id", "as_of_date"]
       / count(*) OVER (PARTITION BY as_of_date) AS score FROM x""",
 )
 def _(spark, sf):
-    return rk.feature_ranker(stored(mt.master(spark, sf), "master"), ["ord_n_sum_12m", "__flip__ord_days_since_last"]).select(*KEYS, "score")
+    return rk.feature_ranker(stored(mt.master(spark, sf, parts=["numbers"]), "master"), ["ord_n_sum_12m", "__flip__ord_days_since_last"]).select(*KEYS, "score")
 
 
 @register(
@@ -54,7 +54,7 @@ WEIGHTS = {"ord_n_sum_3m": 2.0, "ord_n_sum_12m": 1.0, "ord_days_since_last": 0.2
     FROM (UNPIVOT x ON ord_n_sum_3m, ord_n_sum_12m, ord_days_since_last INTO NAME feature_name VALUE mean_)""",
 )
 def _(spark, sf):
-    means = mt.master(spark, sf).agg(*[F.avg(c).alias(c) for c in WEIGHTS])
+    means = mt.master(spark, sf, parts=["numbers"]).agg(*[F.avg(c).alias(c) for c in WEIGHTS])
     long = means.unpivot([], list(WEIGHTS), "feature_name", "mean_")
     weights = rk.ranker_importances(spark, list(WEIGHTS), ["ord_n_sum_12m", "__flip__ord_days_since_last"])
     return long.join(weights, "feature_name").withColumn("mean_", F.round("mean_", 6))
@@ -67,7 +67,7 @@ def _(spark, sf):
     SELECT entity_id, as_of_date, round((r - min(r) OVER w) / (max(r) OVER w - min(r) OVER w), 9) AS score FROM x WINDOW w AS (PARTITION BY as_of_date)""",
 )
 def _(spark, sf):
-    return rk.linear_ranker(stored(mt.master(spark, sf), "master"), WEIGHTS).select(*KEYS, F.round("score", 9).alias("score"))
+    return rk.linear_ranker(stored(mt.master(spark, sf, parts=["numbers"]), "master"), WEIGHTS).select(*KEYS, F.round("score", 9).alias("score"))
 
 
 GRID = {"DecisionTreeClassifier": {"max_depth": [1, 2], "criterion": ["gini", "entropy"]}, "LogisticRegression": {"C": [0.01, 1.0]}}
