@@ -71,7 +71,7 @@ def test_labels_are_strict_on_both_sides(spark, rows, exits):
 SPEC = fe.FeatureSource(
     "events", "e", "event_date",
     windows=(
-        fe.WindowAggregate("amount", "amount", ("sum", "max", "count", "avg"), ("7 days", "1 month", "9999 months")),
+        fe.WindowAggregate("amount", "amount", ("sum", "max", "count", "avg"), ("7 days", "1 month", "30 days", "9999 months")),
         fe.WindowAggregate("big", "1", ("sum",), ("3 months",), where="amount > 5"),
     ),
     history=(
@@ -88,7 +88,7 @@ def brute_features(rows, key):
     mine = [r for r in rows if r[0] == who and r[1] < d]
     inside = lambda iv: [r for r in mine if iv.unbounded or r[1] >= iv.before(d)]
     out = {}
-    for text in ("7 days", "1 month", "9999 months"):
+    for text in ("7 days", "1 month", "30 days", "9999 months"):
         iv = Interval.parse(text)
         amounts = [r[3] for r in inside(iv)]
         out[f"e_amount_sum_{iv.suffix}"] = sum(amounts)
@@ -110,10 +110,10 @@ def as_dict(df):
     return {(r.entity_id, r.as_of_date): {k: v for k, v in r.asDict().items() if k not in ("entity_id", "as_of_date")} for r in df.collect()}
 
 
-@pytest.mark.parametrize("chunk", [200, 4])
-def test_features(spark, rows, exits, chunk):
+@pytest.mark.parametrize("chunk,wide_from", [(200, 40), (4, 40), (200, 1)])
+def test_features(spark, rows, exits, chunk, wide_from):
     events, cohort = make(spark, rows, exits)
-    got = as_dict(fe.build_features(cohort, events, SPEC, DATES, columns_per_aggregate=chunk))
+    got = as_dict(fe.build_features(cohort, events, SPEC, DATES, chunk, wide_from))
     assert got == {k: pytest.approx(brute_features(rows, k)) for k in brute_cohort(rows, exits)}
 
 

@@ -124,25 +124,25 @@ def _first_after(window: Column, day: Column) -> Column:
 
 def _pieces(spec: FeatureSource) -> tuple[dict, dict]:
     """Primitive aggregates that the features are made of: bounded ones by interval, and running ones."""
-    bounded: dict[str, tuple[str, Column, Interval]] = {}
+    bounded: dict[str, tuple[str, Column, Interval, tuple]] = {}
     running: dict[str, tuple[str, Column]] = {}
 
-    def add(name: str, fn: str, value: Column, interval: Interval | None) -> None:
+    def add(name: str, fn: str, value: Column, interval: Interval | None, measure: tuple = ()) -> None:
         if fn not in _MERGE:
             raise ValueError(f"window aggregate {fn!r} is not supported")
         value = F.when(value.isNotNull(), 1) if fn == "count" else value
         if interval is None or interval.unbounded:
             running[name] = (fn, value)
         else:
-            bounded[name] = (fn, value, interval)
+            bounded[name] = (fn, value, interval, (fn, *measure))
 
     for name, w, fn, interval in spec.window_columns():
         value = _guarded(w.arg, w.where)
         if fn == "avg":
-            add(f"{name}__s", "sum", value, interval)
-            add(f"{name}__n", "count", value, interval)
+            add(f"{name}__s", "sum", value, interval, (w.arg, w.where))
+            add(f"{name}__n", "count", value, interval, (w.arg, w.where))
         else:
-            add(name, fn, value, interval)
+            add(name, fn, value, interval, (w.arg, w.where))
     for h in spec.history:
         name = f"{spec.prefix}_{h.name}"
         if h.kind in ("days_since_last", "days_since_first"):
@@ -155,15 +155,32 @@ def _pieces(spec: FeatureSource) -> tuple[dict, dict]:
     return bounded, running
 
 
+def _shorter(interval: Interval, spans: Sequence[Interval], days: Sequence[date]) -> Column:
+    """How many of the intervals are shorter at an as-of date (30 days and 1 month may swap)."""
+    counts = {d: sum(iv.before(d) > interval.before(d) for iv in spans) for d in days}
+    if len(set(counts.values())) == 1:
+        return F.lit(counts[days[0]])
+    return F.element_at(F.create_map(*[F.lit(x) for d, n in counts.items() for x in (d, n)]), F.col("as_of_date"))
+
+
 def aggregate_features(
-    cohort: DataFrame, source: DataFrame, spec: FeatureSource, as_of_dates: Sequence[date | str]
+    cohort: DataFrame,
+    source: DataFrame,
+    spec: FeatureSource,
+    as_of_dates: Sequence[date | str],
+    wide_from: int = 40,
 ) -> DataFrame:
-    """Window, history and date features of one source for every cohort row."""
+    """Window, history and date features of one source for every cohort row.
+
+    From ``wide_from`` bounded columns on, rows are first summed per ring (how many of the
+    intervals do not reach back to the row), one column per measure; the columns of the single
+    intervals are then made from the few rings of a key instead of from every row.
+    """
     bounded, running = _pieces(spec)
     days = sorted({to_date(d) for d in as_of_dates})
     keys = cohort.select(*KEYS).distinct()
     if bounded or running:
-        spans = {iv.before(d): iv for d in days[-1:] for _, _, iv in bounded.values()}
+        spans = {iv.before(d): iv for d in days[-1:] for _, _, iv, _ in bounded.values()}
         longest = spans[min(spans)] if spans else None
         dates = [
             {"as_of": d, "prev": p, "lo": longest.before(d) if longest else d}
@@ -174,18 +191,31 @@ def aggregate_features(
             keep = lambda w: (w["as_of"] > day) & ((w["lo"] <= day) | _first_after(w, day))
         else:
             keep = lambda w: (w["as_of"] > day) & (w["lo"] <= day)
-        inputs = {n: v for n, (_, v, _) in bounded.items()} | {n: v for n, (_, v) in running.items()}
         known = _prepared(source, spec).where(day < F.lit(days[-1]))
-        fanned = fan_out(known, ["entity_id", "_day", *[v.alias(n) for n, v in inputs.items()]], dates, keep)
+        wide = len(bounded) >= wide_from
+        measures = {m: (f"_m{i}", fn, v) for i, (m, (fn, v)) in enumerate({m: (fn, v) for fn, v, _, m in bounded.values()}.items())}
+        inputs = [v.alias(n) for n, _, v in measures.values()] + [v.alias(n) for n, (_, v) in running.items()]
+        fanned = fan_out(known, ["entity_id", "_day", *inputs], dates, keep)
         as_of = F.col("_w.as_of")
-        parts = [
-            F.when(day >= iv.before_col(as_of), F.col(n)).alias(n) for n, (_, _, iv) in bounded.items()
-        ] + [F.when(_first_after(F.col("_w"), day), F.col(n)).alias(n) for n in running]
-        rows = fanned.select("entity_id", as_of.alias("as_of_date"), *parts, F.lit(None).cast("boolean").alias("_key"))
+        started = [F.when(_first_after(F.col("_w"), day), F.col(n)).alias(n) for n in running]
+        if wide:
+            spans = list(dict.fromkeys(iv for _, _, iv, _ in bounded.values()))
+            ring = sum((F.when(iv.before_col(as_of) > day, 1).otherwise(0) for iv in spans), F.lit(0))
+            rows = fanned.select("entity_id", as_of.alias("as_of_date"), ring.alias("_ring"), *[n for n, _, _ in measures.values()], *started)
+            rows = rows.groupBy(*KEYS, "_ring").agg(
+                *[_MERGE[fn](n).alias(n) for n, fn, _ in measures.values()], *[_MERGE[fn](n).alias(n) for n, (fn, _) in running.items()]
+            )
+            inside = {iv: F.col("_ring") <= _shorter(iv, spans, days) for iv in spans}
+            parts = [F.when(inside[iv], F.col(measures[m][0])).alias(n) for n, (_, _, iv, m) in bounded.items()] + list(running)
+            rows = rows.select(*KEYS, *parts)
+        else:
+            parts = [F.when(day >= iv.before_col(as_of), F.col(measures[m][0])).alias(n) for n, (_, _, iv, m) in bounded.items()]
+            rows = fanned.select("entity_id", as_of.alias("as_of_date"), *parts, *started)
+        rows = rows.withColumn("_key", F.lit(None).cast("boolean"))
         rows = rows.unionByName(keys.withColumn("_key", F.lit(True)), allowMissingColumns=True)
         merged = rows.groupBy(*KEYS).agg(
             F.max("_key").alias("_key"),
-            *[_MERGE[fn](n).alias(n) for n, (fn, _, _) in bounded.items()],
+            *[_MERGE[fn](n).alias(n) for n, (fn, _, _, _) in bounded.items()],
             *[_MERGE[fn](n).alias(n) for n, (fn, _) in running.items()],
         )
         if running:
@@ -295,6 +325,7 @@ def build_features(
     spec: FeatureSource,
     as_of_dates: Sequence[date | str],
     columns_per_aggregate: int = 200,
+    wide_from: int = 40,
 ) -> DataFrame:
     """All features of one source, wide.
 
@@ -310,7 +341,7 @@ def build_features(
             spec.name, spec.prefix, spec.knowledge_date, spec.segment, tuple(chunk),
             spec.history if i == 0 else (), (), spec.dates if i == 0 else (), spec.impute_agg, spec.filter,
         )
-        frames.append(aggregate_features(cohort, source, part, as_of_dates))
+        frames.append(aggregate_features(cohort, source, part, as_of_dates, wide_from))
     if spec.modes:
         frames.append(mode_features(cohort, source, spec, as_of_dates))
     return reduce(lambda a, b: a.join(b, KEYS, "inner"), frames)
