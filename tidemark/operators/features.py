@@ -324,7 +324,7 @@ def build_features(
     source: DataFrame,
     spec: FeatureSource,
     as_of_dates: Sequence[date | str],
-    columns_per_aggregate: int = 200,
+    columns_per_aggregate: int = 100,
     wide_from: int = 40,
 ) -> DataFrame:
     """All features of one source, wide.
