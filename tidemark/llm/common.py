@@ -30,3 +30,25 @@ def remainder_of_crc(key: str, divisor: int):
 def hashed_share(key: str, share: float, seed: int):
     """True for about ``share`` of all keys, the same ones on every run."""
     return F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000).cast("long")) < int(max(0.0, min(1.0, share)) * 1_000_000)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable, per_class: int, seed: int):
+    """A bounded sample of labelled texts in the driver, with the weight that restores class shares.
+
+    At most about ``per_class`` documents of each label value, the same ones on every run.
+    ``usable`` is a condition on doc_id. Returns a pandas frame: doc_id, text, y, weight.
+    """
+    from functools import reduce
+
+    y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
+    y = y.filter(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & usable).groupBy("doc_id").agg(F.max("y").alias("y"))
+    y = y.join(docs.select("doc_id").filter("doc_id is not null").distinct(), "doc_id", "left_semi")
+    counts = {r.y: r["count"] for r in y.groupBy("y").count().collect()}
+    picks = [(F.col("y") == k) & hashed_share("doc_id", per_class / n, seed) for k, n in counts.items()]
+    chosen = y.filter(reduce(lambda a, b: a | b, picks)) if picks else y.limit(0)
+    # at most 2 x per_class ids, so the broadcast is bounded
+    rows = docs.filter("text is not null").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y").toPandas()
+    rows = rows.drop_duplicates("doc_id").sort_values("doc_id", ignore_index=True)
+    got = rows.groupby("y").size()
+    rows["weight"] = rows["y"].map(lambda k: counts[k] / got[k]).astype(float)
+    return rows

@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing, sharding
-from tidemark.llm.common import table
+from tidemark.llm import bpe, packing, sharding, toxicity
+from tidemark.llm.common import remainder_of_crc, table
 
 QUERIES = {}
 ORACLE = {}
@@ -27,6 +27,14 @@ def op6_byte_bpe(spark, sf):
     return bpe.encode_documents(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query
+def op8_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    held_out = remainder_of_crc("doc_id", 3) == 1
+    model = toxicity.fit_toxicity(docs, table(spark, sf, "labels"), ~held_out)
+    return toxicity.score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query
 def op10_sharding(spark, sf):
     placed = sharding.shard_documents(table(spark, sf, "documents"), 16)
