@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing, sharding, toxicity
+from tidemark.llm import bpe, langid, packing, quality, sharding, toxicity
 from tidemark.llm.common import remainder_of_crc, table
 
 QUERIES = {}
@@ -17,6 +17,21 @@ def query(fn):
     return fn
 
 
+@query
+def op1_quality_rules(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = quality.fit_quality(docs, table(spark, sf, "labels"), F.lit(True))
+    return quality.judge(docs, model)
+
+
+@query
+def op3_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    held_out = remainder_of_crc("doc_id", 4) == 2
+    model = langid.fit_languages(docs, public_tokenizers.path("piece_bpe_32k.model"), ~held_out)
+    return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op5_best_fit_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
