@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, langid, packing, quality, sharding, toxicity
+from tidemark.llm import bpe, langid, minhash, packing, quality, sharding, toxicity
 from tidemark.llm.common import remainder_of_crc, table
 
 QUERIES = {}
@@ -32,6 +32,14 @@ def op3_language_id(spark, sf):
     return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op4_minhash_near_dedup(spark, sf):
+    return minhash.near_duplicates(table(spark, sf, "documents"))
+
+
+ORACLE["op4_minhash_near_dedup"] = minhash.oracle_sql()
+
+
 @query
 def op5_best_fit_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
