@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, langid, minhash, packing, quality, sharding, toxicity
+from tidemark.llm import bpe, langid, minhash, packing, quality, sharding, toxicity, vectors
 from tidemark.llm.common import remainder_of_crc, table
 
 QUERIES = {}
@@ -50,6 +50,14 @@ def op6_byte_bpe(spark, sf):
     return bpe.encode_documents(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query
+def op7_embedding_near_dedup(spark, sf):
+    return vectors.near_duplicate_vectors(table(spark, sf, "embeddings"))
+
+
+ORACLE["op7_embedding_near_dedup"] = vectors.oracle_sql()
+
+
 @query
 def op8_toxicity(spark, sf):
     docs = table(spark, sf, "documents")
