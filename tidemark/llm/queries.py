@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, langid, minhash, packing, quality, sharding, toxicity, vectors
+from tidemark.llm import bpe, langid, minhash, packing, quality, sharding, toxicity, vectors, warc
 from tidemark.llm.common import remainder_of_crc, table
 
 QUERIES = {}
@@ -24,6 +24,14 @@ def op1_quality_rules(spark, sf):
     return quality.judge(docs, model)
 
 
+@query
+def op2_warc_index(spark, sf):
+    return warc.archive_pages(table(spark, sf, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op2_warc_index"] = warc.ORACLE_SQL
+
+
 @query
 def op3_language_id(spark, sf):
     docs = table(spark, sf, "documents")
