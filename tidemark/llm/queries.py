@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, langid, minhash, packing, quality, sharding, toxicity, vectors, warc
+from tidemark.llm import bpe, langid, licenses, minhash, packing, quality, sharding, toxicity, vectors, warc
 from tidemark.llm.common import remainder_of_crc, table
 
 QUERIES = {}
@@ -74,6 +74,11 @@ def op8_toxicity(spark, sf):
     return toxicity.score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+@query
+def op9_license_scan(spark, sf):
+    return licenses.scan_licenses(table(spark, sf, "documents"))
+
+
 @query
 def op10_sharding(spark, sf):
     placed = sharding.shard_documents(table(spark, sf, "documents"), 16)
@@ -89,5 +94,8 @@ def op10_sharding(spark, sf):
 
 
 def load_all():
-    """Registry and SQL."""
-    return QUERIES, ORACLE
+    """Registry and SQL, the pipeline's included."""
+    import corpus_pipeline
+
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**QUERIES, "pipeline": corpus_pipeline.run}, {**ORACLE, **sql}
