@@ -1,0 +1,45 @@
+import os
+
+import pytest
+from test_minhash import exact
+from test_packing import check
+from test_quality import by_hand
+
+import __spark_entry__ as entry
+import corpus_pipeline
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="needs the driver's tables")
+def test_stages_do_what_they_say(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, frames = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, stage(spark, docs, SF).cache()
+        frames[name] = before, docs
+        if name != "packing":
+            assert docs.columns == columns and docs.count() > 0
+    rows = lambda df: {r.doc_id: r.text for r in df.collect()}
+    before, after = map(rows, frames["language_id"])
+    assert {k for k in before if k not in after} == {k for k, t in before.items() if not any(c.isalpha() for c in t or "")}
+    before, after = map(rows, frames["quality_rules"])
+    for k, t in before.items():
+        n, _, _, _, repeated = by_hand(t)
+        assert k not in after or (n >= 50 and 100 * repeated <= 50 * n)
+    before, after = map(rows, frames["near_dedup"])
+    assert set(after) == {k for k, (_, _, kept) in exact(before.items(), 5, 80).items() if kept}
+    check(frames["packing"][1].collect(), after, 4096)
+
+
+def test_rows_without_key_and_repeated_rows(spark):
+    text = " ".join(f"word{i}" for i in range(80))
+    docs = spark.createDataFrame([(1, text), (1, text), (2, text), (None, text), (None, None), (3, None)], "doc_id long, text string")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
+    assert sorted(((r.doc_id or 0, r.text is None) for r in out)) == [(0, False), (0, True), (1, False), (3, True)]
+
+
+def test_registered():
+    names = set(entry.queries())
+    assert {"pipeline"} | {f"op{n}_" for n in range(1, 11)} <= {"pipeline"} | {n.split("_")[0] + "_" for n in names if n.startswith("op")}
+    assert set(entry.oracle_sql()) <= names
