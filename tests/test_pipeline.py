@@ -49,12 +49,39 @@ def test_experiment_end_to_end(spark, tmp_path):
     order = lambda df: {tuple(r[c] for c in keys): r.value for r in df.collect()}
     assert order(kept) == pytest.approx(order(again)) and kept.count() == 7 * 4 * len(folds)
     assert spark.read.parquet(f"{folder}/importances").select("model_id").distinct().count() == 4 * len(folds)
-    labels = spark.read.parquet(f"{folder}/label_any_trouble_all")
+    labels = spark.read.parquet(f"{folder}/experiment_{run}/label_any_trouble_all")
     for d in {f.validation_date for f in folds}:
         day = F.col("as_of_date") == d
         assert preds.where(day).count() == 4 * labels.where(day).count()
 
 
+def test_experiments_share_a_folder(spark, tmp_path):
+    folder = str(tmp_path)
+    exp = Experiment(
+        temporal=fo.FoldConfig("1999-01-01", "2000-01-01", 6, 6, 12, fold_shift_months=6, multiple_folds=False),
+        interval_back="3 months", segment_sources=b.SEGMENT_SOURCES, selected_labels=b.LABEL_NAMES, label_group="Any trouble",
+        feature_sources=[mt.NUMBERS], models={"LinearRanker": {"features": [["ord_n_sum_3m", "ord_n_sum_12m"]], "weights": [[2.0, 1.0]]}},
+        k=115, segment_ks=b.SEGMENT_KS, exclude_sources=b.EXCLUDED,
+    )
+    tables = {"orders": tp.order_source(spark, SF)}
+
+    def run(e, day):
+        return run_experiment(spark, e, b.entity_events(spark, SF), b.label_events(spark, SF), tables, folder, b.exits(spark, SF), lambda: datetime(2020, 1, day))
+
+    def stored():
+        rows = rs.read_predictions(spark, folder).collect()
+        assert len({(r.model_id, r.entity_id, r.as_of_date) for r in rows}) == len(rows)
+        return {name: spark.read.parquet(f"{folder}/{name}").count() for name in ("predictions", "evaluations", "models", "model_sets", "importances")}, set(map(str, rows))
+
+    first = run(exp, 1)
+    counts, rows = stored()
+    assert run(exp, 1) == first and stored() == (counts, rows)
+    east = Experiment(**{**vars(exp), "segment": "east"})
+    assert len({first, run(exp, 2), run(east, 2)}) == 3
+    more, both = stored()
+    assert rows < both and more["models"] == 3 * counts["models"] and more["predictions"] > 2 * counts["predictions"]
+
+
 def test_etl_runs_in_dependency_order(spark, tmp_path):
     raw = {"clients": spark.createDataFrame([(1, "a ")], "id int, name string"), "visits": spark.createDataFrame([("A", "01/02/2020")], "name string, day string")}
     steps = [

@@ -117,6 +117,44 @@ def test_features(spark, rows, exits, chunk, wide_from):
     assert got == {k: pytest.approx(brute_features(rows, k)) for k in brute_cohort(rows, exits)}
 
 
+def test_window_bound_follows_the_date(spark):
+    """30 days reach further back than a month on 1 March, and less far on 1 February."""
+    cohort = spark.createDataFrame([(1, date(2024, 2, 1)), (1, date(2024, 3, 1))], "entity_id long, as_of_date date")
+    source = spark.createDataFrame([(1, date(2024, 1, 1), 5.0)], "entity_id long, day date, v double")
+    for wide_from in (1, 40):
+        spec = fe.FeatureSource("s", "s", "day", windows=(fe.WindowAggregate("v", "v", ("sum",), ("30 days", "1 month")),))
+        got = {r.as_of_date.month: r.s_v_sum_1m for r in fe.build_features(cohort, source, spec, [date(2024, 2, 1), date(2024, 3, 1)], wide_from=wide_from).collect()}
+        assert got == {2: 5.0, 3: 0.0}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_mixed_units_against_brute_force(spark, rows, exits, seed):
+    rng = random.Random(seed)
+    events, cohort = make(spark, rows, exits)
+    units = [f"{n} {u}" for n, u in ((1, "month"), (30, "days"), (4, "weeks"), (52, "weeks"), (1, "year"), (12, "months"), (365, "days"), (366, "days"), (9, "weeks"), (2, "months"), (61, "days"))]
+    chosen = rng.sample(units, 5)
+    spec = fe.FeatureSource("events", "e", "event_date", windows=(fe.WindowAggregate("a", "amount", ("sum", "count"), chosen),))
+    want = {}
+    for who, d in brute_cohort(rows, exits):
+        for name, _, fn, iv in spec.window_columns():
+            inside = [r[3] for r in rows if r[0] == who and iv.before(d) <= r[1] < d]
+            want[(who, d, name)] = sum(inside) if fn == "sum" else len(inside)
+    for wide_from, columns in ((1, 100), (40, 100), (1, 3)):
+        found = fe.build_features(cohort, events, spec, DATES, columns, wide_from).collect()
+        assert {(r.entity_id, r.as_of_date, c[0]): r[c[0]] for r in found for c in spec.window_columns()} == want
+
+
+def test_where_of_a_flag_and_names_shared(spark):
+    cohort = spark.createDataFrame([(1, date(2024, 2, 1))], "entity_id long, as_of_date date")
+    source = spark.createDataFrame([(1, date(2024, 1, 1), 5.0)], "entity_id long, day date, v double")
+    flag = fe.FeatureSource("s", "s", "day", history=(fe.HistoryFeature("f", "ever", "v > 1", where="v > 9"), fe.HistoryFeature("g", "ever", "v > 1")))
+    row = fe.build_features(cohort, source, flag, [date(2024, 2, 1)]).first()
+    assert (row.s_f, row.s_g) == (0, 1)
+    same = fe.WindowAggregate("v", "v", ("sum",), ("1 month",), where="v > 7")
+    with pytest.raises(ValueError):
+        fe.build_features(cohort, source, fe.FeatureSource("s", "s", "day", windows=(same, fe.WindowAggregate("v", "v", ("sum",), ("1 month",)))), [date(2024, 2, 1)])
+
+
 def test_later_events_never_change_features(spark, rows, exits):
     _, cohort = make(spark, rows, exits)
     cohort = cohort.where(F.col("as_of_date") == DATES[1])

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.dates import Interval, fan_out, to_date
+from tidemark.session import stored
 
 KEYS = ["entity_id", "as_of_date"]
 
@@ -103,6 +104,14 @@ class FeatureSource:
         return [f"{self.prefix}_{m.name}" for m in (*self.modes, *self.dates)]
 
 
+def check_unique(spec: FeatureSource) -> None:
+    """Raises if two features of a source would share a column name."""
+    names = spec.numeric_columns() + spec.categorical_columns()
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise ValueError(f"features of {spec.name!r} share column names: {', '.join(twice)}")
+
+
 def _guarded(arg: str, where: str | None) -> Column:
     value = F.expr(arg)
     return F.when(F.expr(where), value) if where else value
@@ -149,7 +158,7 @@ def _pieces(spec: FeatureSource) -> tuple[dict, dict]:
             day = F.when(F.expr(h.where), F.col("_day")) if h.where else F.col("_day")
             add(name, "max" if h.kind == "days_since_last" else "min", day, None)
         elif h.kind == "ever":
-            add(name, "max", F.when(F.expr(h.arg), 1).otherwise(0), None)
+            add(name, "max", F.when(F.expr(f"({h.arg}) and ({h.where})" if h.where else h.arg), 1).otherwise(0), None)
         else:
             add(name, h.kind, _guarded(h.arg or "1", h.where), None)
     return bounded, running
@@ -163,67 +172,82 @@ def _shorter(interval: Interval, spans: Sequence[Interval], days: Sequence[date]
     return F.element_at(F.create_map(*[F.lit(x) for d, n in counts.items() for x in (d, n)]), F.col("as_of_date"))
 
 
+def _rings(source: DataFrame, spec: FeatureSource, pieces: tuple[dict, dict], days: Sequence[date], by_ring: bool) -> tuple[DataFrame, dict[str, Column]]:
+    """Rows of one source by (entity, as-of date), and what each bounded column takes from them.
+
+    ``by_ring`` first sums rows per ring: how many of the intervals do not reach back to a row.
+    There is then one column per measure, and few rows per key, however many columns there are.
+    """
+    bounded, running = pieces
+    intervals = list(dict.fromkeys(iv for _, _, iv, _ in bounded.values()))
+    dates = [
+        {"as_of": d, "prev": p, "lo": min((iv.before(d) for iv in intervals), default=d)}
+        for p, d in zip([None, *days], days)
+    ]
+    day = F.col("_day")
+    if running:
+        keep = lambda w: (w["as_of"] > day) & ((w["lo"] <= day) | _first_after(w, day))
+    else:
+        keep = lambda w: (w["as_of"] > day) & (w["lo"] <= day)
+    known = _prepared(source, spec).where(day < F.lit(days[-1]))
+    measures = {m: (f"_m{i}", fn, v) for i, (m, (fn, v)) in enumerate({m: (fn, v) for fn, v, _, m in bounded.values()}.items())}
+    inputs = [v.alias(n) for n, _, v in measures.values()] + [v.alias(n) for n, (_, v) in running.items()]
+    fanned = fan_out(known, ["entity_id", "_day", *inputs], dates, keep)
+    as_of = F.col("_w.as_of")
+    started = [F.when(_first_after(F.col("_w"), day), F.col(n)).alias(n) for n in running]
+    names = [n for n, _, _ in measures.values()]
+    if not by_ring:
+        rows = fanned.select("entity_id", as_of.alias("as_of_date"), "_day", *names, *started)
+        return rows, {n: F.when(day >= iv.before_col(F.col("as_of_date")), F.col(measures[m][0])) for n, (_, _, iv, m) in bounded.items()}
+    ring = sum((F.when(iv.before_col(as_of) > day, 1).otherwise(0) for iv in intervals), F.lit(0))
+    rows = fanned.select("entity_id", as_of.alias("as_of_date"), ring.alias("_ring"), *names, *started)
+    rows = rows.groupBy(*KEYS, "_ring").agg(
+        *[_MERGE[fn](n).alias(n) for n, fn, _ in measures.values()], *[_MERGE[fn](n).alias(n) for n, (fn, _) in running.items()]
+    )
+    inside = {iv: F.col("_ring") <= _shorter(iv, intervals, days) for iv in intervals}
+    return rows, {n: F.when(inside[iv], F.col(measures[m][0])) for n, (_, _, iv, m) in bounded.items()}
+
+
 def aggregate_features(
     cohort: DataFrame,
     source: DataFrame,
     spec: FeatureSource,
     as_of_dates: Sequence[date | str],
-    wide_from: int = 40,
+    columns_per_aggregate: int = 100,
+    wide_from: int = 1,
 ) -> DataFrame:
     """Window, history and date features of one source for every cohort row.
 
-    From ``wide_from`` bounded columns on, rows are first summed per ring (how many of the
-    intervals do not reach back to the row), one column per measure; the columns of the single
-    intervals are then made from the few rings of a key instead of from every row.
+    Specs of ``wide_from`` bounded columns and more are summed by ring first (see ``_rings``);
+    by default all are. Above ``columns_per_aggregate`` columns the rings are written once, and
+    columns are made from them in groups, so the source is read and fanned out once.
     """
-    bounded, running = _pieces(spec)
+    check_unique(spec)
+    pieces = bounded, running = _pieces(spec)
     days = sorted({to_date(d) for d in as_of_dates})
     keys = cohort.select(*KEYS).distinct()
     if bounded or running:
-        spans = {iv.before(d): iv for d in days[-1:] for _, _, iv, _ in bounded.values()}
-        longest = spans[min(spans)] if spans else None
-        dates = [
-            {"as_of": d, "prev": p, "lo": longest.before(d) if longest else d}
-            for p, d in zip([None, *days], days)
-        ]
-        day = F.col("_day")
-        if running:
-            keep = lambda w: (w["as_of"] > day) & ((w["lo"] <= day) | _first_after(w, day))
-        else:
-            keep = lambda w: (w["as_of"] > day) & (w["lo"] <= day)
-        known = _prepared(source, spec).where(day < F.lit(days[-1]))
-        wide = len(bounded) >= wide_from
-        measures = {m: (f"_m{i}", fn, v) for i, (m, (fn, v)) in enumerate({m: (fn, v) for fn, v, _, m in bounded.values()}.items())}
-        inputs = [v.alias(n) for n, _, v in measures.values()] + [v.alias(n) for n, (_, v) in running.items()]
-        fanned = fan_out(known, ["entity_id", "_day", *inputs], dates, keep)
-        as_of = F.col("_w.as_of")
-        started = [F.when(_first_after(F.col("_w"), day), F.col(n)).alias(n) for n in running]
-        if wide:
-            spans = list(dict.fromkeys(iv for _, _, iv, _ in bounded.values()))
-            ring = sum((F.when(iv.before_col(as_of) > day, 1).otherwise(0) for iv in spans), F.lit(0))
-            rows = fanned.select("entity_id", as_of.alias("as_of_date"), ring.alias("_ring"), *[n for n, _, _ in measures.values()], *started)
-            rows = rows.groupBy(*KEYS, "_ring").agg(
-                *[_MERGE[fn](n).alias(n) for n, fn, _ in measures.values()], *[_MERGE[fn](n).alias(n) for n, (fn, _) in running.items()]
+        by_ring = bool(bounded) and len(bounded) >= wide_from
+        rows, parts = _rings(source, spec, pieces, days, by_ring)
+        names = list(bounded)
+        groups = [names[i : i + columns_per_aggregate] for i in range(0, len(names), columns_per_aggregate)] or [[]]
+        if len(groups) > 1:
+            rows = stored(rows, "rings")
+        marked = keys.withColumn("_key", F.lit(True))
+        merged = []
+        for i, group in enumerate(groups):
+            started = running if i == 0 else {}
+            part = rows.select(*KEYS, F.lit(None).cast("boolean").alias("_key"), *[parts[n].alias(n) for n in group], *started)
+            part = part.unionByName(marked, allowMissingColumns=True).groupBy(*KEYS).agg(
+                F.max("_key").alias("_key"),
+                *[_MERGE[bounded[n][0]](n).alias(n) for n in group],
+                *[_MERGE[fn](n).alias(n) for n, (fn, _) in started.items()],
             )
-            inside = {iv: F.col("_ring") <= _shorter(iv, spans, days) for iv in spans}
-            parts = [F.when(inside[iv], F.col(measures[m][0])).alias(n) for n, (_, _, iv, m) in bounded.items()] + list(running)
-            rows = rows.select(*KEYS, *parts)
-        else:
-            parts = [F.when(day >= iv.before_col(as_of), F.col(measures[m][0])).alias(n) for n, (_, _, iv, m) in bounded.items()]
-            rows = fanned.select("entity_id", as_of.alias("as_of_date"), *parts, *started)
-        rows = rows.withColumn("_key", F.lit(None).cast("boolean"))
-        rows = rows.unionByName(keys.withColumn("_key", F.lit(True)), allowMissingColumns=True)
-        merged = rows.groupBy(*KEYS).agg(
-            F.max("_key").alias("_key"),
-            *[_MERGE[fn](n).alias(n) for n, (fn, _, _, _) in bounded.items()],
-            *[_MERGE[fn](n).alias(n) for n, (fn, _) in running.items()],
-        )
-        if running:
-            so_far = Window.partitionBy("entity_id").orderBy("as_of_date").rowsBetween(Window.unboundedPreceding, 0)
-            merged = merged.select(
-                *KEYS, "_key", *bounded, *[_MERGE[fn](n).over(so_far).alias(n) for n, (fn, _) in running.items()]
-            )
-        keys = merged.where("_key")
+            if started:
+                so_far = Window.partitionBy("entity_id").orderBy("as_of_date").rowsBetween(Window.unboundedPreceding, 0)
+                part = part.select(*KEYS, "_key", *group, *[_MERGE[fn](n).over(so_far).alias(n) for n, (fn, _) in running.items()])
+            merged.append(part.where("_key").drop("_key"))
+        keys = reduce(lambda a, b: a.join(b, KEYS), merged)
 
     out = []
     for name, _, fn, _ in spec.window_columns():
@@ -325,26 +349,11 @@ def build_features(
     spec: FeatureSource,
     as_of_dates: Sequence[date | str],
     columns_per_aggregate: int = 100,
-    wide_from: int = 40,
+    wide_from: int = 1,
 ) -> DataFrame:
-    """All features of one source, wide.
-
-    More than ``columns_per_aggregate`` window columns are computed in several aggregates
-    joined on the key, which keeps the generated code of each one small.
-    """
-    frames = []
-    windows = list(spec.windows)
-    size = max(1, columns_per_aggregate // max(1, max((len(w.fns) * len(w.intervals) for w in windows), default=1)))
-    chunks = [windows[i : i + size] for i in range(0, len(windows), size)] or [[]]
-    for i, chunk in enumerate(chunks):
-        part = FeatureSource(
-            spec.name, spec.prefix, spec.knowledge_date, spec.segment, tuple(chunk),
-            spec.history if i == 0 else (), (), spec.dates if i == 0 else (), spec.impute_agg, spec.filter,
-        )
-        frames.append(aggregate_features(cohort, source, part, as_of_dates, wide_from))
-    if spec.modes:
-        frames.append(mode_features(cohort, source, spec, as_of_dates))
-    return reduce(lambda a, b: a.join(b, KEYS, "inner"), frames)
+    """All features of one source, wide. Two columns of one name are an error."""
+    out = aggregate_features(cohort, source, spec, as_of_dates, columns_per_aggregate, wide_from)
+    return out.join(mode_features(cohort, source, spec, as_of_dates), KEYS) if spec.modes else out
 
 
 def columns_for_segment(specs: Sequence[FeatureSource], segment: str) -> list[str]:

@@ -53,6 +53,11 @@ def run_experiment(
 ) -> int:
     """Run the experiment and write all its tables below ``folder``; gives the experiment id.
 
+    Cohort, labels, features, matrices and scores lie in a folder of the experiment's own, so
+    several experiments share ``folder``. Predictions replace those of the same model. The id is
+    a hash of settings and starting time (``clock``): a retry with the same clock takes the same
+    id and replaces its rows; with another clock it is an experiment of its own.
+
     Each stage is written once and read back, so that later stages and lost executors restart
     from tables, and matrix statistics and ranks read stored rows.
     """
@@ -63,27 +68,28 @@ def run_experiment(
         "labels": {"months_future": exp.temporal.months_future, "selected_labels": list(exp.selected_labels)},
     }
     experiment_id = rs.start_experiment(spark, folder, config, exp.segment, exp.label_group, clock())
+    place = f"{folder}/experiment_{experiment_id}"
     folds = fo.make_folds(exp.temporal)
     dates = fo.all_dates(folds)
     by_date = ["as_of_date"]
 
     cohort = rs.overwrite(
         co.build_cohort(events, dates, exp.interval_back, exp.segment_sources, exp.exclude_sources, exits),
-        f"{folder}/cohort", by_date,
+        f"{place}/cohort", by_date,
     )
     labels = co.build_labels(cohort, label_events, exp.selected_labels, dates, exp.temporal.months_future, exp.segments)
-    labels = rs.overwrite(labels, f"{folder}/{co.label_table_name(exp.label_group, exp.segment)}", by_date)
+    labels = rs.overwrite(labels, f"{place}/{co.label_table_name(exp.label_group, exp.segment)}", by_date)
     features = [
-        rs.overwrite(build_features(cohort, tables[s.name], s, dates), f"{folder}/features/{s.name}_{s.prefix}", by_date)
+        rs.overwrite(build_features(cohort, tables[s.name], s, dates), f"{place}/features/{s.name}_{s.prefix}", by_date)
         for s in exp.feature_sources
     ]
     master = mx.master_matrix(cohort, features)
     wanted = columns_for_segment(exp.feature_sources, exp.segment)
-    master = rs.overwrite(master.select(*mx.KEYS, *wanted), f"{folder}/master", by_date)
+    master = rs.overwrite(master.select(*mx.KEYS, *wanted), f"{place}/master", by_date)
     text, numbers = mx.split_column_kinds(master)
 
     sets = rs.model_set_rows(spark, experiment_id, model_grid(exp.models), config["temporal"])
-    rs.append(sets, folder, "model_sets")
+    rs.overwrite_partitions(sets, f"{folder}/model_sets", ["experiment_id"])
     set_ids = [(r.model_set_id, r.type, r.params) for r in sets.collect()]
     grid = {(kind, _key(params)): params for kind, params in model_grid(exp.models)}
 
@@ -97,30 +103,33 @@ def run_experiment(
         columns = [c for c in rows.columns if c not in (*mx.KEYS, "fold_id", "role")]
         rows = mx.align_labels(mx.standardise(rows, columns), labels)
         name = mx.fold_fingerprint(fold, exp.segment)
-        rows = rs.overwrite(rows, f"{folder}/matrices/{name}", ["role"])
+        rows = rs.overwrite(rows, f"{place}/matrices/{name}", ["role"])
         train, validation = rows.where("role = 'train'"), rows.where("role = 'validation'")
         if train.isEmpty() or validation.isEmpty():
             raise ValueError(f"fold {i} has no training or no validation rows")
         end = max(fold.train_dates)
         models = rs.model_rows(sets, [end])
-        rs.append(models, folder, "models")
+        rs.overwrite_partitions(models, f"{folder}/models", ["model_set_id", "train_end_date"])
         ids = {r.model_set_id: r.model_id for r in models.collect()}
         weights = []
         for set_id, kind, params in set_ids:
             fitted = ln.fit(train, columns, kind, grid[(kind, params)])
-            rs.append(fitted.score(validation).withColumn("model_id", F.lit(ids[set_id])), folder, f"scores/{name}", ["model_id"])
+            scored = fitted.score(validation).withColumn("model_id", F.lit(ids[set_id]))
+            rs.overwrite_partitions(scored, f"{place}/scores/{name}", ["model_id"])
             own = fitted.importances(spark)
             if own is not None:
                 weights.append(own.select(F.lit(ids[set_id]).alias("model_id"), F.lit(end).alias("train_end_date"), "*"))
             if fitted.model is not None:
                 ln.save(fitted, f"{folder}/saved_models/{kind}_{set_id}_{ids[set_id]}")
         # All models of the fold are ranked and evaluated together.
-        scores = spark.read.parquet(f"{folder}/scores/{name}").withColumn("model_id", F.col("model_id").cast("long"))
+        scores = spark.read.parquet(f"{place}/scores/{name}").withColumn("model_id", F.col("model_id").cast("long"))
+        scores = scores.where(F.col("model_id").isin(list(ids.values())))
         rs.save_predictions(rank_predictions(attach_labels(scores, labels)), folder)
         stored = rs.read_predictions(spark, folder, list(ids.values()))
-        rs.append(ev.evaluation_rows(stored, exp.k, exp.segment_ks, overall=exp.segment == "ALL"), folder, "evaluations")
+        evaluations = ev.evaluation_rows(stored, exp.k, exp.segment_ks, overall=exp.segment == "ALL")
+        rs.overwrite_partitions(evaluations, f"{folder}/evaluations", ["model_id"])
         if weights:
-            rs.append(reduce(DataFrame.unionByName, weights), folder, "importances")
+            rs.overwrite_partitions(reduce(DataFrame.unionByName, weights), f"{folder}/importances", ["model_id"])
     rs.end_experiment(spark, folder, experiment_id, clock())
     return experiment_id
 

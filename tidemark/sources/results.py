@@ -96,9 +96,12 @@ def model_rows(model_sets: DataFrame, train_end_dates: Sequence) -> DataFrame:
 
 
 def save_predictions(predictions: DataFrame, folder: str, csv: bool = False) -> str:
-    """Predictions, one partition per model; CSV with a header if wanted."""
+    """Predictions, one partition per model; CSV with a header if wanted.
+
+    Earlier predictions of the same models are replaced, so that a retry adds nothing.
+    """
     path = f"{folder}/predictions" + ("_csv" if csv else "")
-    writer = _arranged(predictions, ["model_id"]).write.mode("append").partitionBy("model_id")
+    writer = _arranged(predictions, ["model_id"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model_id")
     writer.option("header", True).csv(path) if csv else writer.parquet(path)
     return path
 
