@@ -6,9 +6,14 @@ form bands of their own, maxima too. Documents that share a band are candidates;
 confirmed on their full shingle sets.
 
 Equal sets are one class from the start, and only the class is compared. A band never gives all
-pairs of its classes: first each class meets the band's smallest class, and once those links are
-joined to components, only pairs from different components that the first step has not tested
-remain. What is left after the second step could link nothing further.
+pairs of its classes: each class meets the band's smallest class, in some bands first and then in
+all, and only if they are not in one component yet. After that, only pairs from different
+components that were not tested remain, and what is left after those could link nothing further.
+
+In that last step a sketch estimates a pair's similarity before sets are fetched: two bits of the
+minima and maxima under many more permutations, made only for documents that share a band. Pairs
+whose sketches agree less than those of a pair at the threshold do, by 5.5 standard deviations,
+are let go. Bands are compared in blocks of bounded size, and a pair counts in its first band.
 """
 
 from __future__ import annotations
@@ -24,10 +29,14 @@ from tidemark.llm.components import connected_components
 from tidemark.session import stored
 
 ROWS, GROUPS = 7, 36  # 36 groups of 7 permutations: 36 bands of minima and 36 of maxima
+VALUES = 2048  # sketched values: 1024 minima and 1024 maxima
+SKETCH = VALUES // 32  # longs of two bits per value
 CHUNK = 1024
 _RANDOM = np.random.default_rng(20240229)
 MULTIPLIERS = _RANDOM.integers(0, 1 << 63, (ROWS * GROUPS, 1), np.uint64) * np.uint64(2) + np.uint64(1)
 MASKS = _RANDOM.integers(0, 1 << 63, (ROWS * GROUPS, 1), np.uint64) * np.uint64(2)
+SKETCH_MULTIPLIERS = _RANDOM.integers(0, 1 << 63, (VALUES // 2, 1), np.uint64) * np.uint64(2) + np.uint64(1)
+SKETCH_MASKS = _RANDOM.integers(0, 1 << 63, (VALUES // 2, 1), np.uint64) * np.uint64(2)
 BAND_MIX = _RANDOM.integers(0, 1 << 63, (2 * GROUPS, ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
 SIGNED = "doc_id long, n_shingles long, cls binary, bands array<long>"
 
@@ -51,17 +60,35 @@ def shingles(text: str | None, size: int) -> np.ndarray:
     return np.unique(run)
 
 
-def bands(values: np.ndarray) -> np.ndarray:
-    """Band hashes of a set, minima first."""
-    low, high = np.full(len(MULTIPLIERS), np.iinfo(np.uint64).max, np.uint64), np.zeros(len(MULTIPLIERS), np.uint64)
+def extremes(values: np.ndarray, multipliers: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Minimum and maximum of a set under each permutation."""
+    low, high = np.full(len(multipliers), np.iinfo(np.uint64).max, np.uint64), np.zeros(len(multipliers), np.uint64)
     for at in range(0, len(values), CHUNK):
-        h = (values[None, at : at + CHUNK] ^ MASKS) * MULTIPLIERS
+        h = (values[None, at : at + CHUNK] ^ masks) * multipliers
         np.minimum(low, h.min(axis=1), out=low)
         np.maximum(high, h.max(axis=1), out=high)
+    return low, high
+
+
+def bands(values: np.ndarray) -> np.ndarray:
+    """Band hashes of a set, minima first."""
+    low, high = extremes(values, MULTIPLIERS, MASKS)
     rows = np.concatenate([low.reshape(GROUPS, ROWS), high.reshape(GROUPS, ROWS)])
     return _mix((_mix(rows) * BAND_MIX).sum(axis=1, dtype=np.uint64)).view(np.int64)
 
 
+def sketch(values: np.ndarray) -> np.ndarray:
+    """Two bits of every sketched value."""
+    two = _mix(np.concatenate(extremes(values, SKETCH_MULTIPLIERS, SKETCH_MASKS))) & np.uint64(3)
+    return (two.reshape(SKETCH, 32) << np.arange(0, 64, 2, dtype=np.uint64)).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
+def least_agreement(percent: int) -> int:
+    """Agreeing sketch values below which a pair is let go."""
+    p = percent / 100 + (1 - percent / 100) / 4
+    return int(VALUES * p - 5.5 * (VALUES * p * (1 - p)) ** 0.5)
+
+
 def _signed(texts: DataFrame, size: int) -> DataFrame:
     """Set size, class (hash of the whole set) and bands; the last two are null for an empty set."""
 
@@ -88,11 +115,15 @@ def _signed(texts: DataFrame, size: int) -> DataFrame:
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
+    """Shingles and sketch of every text."""
+
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t.as_py(), size).tobytes() for t in batch.column(1)], pa.binary())], names=["node", "items"])
+            sets = [shingles(t.as_py(), size) for t in batch.column(1)]
+            columns = [batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(map(len, sets), pa.int64()), pa.array([sketch(s) for s in sets], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "items", "n", "sketch"])
 
-    return texts.mapInArrow(run, "node long, items binary")
+    return texts.mapInArrow(run, "node long, items binary, n long, sketch array<long>")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -111,10 +142,53 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _of_like_size(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose set sizes allow the similarity."""
-    pairs = pairs.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("m")), "a").join(sizes.select(F.col("node").alias("b"), F.col("n").alias("o")), "b")
-    return pairs.filter(F.least("m", "o") * 100 >= F.greatest("m", "o") * percent).select("a", "b")
+def _sketched_pairs(rows: DataFrame, percent: int, block: int = 512) -> DataFrame:
+    """Pairs (a, b) of different components that share a band and whose sizes and sketches allow the similarity.
+
+    rows: pos, band, node, component, n, sketch and bands (those of the node).
+    """
+    least = least_agreement(percent)
+
+    def compare(group: pa.Table):
+        node, component, n, x = (group.column(c).to_numpy() for c in ("node", "component", "n", "x"))
+        wide = lambda c: group.column(c).combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        sketches, bands_of = wide("sketch").view(np.uint64), wide("bands")
+        i, j = np.triu_indices(len(node), 1)
+        ok = component[i] != component[j]
+        if group.column("i")[0].as_py() != group.column("j")[0].as_py():
+            ok &= x[i] != x[j]  # pairs inside one block are compared elsewhere
+        i, j = i[ok], j[ok]
+        ok = np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent
+        i, j = i[ok], j[ok]
+        for at in range(0, len(i), 16_384):
+            p, q = i[at : at + 16_384], j[at : at + 16_384]
+            d = sketches[p] ^ sketches[q]
+            agree = VALUES - np.bitwise_count((d | (d >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=1)
+            p, q = p[agree >= least], q[agree >= least]
+            first = (bands_of[p] == bands_of[q]).argmax(axis=1) == group.column("pos")[0].as_py()
+            yield np.minimum(node[p[first]], node[q[first]]), np.maximum(node[p[first]], node[q[first]])
+
+    def run(batches):
+        held = None  # rows of the last group, which may go on
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table]).combine_chunks()
+            keys = table.column("g").to_numpy()
+            edges = np.r_[0, np.flatnonzero(keys[1:] != keys[:-1]) + 1] if len(keys) else np.zeros(1, int)
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                if hi - lo > 1:
+                    for a, b in compare(table.slice(lo, hi - lo)):
+                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            held = table.slice(edges[-1])
+        if held is not None and held.num_rows > 1:
+            for a, b in compare(held):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    blocks = rows.groupBy("pos", "band").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    rows = rows.join(blocks, ["pos", "band"]).withColumn("x", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"i": F.least("x", "y"), "j": F.greatest("x", "y")})
+    rows = rows.withColumn("g", F.xxhash64("pos", "band", "i", "j")).select("g", "pos", "i", "j", "x", "node", "component", "n", "sketch", "bands")
+    return rows.repartition("g").sortWithinPartitions("g").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80) -> DataFrame:
@@ -128,34 +202,49 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80)
 
     A pair at exactly 80 percent shares no band with a chance of 5e-8.
     """
+    spark = docs.sparkSession
     texts = keyed_texts(docs)
     signed = stored(_signed(texts, shingle_words), "signed")
     usable = signed.filter("cls is not null and doc_id is not null")
     classes = stored(usable.groupBy("cls").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n")), "classes")
     nodes = usable.select("cls", F.col("doc_id").alias("node"), "bands").join(classes, ["cls", "node"])
-    in_bands = nodes.select("node", F.explode("bands").alias("band"))
-
-    hubs = in_bands.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub <> last").select("band", "hub")
-    shared = stored(in_bands.join(hubs, "band").select("band", "hub", "node").distinct(), "shared")
-    sizes = classes.select("node", "n")
-    first = stored(_of_like_size(shared.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), sizes, percent), "pairs")
-    members = shared.select(F.col("node").alias("doc_id")).distinct()
-    sets = stored(_sets(texts.join(members, "doc_id", "left_semi"), shingle_words), "sets")
-    links = stored(_confirmed(first, sets, percent), "links")
-    components = connected_components(links)
-
-    placed = shared.join(components, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
-    open_bands = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("band")
-    still = stored(placed.join(open_bands, "band").join(sizes, "node").select("band", "node", "component", "n"), "open")
-    left, right = (still.select("band", *[F.col(c).alias(c + k) for c in ("node", "component", "n")]) for k in "12")
-    pairs = left.join(right, "band").filter(F.expr(f"node1 < node2 and component1 <> component2 and least(n1, n2) * 100 >= greatest(n1, n2) * {percent}"))
-    rest = pairs.select(F.col("node1").alias("a"), F.col("node2").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    in_bands = nodes.select("node", F.posexplode("bands").alias("pos", "band"))
+    hubs = in_bands.groupBy("pos", "band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub <> last").select("pos", "band", "hub")
+    shared = stored(in_bands.join(hubs, ["pos", "band"]).select("pos", "band", "hub", "node").distinct(), "shared")
+    members = shared.select("node").distinct()
+    sets = stored(_sets(texts.join(members.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi"), shingle_words), "sets")
+    sizes = sets.select("node", "n")
+
+    def of_like_size(pairs: DataFrame) -> DataFrame:
+        for k in "ab":
+            pairs = pairs.join(sizes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}")), k)
+        return pairs.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b")
+
+    def place(rows: DataFrame, node: str = "node", name: str = "component") -> DataFrame:
+        return rows.join(components.select(F.col("node").alias(node), F.col("component").alias(name)), node, "left").withColumn(name, F.coalesce(name, node))
+
+    tested = links = None
+    components = spark.createDataFrame([], "node long, component long")
+    for some in ("pos % 6 = 0", "pos % 6 <> 0"):
+        met = place(place(shared.filter(some).filter("node <> hub")), "hub", "other").filter("component <> other")
+        pairs = met.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+        pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "pairs")
+        found = stored(_confirmed(of_like_size(pairs), sets, percent), "links")
+        tested, links = (pairs, found) if tested is None else (tested.unionByName(pairs), links.unionByName(found))
+        components = connected_components(links)
+
+    placed = place(shared.select("pos", "band", "node"))
+    open_bands = placed.groupBy("pos", "band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("pos", "band")
+    open_nodes = placed.join(open_bands, ["pos", "band"])
+    detail = sets.select("node", "n", "sketch").join(nodes.select("node", "bands"), "node").join(open_nodes.select("node").distinct(), "node", "left_semi")
+    rest = _sketched_pairs(open_nodes.join(detail, "node"), percent).distinct().join(tested, ["a", "b"], "left_anti")
     more = stored(_confirmed(stored(rest, "pairs"), sets, percent), "links")
     if not more.isEmpty():
         components = connected_components(links.unionByName(more))
 
-    place = classes.join(components, "node", "left").select("cls", F.coalesce("component", "node").alias("component_id"))
-    linked = usable.select("doc_id", "n_shingles", "cls").join(place, "cls").select("doc_id", "n_shingles", "component_id")
+    of_class = place(classes).select("cls", F.col("component").alias("component_id"))
+    linked = usable.select("doc_id", "n_shingles", "cls").join(of_class, "cls").select("doc_id", "n_shingles", "component_id")
     alone = signed.filter("cls is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
