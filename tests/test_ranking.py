@@ -90,3 +90,37 @@ def test_grid_and_importances(spark):
     assert got == pytest.approx({"p": 1 / 3, "q": 2 / 3, "r": 0.0})
     with pytest.raises(ValueError):
         rk.ranker_importances(spark, ["p"], ["z"])
+
+
+def test_learner_parameters():
+    from tidemark.operators import learners as ln
+
+    grids = {
+        "GradientBoostingClassifier": {"loss": ["log_loss"], "n_estimators": [50, 1000], "learning_rate": [0.1, 1]},
+        "AdaBoostClassifier": {"n_estimators": [50, 1000], "learning_rate": [0.1, 1]},
+        "LogisticRegression": {"penalty": ["l2"], "C": [0.00001, 2]},
+        "DecisionTreeClassifier": {"criterion": ["gini", "entropy", "log_loss"], "max_depth": [1, 100, 250], "max_features": ["sqrt", 1.0]},
+        "RandomForestClassifier": {"n_estimators": [1000, 10000], "max_features": ["sqrt"], "max_depth": [100, 250], "min_samples_split": [10], "n_jobs": [90]},
+    }
+    points = {}
+    for kind, params in rk.model_grid(grids):
+        used = ln.effective(kind, params)
+        assert ln.effective(kind, used) == used
+        points.setdefault(kind, set()).add(tuple(sorted(map(str, used.items()))))
+    assert {k: len(v) for k, v in points.items()} == {"GradientBoostingClassifier": 4, "AdaBoostClassifier": 4, "LogisticRegression": 2, "DecisionTreeClassifier": 8, "RandomForestClassifier": 2}
+    for kind, params in (("LogisticRegression", {"penalty": "l1"}), ("DecisionTreeClassifier", {"splitter": "best"}), ("MLPClassifier", {"alpha": 1}), ("LGBMClassifier", {})):
+        with pytest.raises(ValueError):
+            ln.effective(kind, params)
+
+
+def test_ranker_with_one_common_combination(spark):
+    n = 6000
+    rows = [(i, "2020-01-01", 0.0 if i % 10 else float(i % 70), 0.0 if i % 10 else float(i % 30)) for i in range(n)]
+    df = spark.createDataFrame(rows, "entity_id long, as_of_date string, a double, b double").repartition(8)
+    got = {r.entity_id: r.score for r in rk.feature_ranker(df, ["a", "__flip__b"]).collect()}
+    place = sorted((a, -b) for _, _, a, b in rows)
+    first, last = {}, {}
+    for i, v in enumerate(place):
+        first.setdefault(v, i)
+        last[v] = i
+    assert got == {e: pytest.approx(((first[(a, -b)] + last[(a, -b)]) / 2 + 1) / n) for e, _, a, b in rows}

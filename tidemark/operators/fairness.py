@@ -120,5 +120,5 @@ def disparities(metrics: DataFrame, reference: Mapping[str, str], by: Sequence[s
     )
 
 
-def absolute_metrics(metrics: DataFrame) -> DataFrame:
-    return metrics.select("attribute_name", "attribute_value", *METRICS)
+def absolute_metrics(metrics: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return metrics.select(*by, "attribute_name", "attribute_value", *METRICS)

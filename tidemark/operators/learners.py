@@ -46,35 +46,79 @@ def _subset(n_features: int, value) -> str:
     return {"sqrt": "sqrt", "log2": "log2"}.get(value, "all" if value in (None, 1.0, "all") else str(value))
 
 
+#: Parameters that a model type takes, with their defaults.
+DEFAULTS: dict[str, dict] = {
+    "LogisticRegression": {"penalty": "l2", "C": 1.0},
+    "DecisionTreeClassifier": {"criterion": "gini", "max_depth": None, "max_features": None},
+    "RandomForestClassifier": {"n_estimators": 100, "criterion": "gini", "max_depth": None, "max_features": "sqrt", "min_samples_split": 2},
+    "GradientBoostingClassifier": {"loss": "log_loss", "n_estimators": 100, "learning_rate": 0.1, "max_depth": 3},
+    "MLPClassifier": {"hidden_layer_sizes": [100], "max_iter": 200},
+    "AdaBoostClassifier": {"n_estimators": 50, "learning_rate": 1.0},
+}
+#: How many workers to use is Spark's business.
+RESOURCES = {"n_jobs"}
+
+
+def effective(kind: str, params: Mapping) -> dict:
+    """The parameters a model is really fitted with; unknown names and values are an error.
+
+    Depths are at most 30 in Spark, and ``log_loss`` is ``entropy``. ``min_samples_split`` bounds
+    the nodes that split; Spark bounds their children, so it becomes ``min_instances_per_node``,
+    half of it. Rankers take their parameters as they are.
+    """
+    if kind in ("FeatureRanker", "LinearRanker"):
+        return dict(params)
+    if kind not in DEFAULTS:
+        raise ValueError(f"unknown model type {kind!r}")
+    known = set(DEFAULTS[kind]) | ({"min_instances_per_node"} if kind == "RandomForestClassifier" else set())
+    if strange := sorted(set(params) - known - RESOURCES):
+        raise ValueError(f"{kind} does not take {', '.join(strange)}")
+    out = DEFAULTS[kind] | {k: v for k, v in params.items() if k not in RESOURCES}
+    if "min_samples_split" in out:
+        least = max(1, int(out.pop("min_samples_split")) // 2)
+        out.setdefault("min_instances_per_node", least)
+    allowed = {"penalty": ("l2",), "loss": ("log_loss", "deviance"), "criterion": ("gini", "entropy", "log_loss")}
+    for name, values in allowed.items():
+        if name in out and out[name] not in values:
+            raise ValueError(f"{kind} takes {name} in {values}, not {out[name]!r}")
+    if out.get("criterion") == "log_loss":
+        out["criterion"] = "entropy"
+    if "loss" in out:
+        out["loss"] = "log_loss"
+    if "max_depth" in out:
+        out["max_depth"] = min(int(out["max_depth"] or MAX_DEPTH), MAX_DEPTH)
+    return out
+
+
 def make_classifier(kind: str, params: Mapping, n_rows: int, n_features: int, seed: int = 0):
-    """A Spark classifier from the usual parameter names; depth is at most 30 in Spark."""
-    depth = min(int(params.get("max_depth") or MAX_DEPTH), MAX_DEPTH)
+    """A Spark classifier from the usual parameter names (see ``effective``)."""
+    p = effective(kind, params)
     if kind == "LogisticRegression":
-        c = float(params.get("C", 1.0))
-        return LogisticRegression(regParam=1.0 / (c * max(n_rows, 1)), elasticNetParam=0.0, standardization=False)
+        return LogisticRegression(regParam=1.0 / (float(p["C"]) * max(n_rows, 1)), elasticNetParam=0.0, standardization=False)
     if kind == "DecisionTreeClassifier":
-        impurity = "gini" if params.get("criterion", "gini") == "gini" else "entropy"
-        return DecisionTreeClassifier(maxDepth=depth, impurity=impurity, seed=seed)
+        subset = _subset(n_features, p["max_features"])
+        if subset == "all":
+            return DecisionTreeClassifier(maxDepth=p["max_depth"], impurity=p["criterion"], seed=seed)
+        # one tree of a forest draws features for every split
+        return RandomForestClassifier(
+            numTrees=1, bootstrap=False, maxDepth=p["max_depth"], impurity=p["criterion"], featureSubsetStrategy=subset, seed=seed
+        )
     if kind == "RandomForestClassifier":
         return RandomForestClassifier(
-            numTrees=int(params.get("n_estimators", 100)),
-            maxDepth=depth,
-            featureSubsetStrategy=_subset(n_features, params.get("max_features", "sqrt")),
-            minInstancesPerNode=max(1, int(params.get("min_samples_split", 2)) // 2),
+            numTrees=int(p["n_estimators"]),
+            maxDepth=p["max_depth"],
+            impurity=p["criterion"],
+            featureSubsetStrategy=_subset(n_features, p["max_features"]),
+            minInstancesPerNode=p["min_instances_per_node"],
             seed=seed,
         )
     if kind == "GradientBoostingClassifier":
-        return GBTClassifier(
-            maxIter=int(params.get("n_estimators", 100)),
-            stepSize=float(params.get("learning_rate", 0.1)),
-            maxDepth=int(params.get("max_depth", 3)),
-            seed=seed,
-        )
+        return GBTClassifier(maxIter=int(p["n_estimators"]), stepSize=float(p["learning_rate"]), maxDepth=p["max_depth"], seed=seed)
     if kind == "MLPClassifier":
-        hidden = params.get("hidden_layer_sizes", [100])
+        hidden = p["hidden_layer_sizes"]
         hidden = [hidden] if isinstance(hidden, int) else list(hidden)
-        return MultilayerPerceptronClassifier(layers=[n_features, *hidden, 2], maxIter=int(params.get("max_iter", 200)), seed=seed)
-    raise ValueError(f"unknown model type {kind!r}")
+        return MultilayerPerceptronClassifier(layers=[n_features, *hidden, 2], maxIter=int(p["max_iter"]), seed=seed)
+    raise ValueError(f"{kind} is not a Spark classifier")
 
 
 def boost_stumps(
@@ -165,11 +209,11 @@ class Fitted:
 
 def fit(train: DataFrame, features: Sequence[str], kind: str, params: Mapping, seed: int = 0) -> Fitted:
     """Fit a model on matrix rows with a boolean ``label``."""
-    features = list(features)
+    features, params = list(features), effective(kind, params)
     if kind in ("FeatureRanker", "LinearRanker"):
         return Fitted(kind, features, params)
     if kind == "AdaBoostClassifier":
-        stumps = boost_stumps(train, features, int(params.get("n_estimators", 50)), float(params.get("learning_rate", 1.0)))
+        stumps = boost_stumps(train, features, int(params["n_estimators"]), float(params["learning_rate"]))
         return Fitted(kind, features, params, stumps)
     assembler = VectorAssembler(inputCols=features, outputCol="_x")
     n_rows = train.count() if kind == "LogisticRegression" else 0

@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import stored
+
 TIE_SLOTS = 64
 FLIP = "__flip__"
 
@@ -124,6 +126,9 @@ def feature_ranker(
     below a combination are, feature by feature, those that agree on the features before and
     have less in this one. ``by`` are settings of a run (dates, folds, models): one row for each
     is broadcast.
+
+    Combinations that hold over a thousandth of their group's rows (so fewer than a thousand per
+    group) get their scores by broadcast, all others by a join in which no key is large.
     """
     by = list(by)
     terms = []
@@ -134,7 +139,7 @@ def feature_ranker(
         terms.append(term.alias(f"_f{i}"))
     names = [f"_f{i}" for i in range(len(terms))]
     keyed = df.select("*", *terms)
-    combos = keyed.groupBy(*by, *names).agg(F.count(F.lit(1)).alias("_n"))
+    combos = stored(keyed.groupBy(*by, *names).agg(F.count(F.lit(1)).alias("_n")), "combinations")
     sizes = combos.groupBy(*by).agg(F.sum("_n").alias("_all"))
     out = combos.join(F.broadcast(sizes), by, "inner")
     below = F.lit(0)
@@ -145,8 +150,12 @@ def feature_ranker(
         out = out.join(counts.drop("_c"), [*group, name], "inner")
         below = below + F.col(f"_below{i}")
     score = (below + (F.col("_n") + 1) / 2) / F.col("_all")
-    scored = out.select(*by, *names, score.alias("score"))
-    return keyed.join(scored, [*by, *names], "inner").drop(*names)
+    scored = stored(out.select(*by, *names, score.alias("score"), (F.col("_n") * 1000 > F.col("_all")).alias("_common")), "scores")
+    key = [*by, *names]
+    common = F.broadcast(scored.where("_common").drop("_common"))
+    rare = scored.where("not _common").drop("_common")
+    rest = keyed.join(common.drop("score"), key, "left_anti").join(rare, key, "inner")
+    return keyed.join(common, key, "inner").union(rest).drop(*names)
 
 
 def linear_ranker(

@@ -88,10 +88,12 @@ def run_experiment(
     master = rs.overwrite(master.select(*mx.KEYS, *wanted), f"{place}/master", by_date)
     text, numbers = mx.split_column_kinds(master)
 
-    sets = rs.model_set_rows(spark, experiment_id, model_grid(exp.models), config["temporal"])
+    # grid points that Spark fits alike are one model set
+    points = {(kind, _key(used)): (kind, used) for kind, params in model_grid(exp.models) for used in [ln.effective(kind, params)]}
+    sets = rs.model_set_rows(spark, experiment_id, list(points.values()), config["temporal"])
     rs.overwrite_partitions(sets, f"{folder}/model_sets", ["experiment_id"])
     set_ids = [(r.model_set_id, r.type, r.params) for r in sets.collect()]
-    grid = {(kind, _key(params)): params for kind, params in model_grid(exp.models)}
+    grid = {key: params for key, (_, params) in points.items()}
 
     for i, fold in enumerate(folds):
         folds_df = fo.folds_frame(spark, [fold])

@@ -21,17 +21,17 @@ ATTRS = ["flag", "status"]
 
 
 def order_attributes(spark, sf):
-    """Attributes of orders, many per order, from two thirds of the line items."""
-    rows = t(spark, sf, "lineitem").where("l_partkey % 3 <> 0")
+    """Attributes of orders, many per order; some values count as unknown."""
+    rows = t(spark, sf, "lineitem")
     pairs = F.array(
-        F.struct(F.lit("flag").alias("attribute_type"), F.col("l_returnflag").alias("attribute_value")),
+        F.struct(F.lit("flag").alias("attribute_type"), F.expr("nullif(l_returnflag, 'R')").alias("attribute_value")),
         F.struct(F.lit("status").alias("attribute_type"), F.expr("nullif(l_linestatus, 'O')").alias("attribute_value")),
     )
     return rows.select(F.col("l_orderkey").alias("entity_id"), F.inline(pairs)).where("attribute_value is not null")
 
 
-MODAL = """oa AS (SELECT l_orderkey AS entity_id, n.k, CASE n.k WHEN 'flag' THEN l_returnflag ELSE nullif(l_linestatus, 'O') END AS v
-    FROM lineitem CROSS JOIN (VALUES ('flag'), ('status')) n(k) WHERE l_partkey % 3 <> 0),
+MODAL = """oa AS (SELECT l_orderkey AS entity_id, n.k, CASE n.k WHEN 'flag' THEN nullif(l_returnflag, 'R') ELSE nullif(l_linestatus, 'O') END AS v
+    FROM lineitem CROSS JOIN (VALUES ('flag'), ('status')) n(k)),
   top AS (SELECT entity_id, k, v FROM oa WHERE v IS NOT NULL GROUP BY entity_id, k, v QUALIFY row_number() OVER (PARTITION BY entity_id, k ORDER BY count(*) DESC, v) = 1),
   modal AS (SELECT entity_id, coalesce(max(v) FILTER (WHERE k = 'flag'), 'MISSING') AS flag, coalesce(max(v) FILTER (WHERE k = 'status'), 'MISSING') AS status FROM top GROUP BY ALL)"""
 
@@ -60,14 +60,14 @@ def _(spark, sf):
 
 @register(
     "a3_enriched_attributes",
-    f"""WITH {ATTRIBUTED}, x AS (SELECT l_orderkey AS entity_id, min((l_returnflag, l_linestatus)) AS s FROM lineitem WHERE l_linenumber <= 3 GROUP BY ALL),
+    f"""WITH {ATTRIBUTED}, x AS (SELECT l_orderkey AS entity_id, min((l_returnflag, l_linestatus)) AS s FROM lineitem GROUP BY ALL),
       e AS (SELECT pa.entity_id, model_id, CASE WHEN flag = 'MISSING' THEN coalesce(s[1], 'MISSING') ELSE flag END AS flag,
               CASE WHEN status = 'MISSING' THEN coalesce(s[2], 'MISSING') ELSE status END AS status,
               row_number() OVER (PARTITION BY pa.entity_id ORDER BY as_of_date, model_id) AS rn FROM pa LEFT JOIN x USING (entity_id))
     SELECT entity_id, model_id, flag, CASE status WHEN 'F' THEN 'FINAL' WHEN 'O' THEN 'OPEN' ELSE status END AS status FROM e WHERE rn = 1""",
 )
 def _(spark, sf):
-    extra = t(spark, sf, "lineitem").where("l_linenumber <= 3").select(
+    extra = t(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("entity_id"), F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status")
     )
     out = fa.enrich_attributes(attributed(spark, sf), extra, ATTRS, {"status": {"F": "FINAL", "O": "OPEN"}})
@@ -92,9 +92,9 @@ def _(spark, sf):
     return group_metrics(spark, sf)
 
 
-@register("a4_absolute_metrics", f"WITH {GROUPS} SELECT attribute_name, attribute_value, {', '.join(chr(34) + m + chr(34) for m in fa.METRICS)} FROM gm WHERE model_id = 105")
+@register("a4_absolute_metrics", f"WITH {GROUPS} SELECT model_id, attribute_name, attribute_value, {', '.join(chr(34) + m + chr(34) for m in fa.METRICS)} FROM gm")
 def _(spark, sf):
-    return fa.absolute_metrics(group_metrics(spark, sf).where("model_id = 105"))
+    return fa.absolute_metrics(group_metrics(spark, sf), ["model_id"])
 
 
 REFERENCE = {"flag": "A", "status": "F", "segment": "east"}

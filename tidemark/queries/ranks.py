@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import learners as ln
@@ -91,15 +94,22 @@ def _(spark, sf):
 
 
 def training_parts(spark, sf):
-    """Stored rows of the newest fold, as training and validation part."""
+    """Stored rows of every fold: (fold id, training part, validation part), and the columns."""
     rows, columns = mt.fold_matrix(spark, sf)
-    rows = stored(rows.where("fold_id = 0"), "matrix")
-    return rows.where("role = 'train'"), rows.where("role = 'validation'"), columns
+    rows = stored(rows, "matrix")
+    part = lambda i, role: rows.where(f"fold_id = {i} and role = '{role}'")
+    return [(i, part(i, "train"), part(i, "validation")) for i in range(len(b.FOLDS))], columns
+
+
+def _by_fold(spark, sf, one):
+    """``one(training part, validation part, columns)`` of every fold, with the fold id."""
+    parts, columns = training_parts(spark, sf)
+    frames = [one(train, validation, columns).withColumn("fold_id", F.lit(i)) for i, train, validation in parts]
+    return reduce(DataFrame.unionByName, frames)
 
 
 def _scores(spark, sf, kind, params):
-    train, validation, columns = training_parts(spark, sf)
-    return ln.fit(train, columns, kind, params).score(validation).select(F.lit(kind).alias("type"), *KEYS, "score")
+    return _by_fold(spark, sf, lambda train, validation, columns: ln.fit(train, columns, kind, params).score(validation).select(F.lit(kind).alias("type"), *KEYS, "score"))
 
 
 @register("r5_logistic_regression")
@@ -134,12 +144,12 @@ def _(spark, sf):
 
 @register("r7_importances")
 def _(spark, sf):
-    train, _, columns = training_parts(spark, sf)
-    out = None
-    for i, (kind, params) in enumerate([("LogisticRegression", {"C": 0.1}), ("RandomForestClassifier", {"n_estimators": 5, "max_depth": 3})]):
-        one = ln.fit(train, columns, kind, params).importances(spark).withColumn("type", F.lit(kind))
-        out = one if out is None else out.unionByName(one)
-    return out
+    def one(train, validation, columns):
+        kinds = [("LogisticRegression", {"C": 0.1}), ("RandomForestClassifier", {"n_estimators": 5, "max_depth": 3})]
+        frames = [ln.fit(train, columns, kind, params).importances(spark).withColumn("type", F.lit(kind)) for kind, params in kinds]
+        return reduce(DataFrame.unionByName, frames)
+
+    return _by_fold(spark, sf, one)
 
 
 @register(
@@ -172,8 +182,10 @@ def _(spark, sf):
 
 @register("r10_save_and_load")
 def _(spark, sf):
-    train, validation, columns = training_parts(spark, sf)
-    path = new_table_path(spark, "model")
-    params = {"C": 0.1}
-    ln.save(ln.fit(train, columns, "LogisticRegression", params), path)
-    return ln.load(spark, path, "LogisticRegression", columns, params).score(validation)
+    def one(train, validation, columns):
+        path = new_table_path(spark, "model")
+        params = {"C": 0.1}
+        ln.save(ln.fit(train, columns, "LogisticRegression", params), path)
+        return ln.load(spark, path, "LogisticRegression", columns, params).score(validation)
+
+    return _by_fold(spark, sf, one)

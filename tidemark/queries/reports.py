@@ -100,11 +100,11 @@ def _(spark, sf):
 
 def profile(spark, sf):
     attributes = t(spark, sf, "customer").select(F.col("c_custkey").alias("entity_id"), F.col("c_mktsegment").alias("market"))
-    return ex.entity_profile(b.exits(spark, sf), flagged_calls(spark, sf).where("o_orderkey % 9 = 0"), FLAGS[:3], b.crosswalk_runs(spark, sf).where("entity_id % 5 < 3 or sourceid like 'C%'"), attributes)
+    return ex.entity_profile(b.exits(spark, sf), flagged_calls(spark, sf), FLAGS[:3], b.crosswalk_runs(spark, sf), attributes)
 
 
-PROFILE = f"""{FLAGGED}, {b.EXITS}, {b.CROSSWALK_RUNS}, h AS (SELECT entity_id, """ + ", ".join(f"max({f}) AS {f}" for f in FLAGS[:3]) + """ FROM cf WHERE o_orderkey % 9 = 0 GROUP BY ALL),
-  cr AS (SELECT entity_id, count(*) AS contact_rows FROM cw_all WHERE entity_id % 5 < 3 OR sourceid LIKE 'C%' GROUP BY ALL),
+PROFILE = f"""{FLAGGED}, {b.EXITS}, {b.CROSSWALK_RUNS}, h AS (SELECT entity_id, """ + ", ".join(f"max({f}) AS {f}" for f in FLAGS[:3]) + """ FROM cf GROUP BY ALL),
+  cr AS (SELECT entity_id, count(*) AS contact_rows FROM cw_all GROUP BY ALL),
   prof AS (SELECT ex.*, """ + ", ".join(f"h.{f}" for f in FLAGS[:3]) + """, contact_rows, c_mktsegment AS market FROM ex LEFT JOIN h USING (entity_id) LEFT JOIN cr USING (entity_id) LEFT JOIN customer ON c_custkey = ex.entity_id)"""
 
 
@@ -256,7 +256,11 @@ def _(spark, sf):
 
 @register(
     "c1_metric_checks",
-    f"""WITH {b.PREDICTIONS}, {eq.EVALUATIONS}, {b.CROSSWALK} SELECT * FROM (VALUES ('stored metrics match the curve', true, '0'), ('ids are in the crosswalk', true, '0')) v("check", ok, detail)
+    f"""WITH {b.PREDICTIONS}, {eq.EVALUATIONS}, {b.CROSSWALK} SELECT 'stored metrics match the curve' AS "check", count(*) = 0 AS ok, CAST(count(*) AS STRING) AS detail FROM (
+      SELECT 1 FROM (SELECT model_id, as_of_date, sum(CASE WHEN label AND segment_k <= 75 THEN 1 ELSE 0 END) / 75::DOUBLE AS p FROM pr WHERE segment = 'east' GROUP BY ALL HAVING max(segment_k) >= 75) c
+      JOIN evals USING (model_id, as_of_date) WHERE segment = 'east' AND metric = 'precision' AND abs(value - p) > 1e-9)
+    UNION ALL SELECT 'ids are in the crosswalk', count(*) = 0, CAST(count(*) AS STRING) FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey IN (SELECT entity_id FROM cw)
+      AND o_custkey NOT IN (SELECT TRY_CAST(sourceid AS BIGINT) FROM cw WHERE source = 'CRM.CUSTOMER' AND TRY_CAST(sourceid AS BIGINT) IS NOT NULL))
     UNION ALL SELECT 'every table is covered', false, 'benchmark, conversations' UNION ALL SELECT 'labels span less than the horizon', count(*) = 0, CAST(count(*) AS STRING)
       FROM (SELECT entity_id FROM (SELECT DISTINCT o_custkey AS entity_id, date_trunc('month', o_orderdate) AS m FROM orders WHERE o_totalprice > 490000) GROUP BY entity_id HAVING date_diff('month', min(m), max(m)) >= 6)""",
 )

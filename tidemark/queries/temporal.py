@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.dates import fan_out
+from tidemark.dates import Interval, fan_out
 from tidemark.operators import cohort as co
 from tidemark.operators import conform as cf
 from tidemark.operators import features as fe
@@ -211,6 +211,20 @@ def _(spark, sf):
     return rounded(fe.build_features(cohort(spark, sf), order_source(spark, sf), spec, b.DATES))
 
 
+# days are subtracted as integers: DuckDB takes INTERVAL 30 DAY and INTERVAL 1 MONTH for one expression
+MIXED = {"30 days": "30", "1 month": "INTERVAL 1 MONTH", "52 weeks": "364", "1 year": "INTERVAL 12 MONTH", "61 days": "61", "2 months": "INTERVAL 2 MONTH"}
+MIXED_SQL = ", ".join(
+    f"count(*) FILTER (WHERE d IS NOT NULL AND d >= as_of_date - {bound}) AS ord_orders_{fn}_{Interval.parse(text).suffix}" for text, bound in MIXED.items() for fn in ("count", "sum")
+)
+
+
+@register("t10_mixed_units", f"WITH {JOINED} SELECT entity_id, as_of_date, {MIXED_SQL} FROM j GROUP BY entity_id, as_of_date")
+def _(spark, sf):
+    """Intervals of days, weeks and months whose order changes with the as-of date."""
+    spec = only(ORDERS, windows=(fe.WindowAggregate("orders", "1", ("count", "sum"), tuple(MIXED)),))
+    return fe.build_features(cohort(spark, sf), order_source(spark, sf), spec, b.DATES)
+
+
 @register("t11_t13_history", f"WITH {JOINED} SELECT entity_id, as_of_date, {HISTORY_SQL} FROM j GROUP BY entity_id, as_of_date")
 def _(spark, sf):
     spec = only(ORDERS, history=ORDERS.history)
