@@ -40,25 +40,56 @@ def words_of(text: str) -> list[str]:
 def cores(word: str) -> list[str]:
     """What is scored of a word: its inside, without digits and marks at the edges, in parts of LONGEST."""
     core = word.strip(EDGE)
+    if len(core) <= LONGEST and core.isalpha():
+        return [core]
     return [core[i : i + LONGEST] for i in range(0, len(core), LONGEST)] if LETTER.search(core) else []
 
 
+def _codes(words: list[str]) -> np.ndarray:
+    """Code points of words of equal length, a row each."""
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), -1).astype(np.uint64)
+
+
+class PieceTable:
+    """Vocabulary numbers by 64-bit polynomial hash of the code points, for many substrings at once."""
+
+    BASE = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, index: dict[str, int]):
+        self.unknown = len(index)
+        self.by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size, pieces in by_length(index).items():
+            codes, h = _codes(pieces), np.zeros(len(pieces), np.uint64)
+            for k in range(size):
+                h = h * self.BASE + codes[:, k]
+            order = np.argsort(h)
+            self.by_size[size] = h[order], np.array([index[p] for p in pieces], np.int32)[order]
+
+    def find(self, size: int, h: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces with these hashes, -1 where there is none."""
+        if size not in self.by_size:
+            return np.full(h.shape, -1, np.int32)
+        hashes, numbers = self.by_size[size]
+        at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+        return np.where(hashes[at] == h, numbers[at], -1)
+
+
 class Lattice:
     """Words of equal length with the vocabulary number of each of their substrings (the last
     row, an unknown single character, where a character is no piece; -1 where there is none)."""
 
-    def __init__(self, index: dict[str, int], words: list[str]):
-        text = [START + w for w in words]
-        self.n = len(text[0])
+    def __init__(self, table: PieceTable, words: list[str]):
+        codes = _codes([START + w for w in words])
+        self.n = codes.shape[1]
         self.longest = min(self.n, 16)
-        unknown = len(index)
-        get = index.get
         self.pieces = np.full((self.longest, self.n, len(words)), -1, np.int32)  # (length - 1, start, word)
+        h = np.zeros(codes.shape, np.uint64)
         for size in range(1, self.longest + 1):
-            for at in range(self.n - size + 1):
-                self.pieces[size - 1, at] = [get(t[at : at + size], -1) for t in text]
+            starts = self.n - size + 1
+            h = h[:, :starts] * table.BASE + codes[:, size - 1 :]
+            self.pieces[size - 1, :starts] = table.find(size, h).T
         single = self.pieces[0]
-        single[single < 0] = unknown
+        single[single < 0] = table.unknown
 
     def forward(self, p: np.ndarray) -> np.ndarray:
         """Sum over all segmentations up to each place: (place, word, language). p has a zero row at its end."""
@@ -99,12 +130,13 @@ class LanguageModel:
     languages: list[str]
     index: dict[str, int]
     p: np.ndarray  # (pieces + unknown character + nothing, languages)
+    table: PieceTable
 
     def log_probabilities(self, words: list[str]) -> np.ndarray:
         """(word, language), in the order given."""
         out, place = np.empty((len(words), len(self.languages))), {w: i for i, w in enumerate(words)}
         for same in by_length(words).values():
-            a = Lattice(self.index, same).forward(self.p)[-1]
+            a = Lattice(self.table, same).forward(self.p)[-1]
             out[[place[w] for w in same]] = np.log(np.maximum(a, 1e-300))
         return out
 
@@ -130,17 +162,23 @@ class WordScores:
             self.clear()
             new = list(words)
         parts = {w: cores(w) for w in new}
-        stems = list({c for cs in parts.values() for c in cs})
-        of = dict(zip(stems, self.model.log_probabilities(stems), strict=True)) if stems else {}
+        stems = list({c for cs in parts.values() for c in cs if c not in self.row})
+        if stems:
+            self._add(stems, self.model.log_probabilities(stems))
         for w, cs in parts.items():
-            if not cs:
+            if len(cs) == 1:
+                self.row[w] = self.row[cs[0]]
+            elif cs:
+                self._add([w], np.sum([self.scores[self.row[c]] for c in cs], axis=0, keepdims=True))
+            else:
                 self.row[w] = 0
-                continue
-            if self.used == len(self.scores):
-                self.scores = np.vstack([self.scores, np.zeros_like(self.scores)])
-            self.scores[self.used] = np.sum([of[c] for c in cs], axis=0)
-            self.row[w] = self.used
-            self.used += 1
+
+    def _add(self, words: list[str], scores: np.ndarray) -> None:
+        while self.used + len(words) > len(self.scores):
+            self.scores = np.vstack([self.scores, np.zeros_like(self.scores)])
+        self.scores[self.used : self.used + len(words)] = scores
+        self.row.update(zip(words, range(self.used, self.used + len(words)), strict=True))
+        self.used += len(words)
 
     def texts(self, texts: list[str]) -> np.ndarray:
         """(text, language) log probabilities; a row of nan for a text without a word of letters."""
@@ -168,14 +206,15 @@ def learn(counts: dict[str, Counter], pieces: list[str], rounds: int = 3, floor:
         for w, times in counts[language].items():
             for c in cores(w):
                 n[place[c], k] += times
-    groups = [(Lattice(index, same[i : i + 20_000]), [place[w] for w in same[i : i + 20_000]]) for same in by_length(words).values() for i in range(0, len(same), 20_000)]
+    table = PieceTable(index)
+    groups = [(Lattice(table, same[i : i + 20_000]), [place[w] for w in same[i : i + 20_000]]) for same in by_length(words).values() for i in range(0, len(same), 20_000)]
     for _ in range(rounds if words else 0):
         expected = sum(lattice.expected(p, n[rows]) for lattice, rows in groups)
         expected[:-2] += 1e-3
         p = expected / expected.sum(axis=0)
         p[:-2] = np.maximum(p[:-2], floor)
         p[-2], p[-1] = floor, 0.0
-    return LanguageModel(languages, index, p)
+    return LanguageModel(languages, index, p, table)
 
 
 def fit_languages(docs: DataFrame, vocabulary_path: str, usable, per_language: int = 300, seed: int = 7) -> LanguageModel:
