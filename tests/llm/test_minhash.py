@@ -72,3 +72,15 @@ def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7), (None, 3), (101, 100)], "a long, b long")
     got = {r.node: r.component for r in connected_components(edges).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_blocks_of_a_band_miss_no_pair(spark):
+    base = list(range(200))
+    sets = {k: minhash.shingles(" ".join(f"w{x}" for x in base if x % 40 != k), 2) for k in range(30)}
+    rows = spark.createDataFrame([(pos, 7, k, k % 5) for pos in (0, 3) for k in sets], "pos int, band long, node long, component long")
+    detail = [(k, len(s), minhash.sketch(s).tolist(), [1 << 40 if p == 3 else (k + 1) << 40 for p in range(4)]) for k, s in sets.items()]
+    detail = spark.createDataFrame(detail, "node long, n long, sketch array<long>, bands array<long>")
+    want = {(a, b) for a in sets for b in sets if a < b and a % 5 != b % 5}
+    for block in (4, 1024):
+        got = [(r.a, r.b) for r in minhash._sketched_pairs(rows, detail, 80, block).collect()]
+        assert len(got) == len(want) and set(got) == want

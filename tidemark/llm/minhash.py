@@ -142,10 +142,10 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _sketched_pairs(rows: DataFrame, percent: int, block: int = 512) -> DataFrame:
+def _sketched_pairs(rows: DataFrame, detail: DataFrame, percent: int, block: int = 1024) -> DataFrame:
     """Pairs (a, b) of different components that share a band and whose sizes and sketches allow the similarity.
 
-    rows: pos, band, node, component, n, sketch and bands (those of the node).
+    rows: pos, band, node and component; detail: node, n, sketch and bands.
     """
     least = least_agreement(percent)
 
@@ -184,11 +184,13 @@ def _sketched_pairs(rows: DataFrame, percent: int, block: int = 512) -> DataFram
             for a, b in compare(held):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
+    # places are dealt on slim rows; what a node carries joins last, before the only exchange of it
     blocks = rows.groupBy("pos", "band").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     rows = rows.join(blocks, ["pos", "band"]).withColumn("x", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"i": F.least("x", "y"), "j": F.greatest("x", "y")})
-    rows = rows.withColumn("g", F.xxhash64("pos", "band", "i", "j")).select("g", "pos", "i", "j", "x", "node", "component", "n", "sketch", "bands")
-    return rows.repartition("g").sortWithinPartitions("g").mapInArrow(run, "a long, b long")
+    rows = rows.withColumn("g", F.xxhash64("pos", "band", "i", "j")).select("g", "pos", "i", "j", "x", "node", "component")
+    slim = detail.withColumn("bands", F.transform("bands", lambda x: F.shiftright(x, 32).cast("int")))
+    return rows.join(slim, "node").repartition("g").sortWithinPartitions("g").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80) -> DataFrame:
@@ -238,7 +240,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80)
     open_bands = placed.groupBy("pos", "band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("pos", "band")
     open_nodes = placed.join(open_bands, ["pos", "band"])
     detail = sets.select("node", "n", "sketch").join(nodes.select("node", "bands"), "node").join(open_nodes.select("node").distinct(), "node", "left_semi")
-    rest = _sketched_pairs(open_nodes.join(detail, "node"), percent).distinct().join(tested, ["a", "b"], "left_anti")
+    rest = _sketched_pairs(open_nodes, detail, percent).distinct().join(tested, ["a", "b"], "left_anti")
     more = stored(_confirmed(stored(rest, "pairs"), sets, percent), "links")
     if not more.isEmpty():
         components = connected_components(links.unionByName(more))
