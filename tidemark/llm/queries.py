@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, langid, licenses, minhash, packing, quality, sharding, toxicity, vectors, warc
+from tidemark.llm import bpe, langid, licenses, minhash, packing, quality, sharding, spelling, toxicity, vectors, warc
 from tidemark.llm.common import remainder_of_crc, table
 
 QUERIES = {}
@@ -93,6 +93,14 @@ def op10_sharding(spark, sf):
     )
 
 
+@query
+def op11_spelling_variants(spark, sf):
+    return spelling.spelling_variants(table(spark, sf, "documents"))
+
+
+ORACLE["op11_spelling_variants"] = spelling.ORACLE_SQL
+
+
 def load_all():
     """Registry and SQL, the pipeline's included."""
     import corpus_pipeline
