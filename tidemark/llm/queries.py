@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, collocations, langid, licenses, minhash, packing, quality, sharding, spelling, toxicity, vectors, warc
+from tidemark.llm import bpe, collocations, langid, licenses, minhash, packing, quality, repeats, sharding, spelling, toxicity, vectors, warc
 from tidemark.llm.common import remainder_of_crc, table
 
 QUERIES = {}
@@ -101,6 +101,14 @@ def op11_spelling_variants(spark, sf):
 ORACLE["op11_spelling_variants"] = spelling.ORACLE_SQL
 
 
+@query
+def op12_repeated_passages(spark, sf):
+    return repeats.remove_repeats(table(spark, sf, "documents"), with_kept=False)
+
+
+ORACLE["op12_repeated_passages"] = repeats.ORACLE_SQL
+
+
 @query
 def op13_phrase_collocations(spark, sf):
     return collocations.collocations(table(spark, sf, "documents"))
