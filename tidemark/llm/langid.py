@@ -18,12 +18,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LETTER, hashed_share, keyed_texts
+from tidemark.llm.common import LETTER, hashed_share, keyed_texts, slices, text_condition
 
 START = "▁"
 EDGE = ".,!?#*$%&|<>;:()[]{}\"'«»“”„…-0123456789"
-LONGEST = 64  # characters of a word that are segmented at once; longer words are several
-CACHE_ENTRIES = 1_000_000
+LONGEST = 64  # characters up to which words are scored many at once; longer ones are scaled on the way
+CACHE_ENTRIES = 200_000
 
 
 def vocabulary(path: str) -> list[str]:
@@ -37,12 +37,10 @@ def words_of(text: str) -> list[str]:
     return text.lower().split()
 
 
-def cores(word: str) -> list[str]:
-    """What is scored of a word: its inside, without digits and marks at the edges, in parts of LONGEST."""
+def core_of(word: str) -> str:
+    """What is scored of a word: its inside, without digits and marks at the edges; empty without a letter."""
     core = word.strip(EDGE)
-    if len(core) <= LONGEST and core.isalpha():
-        return [core]
-    return [core[i : i + LONGEST] for i in range(0, len(core), LONGEST)] if LETTER.search(core) else []
+    return core if core.isalpha() or LETTER.search(core) else ""
 
 
 def _codes(words: list[str]) -> np.ndarray:
@@ -81,7 +79,7 @@ class Lattice:
     def __init__(self, table: PieceTable, words: list[str]):
         codes = _codes([START + w for w in words])
         self.n = codes.shape[1]
-        self.longest = min(self.n, 16)
+        self.longest = min(self.n, max(table.by_size, default=1))
         self.pieces = np.full((self.longest, self.n, len(words)), -1, np.int32)  # (length - 1, start, word)
         h = np.zeros(codes.shape, np.uint64)
         for size in range(1, self.longest + 1):
@@ -100,6 +98,19 @@ class Lattice:
                 a[end] += a[end - size] * p[self.pieces[size - 1, end - size]]
         return a
 
+    def scaled_forward(self, p: np.ndarray) -> np.ndarray:
+        """Logarithms of the sums over all segmentations of the first word, whatever its length."""
+        recent = np.zeros((self.longest, p.shape[1]))  # sums up to the last places, newest first
+        recent[0], scale = 1.0, np.zeros(p.shape[1])
+        for end in range(1, self.n + 1):
+            sizes = np.arange(min(self.longest, end))
+            a = (recent[sizes] * p[self.pieces[sizes, end - 1 - sizes, 0]]).sum(axis=0)
+            recent = np.vstack([a, recent[:-1]])
+            if a.min() < 1e-100:
+                recent /= a
+                scale += np.log(a)
+        return scale + np.log(recent[0])
+
     def expected(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected uses of every piece by language, for word counts (word, language)."""
         a = self.forward(p)
@@ -136,8 +147,11 @@ class LanguageModel:
         """(word, language), in the order given."""
         out, place = np.empty((len(words), len(self.languages))), {w: i for i, w in enumerate(words)}
         for same in by_length(words).values():
-            a = Lattice(self.table, same).forward(self.p)[-1]
-            out[[place[w] for w in same]] = np.log(np.maximum(a, 1e-300))
+            if len(same[0]) <= LONGEST:
+                out[[place[w] for w in same]] = np.log(Lattice(self.table, same).forward(self.p)[-1])
+            else:
+                for w in same:
+                    out[place[w]] = Lattice(self.table, [w]).scaled_forward(self.p)
         return out
 
 
@@ -161,17 +175,12 @@ class WordScores:
         if len(self.row) + len(new) > CACHE_ENTRIES:
             self.clear()
             new = list(words)
-        parts = {w: cores(w) for w in new}
-        stems = list({c for cs in parts.values() for c in cs if c not in self.row})
+        core = {w: core_of(w) for w in new}
+        stems = list({c for c in core.values() if c and c not in self.row})
         if stems:
             self._add(stems, self.model.log_probabilities(stems))
-        for w, cs in parts.items():
-            if len(cs) == 1:
-                self.row[w] = self.row[cs[0]]
-            elif cs:
-                self._add([w], np.sum([self.scores[self.row[c]] for c in cs], axis=0, keepdims=True))
-            else:
-                self.row[w] = 0
+        for w, c in core.items():
+            self.row[w] = self.row[c] if c else 0
 
     def _add(self, words: list[str], scores: np.ndarray) -> None:
         while self.used + len(words) > len(self.scores):
@@ -193,18 +202,18 @@ class WordScores:
 
 
 def learn(counts: dict[str, Counter], pieces: list[str], rounds: int = 3, floor: float = 1e-7) -> LanguageModel:
-    """Piece probabilities of every language from its word counts."""
+    """Piece probabilities of every language from its word counts, those of words of up to LONGEST characters."""
     languages = sorted(counts)
     index = {p: i for i, p in enumerate(pieces)}
     p = np.full((len(pieces) + 2, len(languages)), 1.0 / max(1, len(pieces)))
     p[-1] = 0.0
     p[-2] = floor
-    words = sorted({c for of in counts.values() for w in of for c in cores(w)})
+    words = sorted({c for of in counts.values() for c in map(core_of, of) if 0 < len(c) <= LONGEST})
     place = {w: i for i, w in enumerate(words)}
     n = np.zeros((len(words), len(languages)))
     for k, language in enumerate(languages):
         for w, times in counts[language].items():
-            for c in cores(w):
+            if (c := core_of(w)) in place:
                 n[place[c], k] += times
     table = PieceTable(index)
     groups = [(Lattice(table, same[i : i + 20_000]), [place[w] for w in same[i : i + 20_000]]) for same in by_length(words).values() for i in range(0, len(same), 20_000)]
@@ -247,11 +256,6 @@ def _predict(scores: WordScores, texts: list[str | None]) -> tuple[list[str], np
     return [names[k] if ok else "und" for k, ok in zip(best, has_letter, strict=True)], np.where(has_letter, posterior, 0.0)
 
 
-def _slices(batch, at: int, rows: int = 512):
-    for i in range(0, batch.num_rows, rows):
-        yield batch.slice(i, rows), batch.column(at).slice(i, rows).to_pylist()
-
-
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """doc_id, lang_pred and score (posterior probability, 0 to 1) of every row, from its whole text.
 
@@ -262,7 +266,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     def predict(batches):
         scores = WordScores(model)
         for batch in batches:
-            for part, texts in _slices(batch, 1):
+            for part, texts in slices(batch):
                 lang, score = _predict(scores, texts)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
@@ -271,13 +275,9 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: LanguageModel, least_score: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns, whose text has a language with at least ``least_score``."""
-    at = docs.columns.index("text")
 
-    def keep(batches):
+    def judge():
         scores = WordScores(model)
-        for batch in batches:
-            for part, texts in _slices(batch, at):
-                lang, score = _predict(scores, texts)
-                yield part.filter(pa.array([name != "und" and s >= least_score for name, s in zip(lang, score, strict=True)]))
+        return lambda texts: [name != "und" and s >= least_score for name, s in zip(*_predict(scores, texts), strict=True)]
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.filter(text_condition(judge)(F.col("text").cast("string")))

@@ -14,8 +14,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tidemark.llm.common import keyed_texts, labelled_sample
+from tidemark.llm.common import keyed_texts, labelled_sample, text_condition
 from tidemark.llm.logistic import fit_logistic, sigmoid
 
 BITS = 16  # buckets of each of the two hashed spaces, as a power of two
@@ -201,14 +202,9 @@ def judge(docs: DataFrame, model: QualityModel, keep_from: float = KEEP_FROM) ->
 
 def keep_good(docs: DataFrame, model: QualityModel, keep_from: float = KEEP_FROM) -> DataFrame:
     """The rows of ``docs``, all columns, that neither fail the base rules nor the verdict."""
-    at = docs.columns.index("text")
 
-    def run(batches):
-        for batch in batches:
-            kept = []
-            for text in batch.column(at):
-                t = read(text.as_py() or "")
-                kept.append(not t.failed and model.probability(t) >= keep_from)
-            yield batch.filter(pa.array(kept, pa.bool_()))
+    def good(text: str | None) -> bool:
+        t = read(text or "")
+        return not t.failed and model.probability(t) >= keep_from
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.filter(text_condition(lambda: lambda texts: [good(t) for t in texts])(F.col("text").cast("string")))
