@@ -12,7 +12,6 @@ PATH = pt.path("word_bpe_49k.json")
 def check(rows, texts, capacity):
     """Every document's pieces are whole and in order; sequences have no gaps and do not overflow."""
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     docs, sequences = {}, {}
     for r in rows:
         docs.setdefault(r.doc_id, []).append(r)
@@ -36,9 +35,8 @@ def check(rows, texts, capacity):
 
 def test_words_equal_the_tokenizer():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     own = packing.WordTokens(PATH)
-    parts = ["a", "The", "'s", "'re", "'", "R", " ", "  ", "\n", "\t", "1", "23", "!!", ".", ",", "é", "É", "İ", "ΑΣ", "́", "日本", "🎉", " ", "\x1c", "<|endoftext|>"]
+    parts = ["a", "The", "'s", "'re", "'", "R", " ", "  ", "\n", "\t", "1", "23", "!!", ".", ",", "é", "É", "İ", "ΑΣ", "́", "日本", "🎉", " ", "\x1c", "<|endoftext|>", "<|startoftext|>", " <|endoftext|> "]
     rng = np.random.default_rng(1)
     for _ in range(3000):
         text = "".join(parts[i] for i in rng.integers(0, len(parts), rng.integers(0, 20)))

@@ -24,7 +24,7 @@ from tidemark.llm.common import keyed_texts
 from tidemark.session import new_table_path
 
 SEQUENCE = 4096
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 300_000
 MEMBERS = "array<struct<doc_id:long,piece:int,start:long,length:long,ids_crc32:long,offset:long>>"
 BINS = f"bin long, used int, members {MEMBERS}"
 FIELDS = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("offset", pa.int64())]
@@ -40,7 +40,8 @@ def byte_characters() -> dict[int, str]:
 class WordTokens(dict):
     """Ids by stretch between blanks, for a tokenizer that never joins across a blank or line feed.
 
-    Each distinct stretch is encoded once and kept while there is room. A word of letters goes
+    Each distinct stretch is encoded once and kept while there is room. The tokenizer's added
+    tokens hold no blank, so a stretch with one goes to the tokenizer whole. A word of letters goes
     straight to the tokenizer's model, lower-cased and spelt in byte characters as its
     pre-tokenizer would; all else takes the whole tokenizer.
     """
@@ -48,7 +49,6 @@ class WordTokens(dict):
     def __init__(self, path: str):
         super().__init__({"": b""})
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.tokenize = self.tokenizer.model.tokenize
         self.spelling = byte_characters()
         self.ends = {e: self.whole(e) for e in ",."}
