@@ -21,7 +21,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import keyed_texts, labelled_sample
+from tidemark.llm.common import keyed_texts, labelled_sample, slices
 from tidemark.llm.logistic import fit_logistic, sigmoid
 
 CARRIER = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ+/0123456789"
@@ -29,7 +29,7 @@ EDGE = b".,!?#*$%&|<>;:()[]\"'"
 #: Windows are counted by least difference of lengths and most bytes that the toxic dictionary leaves beside the carrier's.
 CELLS = tuple((least, most) for most in (1, 2, 3, 99) for least in (2, 3, 4, 5, 6))
 LONGEST = 64  # a longer stretch is several windows
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 300_000
 
 
 def windows(text: str) -> list[bytes]:
@@ -75,16 +75,19 @@ class Differences(dict):
         self.toxic, self.ordinary = _compressor(toxic), _compressor(ordinary)
         self.base = int(_lengths(self.toxic, [b"  " + CARRIER])[0])
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        new = list({w for w in words if w not in self})
+    def learn(self, words: set[bytes]) -> None:
+        """Compresses the new ones among the words, all in one call of either compressor."""
+        new = [w for w in words if w not in self]
         if new:
             if len(self) + len(new) > CACHE_ENTRIES:
                 self.clear()
-                new = list(set(words))
+                new = list(words)
             padded = [b" " + w.strip(EDGE) + b" " + CARRIER for w in new]
             toxic = _lengths(self.toxic, padded)
             gain, rest = np.clip(_lengths(self.ordinary, padded) - toxic, 0, 99), np.clip(toxic - self.base, 0, 99)
             self.update(zip(new, (100 * gain + rest).tolist(), strict=True))
+
+    def of(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
@@ -95,9 +98,9 @@ class ToxicityModel:
     weights: np.ndarray | None
 
     def features(self, differences: Differences, texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), 2 * len(CELLS) + 2))
-        for i, text in enumerate(texts):
-            words = windows(text)
+        out, split = np.zeros((len(texts), 2 * len(CELLS) + 2)), [windows(t) for t in texts]
+        differences.learn({w for words in split for w in words})
+        for i, words in enumerate(split):
             if words:
                 gain, rest = np.divmod(differences.of(words), 100)
                 telling = gain >= 2
@@ -126,8 +129,8 @@ def _fresh(texts: list[str]) -> list[set[bytes]]:
     return out
 
 
-def fit_from_texts(texts: list[str], y: np.ndarray, weight: np.ndarray, toxic_size: int = 8192, ordinary_size: int = 32768, least: int = 3, seed: int = 5) -> ToxicityModel:
-    """Dictionaries from three fifths of the texts, calibration from the rest.
+def fit_from_texts(texts: list[str], y: np.ndarray, weight: np.ndarray, toxic_size: int = 8192, ordinary_size: int = 32768, least: int = 3, most_samples: int = 100_000, seed: int = 5) -> ToxicityModel:
+    """Dictionaries from three fifths of the texts (at most ``most_samples`` words, drawn evenly, for each), calibration from the rest.
 
     Without both labels on both sides there is no model, and every score is 0.
     """
@@ -140,7 +143,7 @@ def fit_from_texts(texts: list[str], y: np.ndarray, weight: np.ndarray, toxic_si
     ordinary = Counter(w.strip(EDGE) for words in _fresh(of(0)) for w in words)
     recurring = [w for w, n in sorted(toxic.items()) if n >= least and w and w not in ordinary]
     spread = lambda words, counts, most: [b" " + w + b" " for w in words for _ in range(min(counts[w], most))]
-    mixed = lambda samples: [samples[i] for i in rng.permutation(len(samples))[:100_000]]
+    mixed = lambda samples: [samples[i] for i in rng.permutation(len(samples))[:most_samples]]
     common = _train(mixed(spread(sorted(ordinary), ordinary, 20)), ordinary_size)
     model = ToxicityModel(_train(mixed(spread(recurring, toxic, 100)), toxic_size), common, None)
     rest = np.flatnonzero(~part)
@@ -166,7 +169,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7
     def score(batches):
         differences = Differences(model.toxic, model.ordinary)
         for batch in batches:
-            s = model.scores(differences, [t or "" for t in batch.column(1).to_pylist()])
+            s = np.concatenate([np.zeros(0), *(model.scores(differences, [t or "" for t in texts]) for _, texts in slices(batch, 1, 1 << 22))])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     return keyed_texts(docs).mapInArrow(score, "doc_id long, score double, predicted int")
