@@ -74,13 +74,19 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
 
 
-def test_blocks_of_a_band_miss_no_pair(spark):
-    base = list(range(200))
-    sets = {k: minhash.shingles(" ".join(f"w{x}" for x in base if x % 40 != k), 2) for k in range(30)}
-    rows = spark.createDataFrame([(pos, 7, k, k % 5) for pos in (0, 3) for k in sets], "pos int, band long, node long, component long")
-    detail = [(k, len(s), minhash.sketch(s).tolist(), [1 << 40 if p == 3 else (k + 1) << 40 for p in range(4)]) for k, s in sets.items()]
-    detail = spark.createDataFrame(detail, "node long, n long, sketch array<long>, bands array<long>")
-    want = {(a, b) for a in sets for b in sets if a < b and a % 5 != b % 5}
-    for block in (4, 1024):
-        got = [(r.a, r.b) for r in minhash._sketched_pairs(rows, detail, 80, block).collect()]
-        assert len(got) == len(want) and set(got) == want
+def test_first_shingles_miss_no_pair(spark):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    sets = {k: set(minhash.shingles(" ".join(w for w in base if rng.random() > 0.06), 2).tolist()) for k in range(60)}
+    rows = [(k, k % 5, b"".join(x.to_bytes(8, "little") for x in sorted(s))) for k, s in sets.items()]
+    for percent in (60, 80, 95):
+        got = [(r.a, r.b) for r in minhash._prefix_pairs(spark.createDataFrame(rows, "node long, component long, items binary"), percent).collect()]
+        near = {(a, b) for a in sets for b in sets if a < b and a % 5 != b % 5 and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+        assert len(got) == len(set(got)) and near <= set(got) and all(a % 5 != b % 5 for a, b in got)
+
+
+def test_one_id_with_two_texts(spark):
+    one, two = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, one), (1, two), (2, one + " x"), (3, two + " y"), (3, "c d e f"), (0, two + " z")]
+    got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 59, 1, True), (2, 60, 1, False), (1, 59, 0, False), (3, 60, 0, False), (0, 60, 0, True), (3, 3, 3, True)}

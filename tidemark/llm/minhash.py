@@ -10,10 +10,10 @@ pairs of its classes: each class meets the band's smallest class, in some bands
 all, and only if they are not in one component yet. After that, only pairs from different
 components that were not tested remain, and what is left after those could link nothing further.
 
-In that last step a sketch estimates a pair's similarity before sets are fetched: two bits of the
-minima and maxima under many more permutations, made only for documents that share a band. Pairs
-whose sketches agree less than those of a pair at the threshold do, by 5.5 standard deviations,
-are let go. Bands are compared in blocks of bounded size, and a pair counts in its first band.
+That last step takes every document of such an open band once. Shingles are ordered from rare to
+common; two similar sets share one of the first shingles of either, and where they first meet
+bounds how much they can still share. Only pairs within the bound leave the join, so documents
+that have a band but little else in common cost no rows.
 """
 
 from __future__ import annotations
@@ -24,19 +24,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keyed_texts
+from tidemark.llm.common import keyed_texts, slices
 from tidemark.llm.components import connected_components
 from tidemark.session import stored
 
 ROWS, GROUPS = 7, 36  # 36 groups of 7 permutations: 36 bands of minima and 36 of maxima
-VALUES = 2048  # sketched values: 1024 minima and 1024 maxima
-SKETCH = VALUES // 32  # longs of two bits per value
+COUNTERS = 1 << 20  # hashed counts by which shingles are ordered; the order only has to be the same everywhere
 CHUNK = 1024
 _RANDOM = np.random.default_rng(20240229)
 MULTIPLIERS = _RANDOM.integers(0, 1 << 63, (ROWS * GROUPS, 1), np.uint64) * np.uint64(2) + np.uint64(1)
 MASKS = _RANDOM.integers(0, 1 << 63, (ROWS * GROUPS, 1), np.uint64) * np.uint64(2)
-SKETCH_MULTIPLIERS = _RANDOM.integers(0, 1 << 63, (VALUES // 2, 1), np.uint64) * np.uint64(2) + np.uint64(1)
-SKETCH_MASKS = _RANDOM.integers(0, 1 << 63, (VALUES // 2, 1), np.uint64) * np.uint64(2)
 BAND_MIX = _RANDOM.integers(0, 1 << 63, (2 * GROUPS, ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
 SIGNED = "doc_id long, n_shingles long, cls binary, bands array<long>"
 
@@ -77,27 +74,15 @@ def bands(values: np.ndarray) -> np.ndarray:
     return _mix((_mix(rows) * BAND_MIX).sum(axis=1, dtype=np.uint64)).view(np.int64)
 
 
-def sketch(values: np.ndarray) -> np.ndarray:
-    """Two bits of every sketched value."""
-    two = _mix(np.concatenate(extremes(values, SKETCH_MULTIPLIERS, SKETCH_MASKS))) & np.uint64(3)
-    return (two.reshape(SKETCH, 32) << np.arange(0, 64, 2, dtype=np.uint64)).sum(axis=1, dtype=np.uint64).view(np.int64)
-
-
-def least_agreement(percent: int) -> int:
-    """Agreeing sketch values below which a pair is let go."""
-    p = percent / 100 + (1 - percent / 100) / 4
-    return int(VALUES * p - 5.5 * (VALUES * p * (1 - p)) ** 0.5)
-
-
 def _signed(texts: DataFrame, size: int) -> DataFrame:
     """Set size, class (hash of the whole set) and bands; the last two are null for an empty set."""
 
     def run(batches):
         seen: dict[bytes, np.ndarray] = {}
-        for batch in batches:
+        for batch, part in ((b, t) for whole in batches for b, t in slices(whole)):
             n, cls, band = [], [], []
-            for text in batch.column(1):
-                s = shingles(text.as_py(), size)
+            for text in part:
+                s = shingles(text, size)
                 n.append(len(s))
                 key = xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
                 cls.append(key)
@@ -115,15 +100,17 @@ def _signed(texts: DataFrame, size: int) -> DataFrame:
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
-    """Shingles and sketch of every text."""
+    """Class and shingles of every text with words."""
 
     def run(batches):
         for batch in batches:
-            sets = [shingles(t.as_py(), size) for t in batch.column(1)]
-            columns = [batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(map(len, sets), pa.int64()), pa.array([sketch(s) for s in sets], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "items", "n", "sketch"])
+            for _, part in slices(batch):
+                sets = [s for s in (shingles(t, size) for t in part) if len(s)]
+                content = [s.tobytes() for s in sets]
+                columns = [pa.array(map(xxhash.xxh3_128_digest, content), pa.binary()), pa.array(content, pa.binary()), pa.array(map(len, sets), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["cls", "items", "n"])
 
-    return texts.mapInArrow(run, "node long, items binary, n long, sketch array<long>")
+    return texts.mapInArrow(run, "cls binary, items binary, n long").select(F.xxhash64("cls").alias("node"), "items", "n")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -142,55 +129,53 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _sketched_pairs(rows: DataFrame, detail: DataFrame, percent: int, block: int = 1024) -> DataFrame:
-    """Pairs (a, b) of different components that share a band and whose sizes and sketches allow the similarity.
+def _counter(items: np.ndarray) -> np.ndarray:
+    return (items & np.uint64(COUNTERS - 1)).astype(np.int64)
+
+
+def _shingle_counts(sets: DataFrame) -> np.ndarray:
+    """How many sets have shingles of each hashed counter: COUNTERS numbers, whatever the input."""
+
+    def run(batches):
+        counts = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for items in batch.column(0):
+                np.add.at(counts, _counter(np.frombuffer(items.as_buffer(), np.uint64)), 1)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["at", "c"])
+
+    rows = sets.select("items").mapInArrow(run, "at long, c long").groupBy("at").agg(F.sum("c").alias("c")).toArrow()
+    out = np.zeros(COUNTERS, np.int64)
+    out[rows.column("at").to_numpy()] = rows.column("c").to_numpy()
+    return out
+
+
+def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b), a < b, of nodes of different components whose sets may reach the similarity.
 
-    rows: pos, band, node and component; detail: node, n, sketch and bands.
+    sets: node, component, items. Shingles are ordered by counter and hash. Sets that reach the
+    similarity share one of the first n - ceil(n * percent / 100) + 1 of either; from the first
+    shingle they share, no more can be common than what is left behind it in the shorter rest.
     """
-    least = least_agreement(percent)
-
-    def compare(group: pa.Table):
-        node, component, n, x = (group.column(c).to_numpy() for c in ("node", "component", "n", "x"))
-        wide = lambda c: group.column(c).combine_chunks().flatten().to_numpy().reshape(len(node), -1)
-        sketches, bands_of = wide("sketch").view(np.uint64), wide("bands")
-        i, j = np.triu_indices(len(node), 1)
-        ok = component[i] != component[j]
-        if group.column("i")[0].as_py() != group.column("j")[0].as_py():
-            ok &= x[i] != x[j]  # pairs inside one block are compared elsewhere
-        i, j = i[ok], j[ok]
-        ok = np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent
-        i, j = i[ok], j[ok]
-        for at in range(0, len(i), 16_384):
-            p, q = i[at : at + 16_384], j[at : at + 16_384]
-            d = sketches[p] ^ sketches[q]
-            agree = VALUES - np.bitwise_count((d | (d >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=1)
-            p, q = p[agree >= least], q[agree >= least]
-            first = (bands_of[p] == bands_of[q]).argmax(axis=1) == group.column("pos")[0].as_py()
-            yield np.minimum(node[p[first]], node[q[first]]), np.maximum(node[p[first]], node[q[first]])
+    counts = _shingle_counts(sets)
 
     def run(batches):
-        held = None  # rows of the last group, which may go on
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = table if held is None else pa.concat_tables([held, table]).combine_chunks()
-            keys = table.column("g").to_numpy()
-            edges = np.r_[0, np.flatnonzero(keys[1:] != keys[:-1]) + 1] if len(keys) else np.zeros(1, int)
-            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-                if hi - lo > 1:
-                    for a, b in compare(table.slice(lo, hi - lo)):
-                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-            held = table.slice(edges[-1])
-        if held is not None and held.num_rows > 1:
-            for a, b in compare(held):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    # places are dealt on slim rows; what a node carries joins last, before the only exchange of it
-    blocks = rows.groupBy("pos", "band").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    rows = rows.join(blocks, ["pos", "band"]).withColumn("x", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"i": F.least("x", "y"), "j": F.greatest("x", "y")})
-    rows = rows.withColumn("g", F.xxhash64("pos", "band", "i", "j")).select("g", "pos", "i", "j", "x", "node", "component")
-    slim = detail.withColumn("bands", F.transform("bands", lambda x: F.shiftright(x, 32).cast("int")))
-    return rows.join(slim, "node").repartition("g").sortWithinPartitions("g").mapInArrow(run, "a long, b long")
+            for node, component, content in zip(*(batch.column(k) for k in range(3)), strict=True):
+                items = np.frombuffer(content.as_buffer(), np.uint64)
+                items = items[np.lexsort((items, counts[_counter(items)]))]
+                n = len(items)
+                first = n - -(-n * percent // 100) + 1
+                same = lambda x, m=first: np.full(m, x, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(items[:first].view(np.int64)), pa.array(same(node.as_py())), pa.array(same(component.as_py())), pa.array(same(n)), pa.array(np.arange(first))], names=["item", "node", "component", "n", "at"]
+                )
+
+    rows = sets.select("node", "component", "items").mapInArrow(run, "item long, node long, component long, n long, at long")
+    left = rows.select("item", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), (F.col("n") - F.col("at")).alias("ra"))
+    right = rows.select("item", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), (F.col("n") - F.col("at")).alias("rb"))
+    likely = f"a < b and ca <> cb and least(na, nb) * 100 >= greatest(na, nb) * {percent} and least(ra, rb) * {100 + percent} >= (na + nb) * {percent}"
+    return left.join(right, "item").filter(likely).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80) -> DataFrame:
@@ -202,19 +187,21 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80)
     either; its component_id is null and it is kept. Repeated rows have the same component. Rows
     that share a doc_id but not a text are placed by their own text.
 
-    A pair at exactly 80 percent shares no band with a chance of 5e-8.
+    A pair at exactly 80 percent shares no band with a chance of 5e-8; all pairs with a band are
+    found. Shingles are compared as 64-bit hashes.
     """
     spark = docs.sparkSession
     texts = keyed_texts(docs)
     signed = stored(_signed(texts, shingle_words), "signed")
     usable = signed.filter("cls is not null and doc_id is not null")
-    classes = stored(usable.groupBy("cls").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n")), "classes")
-    nodes = usable.select("cls", F.col("doc_id").alias("node"), "bands").join(classes, ["cls", "node"])
+    # a node is a class; its first document only lends the text
+    classes = stored(usable.groupBy("cls").agg(F.min("doc_id").alias("first")).withColumn("node", F.xxhash64("cls")), "classes")
+    nodes = usable.select("cls", F.col("doc_id").alias("first"), "bands").join(classes, ["cls", "first"])
     in_bands = nodes.select("node", F.posexplode("bands").alias("pos", "band"))
     hubs = in_bands.groupBy("pos", "band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub <> last").select("pos", "band", "hub")
     shared = stored(in_bands.join(hubs, ["pos", "band"]).select("pos", "band", "hub", "node").distinct(), "shared")
-    members = shared.select("node").distinct()
-    sets = stored(_sets(texts.join(members.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi"), shingle_words), "sets")
+    members = classes.join(shared.select("node").distinct(), "node", "left_semi").select(F.col("first").alias("doc_id")).distinct()
+    sets = stored(_sets(texts.join(members, "doc_id", "left_semi"), shingle_words), "sets")
     sizes = sets.select("node", "n")
 
     def of_like_size(pairs: DataFrame) -> DataFrame:
@@ -239,13 +226,15 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80)
     placed = place(shared.select("pos", "band", "node"))
     open_bands = placed.groupBy("pos", "band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("pos", "band")
     open_nodes = placed.join(open_bands, ["pos", "band"])
-    detail = sets.select("node", "n", "sketch").join(nodes.select("node", "bands"), "node").join(open_nodes.select("node").distinct(), "node", "left_semi")
-    rest = _sketched_pairs(open_nodes, detail, percent).distinct().join(tested, ["a", "b"], "left_anti")
+    open_nodes = open_nodes.select("node", "component").distinct()
+    rest = _prefix_pairs(stored(sets.select("node", "items").join(open_nodes, "node"), "open"), percent).join(tested, ["a", "b"], "left_anti")
     more = stored(_confirmed(stored(rest, "pairs"), sets, percent), "links")
     if not more.isEmpty():
         components = connected_components(links.unionByName(more))
 
-    of_class = place(classes).select("cls", F.col("component").alias("component_id"))
+    placed = place(classes)
+    smallest = placed.groupBy("component").agg(F.min("first").alias("component_id"))
+    of_class = placed.join(smallest, "component").select("cls", "component_id")
     linked = usable.select("doc_id", "n_shingles", "cls").join(of_class, "cls").select("doc_id", "n_shingles", "component_id")
     alone = signed.filter("cls is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
