@@ -1,6 +1,7 @@
 """Cohorts, labels and features against brute force, on data in which one entity has a third of the rows."""
 
 import random
+import statistics
 from datetime import date, timedelta
 
 import pytest
@@ -110,10 +111,10 @@ def as_dict(df):
     return {(r.entity_id, r.as_of_date): {k: v for k, v in r.asDict().items() if k not in ("entity_id", "as_of_date")} for r in df.collect()}
 
 
-@pytest.mark.parametrize("chunk,wide_from", [(200, 40), (4, 40), (200, 1)])
-def test_features(spark, rows, exits, chunk, wide_from):
+@pytest.mark.parametrize("chunk", [200, 4])
+def test_features(spark, rows, exits, chunk):
     events, cohort = make(spark, rows, exits)
-    got = as_dict(fe.build_features(cohort, events, SPEC, DATES, chunk, wide_from))
+    got = as_dict(fe.build_features(cohort, events, SPEC, DATES, chunk))
     assert got == {k: pytest.approx(brute_features(rows, k)) for k in brute_cohort(rows, exits)}
 
 
@@ -121,10 +122,9 @@ def test_window_bound_follows_the_date(spark):
     """30 days reach further back than a month on 1 March, and less far on 1 February."""
     cohort = spark.createDataFrame([(1, date(2024, 2, 1)), (1, date(2024, 3, 1))], "entity_id long, as_of_date date")
     source = spark.createDataFrame([(1, date(2024, 1, 1), 5.0)], "entity_id long, day date, v double")
-    for wide_from in (1, 40):
-        spec = fe.FeatureSource("s", "s", "day", windows=(fe.WindowAggregate("v", "v", ("sum",), ("30 days", "1 month")),))
-        got = {r.as_of_date.month: r.s_v_sum_1m for r in fe.build_features(cohort, source, spec, [date(2024, 2, 1), date(2024, 3, 1)], wide_from=wide_from).collect()}
-        assert got == {2: 5.0, 3: 0.0}
+    spec = fe.FeatureSource("s", "s", "day", windows=(fe.WindowAggregate("v", "v", ("sum",), ("30 days", "1 month")),))
+    got = {r.as_of_date.month: r.s_v_sum_1m for r in fe.build_features(cohort, source, spec, [date(2024, 2, 1), date(2024, 3, 1)]).collect()}
+    assert got == {2: 5.0, 3: 0.0}
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -139,11 +139,88 @@ def test_mixed_units_against_brute_force(spark, rows, exits, seed):
         for name, _, fn, iv in spec.window_columns():
             inside = [r[3] for r in rows if r[0] == who and iv.before(d) <= r[1] < d]
             want[(who, d, name)] = sum(inside) if fn == "sum" else len(inside)
-    for wide_from, columns in ((1, 100), (40, 100), (1, 3)):
-        found = fe.build_features(cohort, events, spec, DATES, columns, wide_from).collect()
+    for columns in (100, 3):
+        found = fe.build_features(cohort, events, spec, DATES, columns).collect()
         assert {(r.entity_id, r.as_of_date, c[0]): r[c[0]] for r in found for c in spec.window_columns()} == want
 
 
+STATES = fe.FeatureSource(
+    "events", "x", "event_date",
+    windows=(fe.WindowAggregate("amount", "amount", ("sum", "avg"), ("1 month", "9 months", "9999 months")),),
+    history=(fe.HistoryFeature("last", "days_since_last", impute=-1),),
+    modes=(fe.ModeFeature("source", "source"),),
+    states=(
+        fe.State("n", "count", "amount"), fe.State("mean", "avg", "amount", where="amount < 8"), fe.State("var", "variance", "amount"), fe.State("sd", "stddev", "amount"),
+        fe.State("early", "first", "source", where="amount > 2"), fe.State("late", "last", "amount"), fe.State("kinds", "count_distinct", "source"),
+        fe.State("levels", "count_distinct", "amount", where="source <> 's0'"), fe.State("spread", "sketch", "amount"),
+    ),
+    expressions=(
+        fe.HistoryExpression("n", "n", impute=0), fe.HistoryExpression("ratio", "mean / n"), fe.HistoryExpression("var", "var"), fe.HistoryExpression("sd", "sd"),
+        fe.HistoryExpression("early", "early", categorical=True), fe.HistoryExpression("late", "late"), fe.HistoryExpression("kinds", "kinds"), fe.HistoryExpression("levels", "levels", impute=0),
+        fe.HistoryExpression("median", "kll_sketch_get_quantile_double(spread, 0.5D)"), fe.HistoryExpression("year", "year(as_of_date) + kinds"),
+    ),
+)
+
+
+def brute_expressions(rows, key):
+    who, d = key
+    mine = [r for r in rows if r[0] == who and r[1] < d]
+    amounts = [r[3] for r in mine]
+    some = [x for x in amounts if x < 8]
+    var = statistics.variance(amounts) if len(amounts) > 1 else None
+    kinds = len({r[2] for r in mine}) or None
+    return {
+        "x_n": len(mine), "x_ratio": sum(some) / len(some) / len(mine) if some else None, "x_var": var, "x_sd": var**0.5 if var is not None else None,
+        "x_early": min(((r[1], r[2]) for r in mine if r[3] > 2), default=(0, None))[1], "x_late": max(((r[1], r[3]) for r in mine), default=(0, None))[1],
+        "x_kinds": kinds, "x_levels": len({r[3] for r in mine if r[2] != "s0"}), "x_year": d.year + kinds if kinds else None,
+    }
+
+
+def test_expressions_over_states(spark, rows, exits):
+    events, cohort = make(spark, rows, exits)
+    got = as_dict(fe.build_features(cohort, events, STATES, DATES))
+    assert set(got) == set(brute_cohort(rows, exits))
+    for key, found in got.items():
+        want = brute_expressions(rows, key)
+        assert {k: found[k] for k in want} == pytest.approx(want, abs=1e-9)
+        amounts = [r[3] for r in rows if r[0] == key[0] and r[1] < key[1]]
+        middle = found["x_median"]  # exact while the sketch holds all values
+        assert middle is None if not amounts else sum(a < middle for a in amounts) <= len(amounts) / 2 + 5 and sum(a > middle for a in amounts) <= len(amounts) / 2 + 5
+
+
+def test_carried_states_equal_a_full_run(spark, rows, exits):
+    events, cohort = make(spark, rows, exits)
+    plain = fe.FeatureSource(**{**vars(STATES), "expressions": tuple(e for e in STATES.expressions if e.name != "median")})
+    want = as_dict(fe.build_features(cohort, events, plain, DATES))
+    state, got = None, {}
+    for d in DATES:  # one date after the other, each from the state before
+        part = cohort.where(F.col("as_of_date") == d)
+        read = events if state is None else events.where(F.col("event_date") >= min(state.since, Interval.parse("9 months").before(d)))
+        got |= as_dict(fe.build_features(part, read, plain, [d], carried=state))
+        newer = events if state is None else events.where(F.col("event_date") >= state.since)
+        state = fe.stored_state(fe.history_state(newer, plain, d, state))
+    assert got == {k: pytest.approx(v, abs=1e-9) for k, v in want.items()}
+    with pytest.raises(ValueError):
+        fe.build_features(cohort, events, plain, DATES, carried=state)
+
+
+def test_no_row_goes_to_every_later_date(spark, rows, exits):
+    """Rows of all history leave the fan-out once; only those inside a window come more often."""
+    events, cohort = make(spark, rows, exits)
+    only = fe.FeatureSource("events", "x", "event_date", states=STATES.states, expressions=STATES.expressions)
+    fanned, _ = fe._rings(events, only, fe._pieces(only), DATES, False)
+    assert fanned.count() == sum(r[1] < DATES[-1] for r in rows)
+
+
+def test_ages_in_a_spec(spark):
+    cohort = spark.createDataFrame([(k, date(2024, 2, 1)) for k in (1, 2, 3, 4)], "entity_id long, as_of_date date")
+    source = spark.createDataFrame([(1, date(2023, 1, 1), "1984-02-01"), (1, date(2023, 1, 2), "1984-02-01"), (1, date(2023, 1, 3), "1990-01-01"), (2, date(2023, 1, 1), "2023-01-01"), (3, date(2024, 2, 1), "1984-02-01")], "entity_id long, day date, dob string")
+    spec = fe.FeatureSource("s", "d", "day", ages=(fe.AgeFeature("age", "dob"),))
+    got = {r.entity_id: (r.d_age, r.d_age_imp) for r in fe.build_features(cohort, source, spec, [date(2024, 2, 1)]).collect()}
+    assert got == {1: (pytest.approx(14610 / 365.25), 0), 2: (None, 1), 3: (None, 1), 4: (None, 1)}
+    assert spec.numeric_columns() == ["d_age", "d_age_imp"]
+
+
 def test_where_of_a_flag_and_names_shared(spark):
     cohort = spark.createDataFrame([(1, date(2024, 2, 1))], "entity_id long, as_of_date date")
     source = spark.createDataFrame([(1, date(2024, 1, 1), 5.0)], "entity_id long, day date, v double")

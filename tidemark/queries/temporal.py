@@ -8,7 +8,7 @@ from tidemark.dates import Interval, fan_out
 from tidemark.operators import cohort as co
 from tidemark.operators import conform as cf
 from tidemark.operators import features as fe
-from tidemark.operators.features import DateFeature, FeatureSource, HistoryFeature, ModeFeature, WindowAggregate
+from tidemark.operators.features import AgeFeature, DateFeature, FeatureSource, HistoryExpression, HistoryFeature, ModeFeature, State, WindowAggregate
 from tidemark.plans import folds as fo
 from tidemark.queries import base as b
 from tidemark.queries import etl
@@ -196,13 +196,61 @@ def only(spec: FeatureSource, **parts) -> FeatureSource:
       nullif(count(DISTINCT o_orderstatus), 0) AS ord_kinds FROM j GROUP BY ALL""",
 )
 def _(spark, sf):
-    exprs = {
-        "n": "count(o_orderkey)",
-        "last_day": "max(_day)",
-        "spread": "max(o_totalprice) - min(o_totalprice)",
-        "kinds": "count(distinct o_orderstatus)",
-    }
-    return fe.expression_features(cohort(spark, sf), order_source(spark, sf), only(ORDERS), b.DATES, exprs)
+    spec = only(
+        ORDERS,
+        states=(State("orders", "count", "o_orderkey"), State("day", "max", "_day"), State("high", "max", "o_totalprice"), State("low", "min", "o_totalprice"), State("statuses", "count_distinct", "o_orderstatus")),
+        expressions=(HistoryExpression("n", "nullif(orders, 0)"), HistoryExpression("last_day", "day"), HistoryExpression("spread", "high - low"), HistoryExpression("kinds", "statuses")),
+    )
+    return fe.build_features(cohort(spark, sf), order_source(spark, sf), spec, b.DATES)
+
+
+EXPRESSIONS = FeatureSource(
+    "orders", "ord", "o_orderdate",
+    windows=(WindowAggregate("spend", "o_totalprice", ("max",), ("1 year",)),),
+    states=(
+        State("mean", "avg", "o_totalprice"),
+        State("sd", "stddev", "o_totalprice", where="o_orderstatus = 'F'"),
+        State("first_day", "min", "_day"),
+        State("first_priority", "first", "o_orderpriority"),
+        State("last_price", "last", "o_totalprice", where="o_orderstatus = 'O'"),
+        State("priorities", "count_distinct", "o_orderpriority"),
+        State("clerks", "count_distinct", "o_clerk", where="o_totalprice > 100000"),
+        State("urgent", "count", "1", where="o_orderpriority = '1-URGENT'"),
+    ),
+    expressions=(
+        HistoryExpression("mean_spend", "round(mean, 4)", impute=0),
+        HistoryExpression("sd_spend", "round(sd, 1)"),
+        HistoryExpression("known_years", "round(datediff(as_of_date, first_day) / 365.25D, 6)"),
+        HistoryExpression("first_priority", "first_priority", impute="NONE", categorical=True),
+        HistoryExpression("last_price", "last_price"),
+        HistoryExpression("urgent_per_priority", "round(coalesce(urgent, 0) / cast(priorities as double), 6)"),
+        HistoryExpression("clerks", "clerks", impute=0),
+    ),
+)
+EXPRESSION_SQL = f"""WITH {JOINED}, firsts AS (SELECT entity_id, as_of_date, min((d, o_orderpriority))[2] AS p FROM j WHERE o_orderpriority IS NOT NULL AND d IS NOT NULL GROUP BY ALL),
+    lasts AS (SELECT entity_id, as_of_date, max((d, o_totalprice))[2] AS q FROM j WHERE o_orderstatus = 'O' GROUP BY ALL)
+    SELECT j.entity_id, j.as_of_date, {win('max', 'o_totalprice', '1 YEAR')} AS ord_spend_max_1y, coalesce(round(avg(o_totalprice), 4), 0) AS ord_mean_spend,
+      round(stddev_samp(o_totalprice) FILTER (WHERE o_orderstatus = 'F'), 1) AS ord_sd_spend, round((j.as_of_date - min(d)) / 365.25::DOUBLE, 6) AS ord_known_years,
+      coalesce(any_value(p), 'NONE') AS ord_first_priority, any_value(q) AS ord_last_price,
+      round(count(*) FILTER (WHERE o_orderpriority = '1-URGENT') / nullif(count(DISTINCT o_orderpriority), 0)::DOUBLE, 6) AS ord_urgent_per_priority,
+      count(DISTINCT o_clerk) FILTER (WHERE o_totalprice > 100000) AS ord_clerks
+    FROM j LEFT JOIN firsts USING (entity_id, as_of_date) LEFT JOIN lasts USING (entity_id, as_of_date) GROUP BY j.entity_id, j.as_of_date"""
+
+
+@register("t11_expressions", EXPRESSION_SQL)
+def _(spark, sf):
+    """Any SQL over mergeable states, numbers and categories alike."""
+    return fe.build_features(cohort(spark, sf), order_source(spark, sf), EXPRESSIONS, b.DATES)
+
+
+@register("t11_carried_states", EXPRESSION_SQL)
+def _(spark, sf):
+    """The same features, the later dates from states carried on from the earlier ones."""
+    people, orders, dates = cohort(spark, sf), order_source(spark, sf), sorted(b.DATES)
+    half = len(dates) // 2
+    kept = fe.stored_state(fe.history_state(orders, EXPRESSIONS, dates[half - 1]))
+    parts = [fe.build_features(people.where(F.col("as_of_date").isin(some)), orders, EXPRESSIONS, some, carried=c) for some, c in ((dates[:half], None), (dates[half:], kept))]
+    return parts[0].unionByName(parts[1])
 
 
 @register("t10_interval_aggregates", f"WITH {JOINED} SELECT entity_id, as_of_date, {WINDOW_SQL} FROM j GROUP BY entity_id, as_of_date")
@@ -256,10 +304,8 @@ def _(spark, sf):
       CASE WHEN (as_of_date - dob) / 365.25::DOUBLE BETWEEN 5 AND 90 THEN 0 ELSE 1 END AS dem_age_imp FROM dob""",
 )
 def _(spark, sf):
-    spec = FeatureSource("attributes", "dem", "event_date", modes=(ModeFeature("dob", "attribute_value", where="attribute_type = 'dob'"),))
-    modes = fe.mode_features(cohort(spark, sf), etl.attributes(spark, sf), spec, b.DATES)
-    age, imputed = fe.age_columns(F.col("dem_dob").cast("date"), F.col("as_of_date"))
-    return modes.select(*KEYS, F.round(age, 6).alias("dem_age"), imputed.alias("dem_age_imp"))
+    spec = FeatureSource("attributes", "dem", "event_date", ages=(AgeFeature("age", "attribute_value", where="attribute_type = 'dob'"),))
+    return fe.build_features(cohort(spark, sf), etl.attributes(spark, sf), spec, b.DATES).withColumn("dem_age", F.round("dem_age", 6))
 
 
 @register("t16_seasonality", f"WITH {b.COHORT} SELECT entity_id, as_of_date, CAST(month(as_of_date) AS STRING) AS ord_seasonality_month FROM cohort")
