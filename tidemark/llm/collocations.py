@@ -10,13 +10,14 @@ A scan knows the known phrases by bitmaps of bounded size, which may let through
 not active. That does no harm: a phrase is counted in a shard wholly or not at all, so its count
 in a shard is the same whenever it is taken, and totals take each shard once.
 
-Phrases are 64-bit hashes of language and words while they are counted. One last scan gives the
-frequent ones their words.
+Phrases are 64-bit hashes of language and words while they are counted. Texts are split and
+hashed once, into the shards; one last pass over them gives the frequent phrases their words.
 """
 
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from tidemark.session import new_table_path, stored
 
 SEPARATORS = bytes.maketrans(b"\t.,;:!?\x0b\x0c\r", b" " + b"\n" * 9)
 BLANK = re.compile(rb"[ \n]")
-BLOCK = 1 << 22  # bytes of text split into words at once
+BLOCK = 1 << 20  # bytes of text split into words at once, one row of a shard
 CACHE_BYTES = 1 << 25
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNDETERMINED = "und"
@@ -103,31 +104,44 @@ def phrases(hashes: np.ndarray, new: int, lang: str, longest: int, known: KeyFil
         keys = _mixed(before[places] * BASE + word[places + k] + np.uint64(k))
 
 
-def _by_language(batch) -> dict[str, list[bytes]]:
-    out: dict[str, list[bytes]] = {}
-    for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-        out.setdefault(lang, []).append(text.encode("utf-8", "surrogatepass"))
-    return out
+def _split(batch, keys: list[str], longest: int, cache: WordHashes):
+    """(keys, words, hashes, new) for the blocks of each group of texts with the same keys."""
+    groups: dict[tuple, list[bytes]] = {}
+    for *key, text in zip(*(batch.column(k).to_pylist() for k in (*keys, "text")), strict=True):
+        groups.setdefault(tuple(key), []).append(text.encode("utf-8", "surrogatepass"))
+    for key, texts in groups.items():
+        for words, new in blocks(texts, longest):
+            yield key, words, np.fromiter(map(cache.__getitem__, words), np.uint64, len(words)), new
 
 
-def _scan(texts: DataFrame, longest: int, known: KeyFilter, recent: KeyFilter, with_words: bool) -> DataFrame:
-    """k, key and c of the phrases due; length 0 counts the words of a language."""
+def _hashed(texts: DataFrame, longest: int) -> DataFrame:
+    """shard, lang, new and the hashes of the words of each block."""
 
     def run(batches):
         cache = WordHashes()
         for batch in batches:
-            for lang, of in _by_language(batch).items():
-                for words, new in blocks(of, longest):
-                    hashes = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
-                    for k, _, keys in phrases(hashes, new, lang, longest, known, recent):
-                        if k == 1 and not with_words:
-                            continue
-                        if k == 1:
-                            yield _counts(0, np.array([language_key(lang)], np.uint64), np.array([len(keys)]))
-                        if len(keys):
-                            yield _counts(k, *np.unique(keys, return_counts=True))
+            for (shard, lang), _, hashes, new in _split(batch, ["shard", "lang"], longest, cache):
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([lang]), pa.array([new], pa.int64()), pa.array([hashes.tobytes()], pa.binary())], names=["shard", "lang", "new", "hashes"])
+
+    return texts.select("shard", "lang", "text").mapInArrow(run, "shard int, lang string, new long, hashes binary")
 
-    return texts.select("lang", "text").mapInArrow(run, "k byte, key long, c long").groupBy("k", "key").agg(F.sum("c").alias("c"))
+
+def _scan(shard: DataFrame, longest: int, known: KeyFilter, recent: KeyFilter, with_words: bool) -> DataFrame:
+    """k, key and c of the phrases due; length 0 counts the words of a language."""
+
+    def run(batches):
+        for batch in batches:
+            for lang, new, hashes in zip(*(batch.column(k) for k in ("lang", "new", "hashes")), strict=True):
+                lang, hashes = lang.as_py(), np.frombuffer(hashes.as_buffer(), np.uint64)
+                for k, _, keys in phrases(hashes, new.as_py(), lang, longest, known, recent):
+                    if k == 1 and not with_words:
+                        continue
+                    if k == 1:
+                        yield _counts(0, np.array([language_key(lang)], np.uint64), np.array([len(keys)]))
+                    if len(keys):
+                        yield _counts(k, *np.unique(keys, return_counts=True))
+
+    return shard.select("lang", "new", "hashes").mapInArrow(run, "k byte, key long, c long").groupBy("k", "key").agg(F.sum("c").alias("c"))
 
 
 def _counts(k: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
@@ -138,21 +152,30 @@ def _spelled(texts: DataFrame, longest: int, known: KeyFilter) -> DataFrame:
     """lang, k, key and words of the known phrases (and, of length 0, of the languages)."""
 
     def run(batches):
-        cache = WordHashes()
+        cache, told = WordHashes(), set()
         for batch in batches:
-            for lang, of in _by_language(batch).items():
-                yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([0], pa.int8()), pa.array(np.array([language_key(lang)], np.uint64).view(np.int64)), pa.array([""])], names=["lang", "k", "key", "phrase"])
-                for words, new in blocks(of, longest):
-                    hashes = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
-                    for k, places, keys in phrases(hashes, new, lang, longest, known, None):
-                        keys, first = np.unique(keys, return_index=True)
-                        held = known.may_hold(keys)
-                        named = [b" ".join(words[p : p + k]).decode("utf-8", "replace") for p in places[first[held]]]
-                        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(named), pa.string()), pa.array(np.full(len(named), k, np.int8)), pa.array(keys[held].view(np.int64)), pa.array(named, pa.string())], names=["lang", "k", "key", "phrase"])
+            for (lang,), words, hashes, new in _split(batch, ["lang"], longest, cache):
+                if lang not in told:
+                    told.add(lang)
+                    yield _named(lang, 0, np.array([language_key(lang)], np.uint64), [""])
+                for k, places, keys in phrases(hashes, new, lang, longest, known, None):
+                    keys, first = np.unique(keys, return_index=True)
+                    held = known.may_hold(keys)
+                    yield _named(lang, k, keys[held], [b" ".join(words[p : p + k]).decode("utf-8", "replace") for p in places[first[held]]])
 
     return texts.select("lang", "text").mapInArrow(run, "lang string, k byte, key long, phrase string").distinct()
 
 
+def _named(lang: str, k: int, keys: np.ndarray, named: list[str]) -> pa.RecordBatch:
+    columns = [pa.array([lang] * len(named), pa.string()), pa.array(np.full(len(named), k, np.int8)), pa.array(keys.view(np.int64)), pa.array(named, pa.string())]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "k", "key", "phrase"])
+
+
+def _small(keys: DataFrame, most: int) -> DataFrame:
+    """Keys for a broadcast if there are at most ``most`` of them, else for an ordinary join."""
+    return F.broadcast(keys) if keys.count() <= most else keys
+
+
 def frequent_phrases(docs: DataFrame, longest: int = 5, least: int = 100, shards: int = 4, most_broadcast: int = 500_000) -> DataFrame:
     """lang, k, phrase and f of every phrase of up to ``longest`` words that occurs ``least`` times in a language.
 
@@ -163,25 +186,32 @@ def frequent_phrases(docs: DataFrame, longest: int = 5, least: int = 100, shards
     spark = docs.sparkSession
     path = new_table_path(spark, "phrase-shards")
     texts = docs.filter("text is not null").select(F.coalesce(F.col("lang").cast("string"), F.lit(UNDETERMINED)).alias("lang"), F.col("text").cast("string").alias("text"), F.col("doc_id"))
-    dealt = texts.select("lang", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards).cast("long")).cast("int").alias("shard"))
-    dealt.write.partitionBy("shard").parquet(path)
-    texts = spark.read.schema("lang string, text string, shard int").parquet(path)
-    empty = spark.createDataFrame([], "k byte, key long, f long, stop int")
-    reached, counts, step = empty, None, 0
+    dealt = texts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards).cast("long")).cast("int"))
+    _hashed(dealt, longest).write.partitionBy("shard").parquet(path)
+    table = spark.read.schema("lang string, new long, hashes binary, shard int").parquet(path)
+    reached = spark.createDataFrame([], "k byte, key long, f long, stop int")
+    held = spark.createDataFrame([], "k byte, key long, shard int, c long")  # counts, shard by shard, of phrases that have their share in one
+    last: list[DataFrame] = []  # counts of the last cycle
+    step = 0
     while True:
         before = reached.filter(F.col("k").between(1, longest - 1))
         recent = before.filter(F.col("stop") >= step - shards)
         if step >= shards and recent.isEmpty():
             break
         shard = step % shards
-        found = stored(_scan(texts.filter(F.col("shard") == shard), longest, key_filter(before), key_filter(recent), step < shards), "phrase-counts").withColumn("shard", F.lit(shard))
-        counts = found if counts is None else counts.unionByName(found)
-        # what reaches the threshold in all shards reaches its share in one of them
-        telling = stored(counts.filter(F.col("c") * shards >= least).select("k", "key").distinct(), "telling")
-        telling = F.broadcast(telling) if telling.count() <= most_broadcast else telling
-        totals = counts.join(telling, ["k", "key"]).groupBy("k", "key", "shard").agg(F.max("c").alias("c")).groupBy("k", "key").agg(F.sum("c").alias("f")).filter(F.col("f") >= least)
-        known = reached.select("k", "key", "stop")
-        reached = stored(totals.join(known, ["k", "key"], "left").select("k", "key", "f", F.coalesce("stop", F.lit(step)).alias("stop")), "reached")
+        counts = _scan(table.filter(F.col("shard") == shard), longest, key_filter(before), key_filter(recent), step < shards)
+        counts = stored(counts, "phrase-counts").withColumn("shard", F.lit(shard))
+        # what reaches the threshold in all shards reaches its share in one of them; what does so
+        # now was active for at most a cycle
+        old = held.select("k", "key").distinct()
+        new = stored(counts.filter(F.col("c") * shards >= least).select("k", "key").join(old, ["k", "key"], "left_anti"), "telling")
+        parts = [held, counts.join(_small(old.unionByName(new), most_broadcast), ["k", "key"])]
+        parts += [c.join(_small(new, most_broadcast), ["k", "key"]) for c in last]
+        held = reduce(DataFrame.unionByName, (p.select("k", "key", "shard", "c") for p in parts))
+        held = stored(held.groupBy("k", "key", "shard").agg(F.max("c").alias("c")), "held")
+        totals = held.groupBy("k", "key").agg(F.sum("c").alias("f")).filter(F.col("f") >= least)
+        reached = stored(totals.join(reached.select("k", "key", "stop"), ["k", "key"], "left").select("k", "key", "f", F.coalesce("stop", F.lit(step)).alias("stop")), "reached")
+        last = [*last, counts][1 - shards :] if shards > 1 else []
         step += 1
     return stored(_spelled(texts, longest, key_filter(reached)).join(reached.select("k", "key", "f"), ["k", "key"]).select("lang", F.col("k").cast("int").alias("k"), "phrase", "f"), "phrases")
 
