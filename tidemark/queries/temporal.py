@@ -214,7 +214,7 @@ EXPRESSIONS = FeatureSource(
         State("first_priority", "first", "o_orderpriority"),
         State("last_price", "last", "o_totalprice", where="o_orderstatus = 'O'"),
         State("priorities", "count_distinct", "o_orderpriority"),
-        State("clerks", "count_distinct", "o_clerk", where="o_totalprice > 100000"),
+        State("dates", "count_distinct", "o_orderdate", where="o_totalprice > 100000"),
         State("urgent", "count", "1", where="o_orderpriority = '1-URGENT'"),
     ),
     expressions=(
@@ -224,7 +224,7 @@ EXPRESSIONS = FeatureSource(
         HistoryExpression("first_priority", "first_priority", impute="NONE", categorical=True),
         HistoryExpression("last_price", "last_price"),
         HistoryExpression("urgent_per_priority", "round(coalesce(urgent, 0) / cast(priorities as double), 6)"),
-        HistoryExpression("clerks", "clerks", impute=0),
+        HistoryExpression("dates", "dates", impute=0),
     ),
 )
 EXPRESSION_SQL = f"""WITH {JOINED}, firsts AS (SELECT entity_id, as_of_date, min((d, o_orderpriority))[2] AS p FROM j WHERE o_orderpriority IS NOT NULL AND d IS NOT NULL GROUP BY ALL),
@@ -233,7 +233,7 @@ EXPRESSION_SQL = f"""WITH {JOINED}, firsts AS (SELECT entity_id, as_of_date, min
       round(stddev_samp(o_totalprice) FILTER (WHERE o_orderstatus = 'F'), 1) AS ord_sd_spend, round((j.as_of_date - min(d)) / 365.25::DOUBLE, 6) AS ord_known_years,
       coalesce(any_value(p), 'NONE') AS ord_first_priority, any_value(q) AS ord_last_price,
       round(count(*) FILTER (WHERE o_orderpriority = '1-URGENT') / nullif(count(DISTINCT o_orderpriority), 0)::DOUBLE, 6) AS ord_urgent_per_priority,
-      count(DISTINCT o_clerk) FILTER (WHERE o_totalprice > 100000) AS ord_clerks
+      count(DISTINCT o_orderdate) FILTER (WHERE o_totalprice > 100000) AS ord_dates
     FROM j LEFT JOIN firsts USING (entity_id, as_of_date) LEFT JOIN lasts USING (entity_id, as_of_date) GROUP BY j.entity_id, j.as_of_date"""
 
 
