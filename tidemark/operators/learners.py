@@ -1,4 +1,4 @@
-"""Fitting and scoring classifiers on fold matrices with Spark ML."""
+"""Fitting and scoring classifiers on fold matrices: Spark ML, and trees and stumps on histograms."""
 
 from __future__ import annotations
 
@@ -7,22 +7,16 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    GBTClassifier,
-    LogisticRegression,
-    MultilayerPerceptronClassifier,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import feature_ranker, linear_ranker, ranker_importances
-from tidemark.session import cut_lineage
+from tidemark.operators.trees import Trees, TreeSettings, boosted_splits, fit_trees, load_trees, save_trees, score_trees
 
-MAX_DEPTH = 30
+MAX_DEPTH = 30  # of the trees that Spark ML boosts
 KEYS = ["entity_id", "as_of_date"]
 
 
@@ -42,14 +36,19 @@ class Stump:
         return F.when(F.col(self.feature) <= self.threshold, self.left).otherwise(self.right)
 
 
-def _subset(n_features: int, value) -> str:
-    return {"sqrt": "sqrt", "log2": "log2"}.get(value, "all" if value in (None, 1.0, "all") else str(value))
+def _subset(n_features: int, value) -> int | None:
+    """How many features a split may choose from; None for all."""
+    if value in (None, 1.0, "all"):
+        return None
+    if value in ("sqrt", "log2"):
+        return max(1, int(math.sqrt(n_features) if value == "sqrt" else math.log2(n_features)))
+    return max(1, int(value * n_features) if isinstance(value, float) else int(value))
 
 
 #: Parameters that a model type takes, with their defaults.
 DEFAULTS: dict[str, dict] = {
     "LogisticRegression": {"penalty": "l2", "C": 1.0},
-    "DecisionTreeClassifier": {"criterion": "gini", "max_depth": None, "max_features": None},
+    "DecisionTreeClassifier": {"criterion": "gini", "max_depth": None, "max_features": None, "min_samples_split": 2},
     "RandomForestClassifier": {"n_estimators": 100, "criterion": "gini", "max_depth": None, "max_features": "sqrt", "min_samples_split": 2},
     "GradientBoostingClassifier": {"loss": "log_loss", "n_estimators": 100, "learning_rate": 0.1, "max_depth": 3},
     "MLPClassifier": {"hidden_layer_sizes": [100], "max_iter": 200},
@@ -62,21 +61,16 @@ RESOURCES = {"n_jobs"}
 def effective(kind: str, params: Mapping) -> dict:
     """The parameters a model is really fitted with; unknown names and values are an error.
 
-    Depths are at most 30 in Spark, and ``log_loss`` is ``entropy``. ``min_samples_split`` bounds
-    the nodes that split; Spark bounds their children, so it becomes ``min_instances_per_node``,
-    half of it. Rankers take their parameters as they are.
+    Boosted trees are at most 30 deep; other trees as deep as wanted. ``log_loss`` is ``entropy``.
+    Rankers take their parameters as they are.
     """
     if kind in ("FeatureRanker", "LinearRanker"):
         return dict(params)
     if kind not in DEFAULTS:
         raise ValueError(f"unknown model type {kind!r}")
-    known = set(DEFAULTS[kind]) | ({"min_instances_per_node"} if kind == "RandomForestClassifier" else set())
-    if strange := sorted(set(params) - known - RESOURCES):
+    if strange := sorted(set(params) - set(DEFAULTS[kind]) - RESOURCES):
         raise ValueError(f"{kind} does not take {', '.join(strange)}")
     out = DEFAULTS[kind] | {k: v for k, v in params.items() if k not in RESOURCES}
-    if "min_samples_split" in out:
-        least = max(1, int(out.pop("min_samples_split")) // 2)
-        out.setdefault("min_instances_per_node", least)
     allowed = {"penalty": ("l2",), "loss": ("log_loss", "deviance"), "criterion": ("gini", "entropy", "log_loss")}
     for name, values in allowed.items():
         if name in out and out[name] not in values:
@@ -85,7 +79,7 @@ def effective(kind: str, params: Mapping) -> dict:
         out["criterion"] = "entropy"
     if "loss" in out:
         out["loss"] = "log_loss"
-    if "max_depth" in out:
+    if kind == "GradientBoostingClassifier":
         out["max_depth"] = min(int(out["max_depth"] or MAX_DEPTH), MAX_DEPTH)
     return out
 
@@ -95,23 +89,6 @@ def make_classifier(kind: str, params: Mapping, n_rows: int, n_features: int, se
     p = effective(kind, params)
     if kind == "LogisticRegression":
         return LogisticRegression(regParam=1.0 / (float(p["C"]) * max(n_rows, 1)), elasticNetParam=0.0, standardization=False)
-    if kind == "DecisionTreeClassifier":
-        subset = _subset(n_features, p["max_features"])
-        if subset == "all":
-            return DecisionTreeClassifier(maxDepth=p["max_depth"], impurity=p["criterion"], seed=seed)
-        # one tree of a forest draws features for every split
-        return RandomForestClassifier(
-            numTrees=1, bootstrap=False, maxDepth=p["max_depth"], impurity=p["criterion"], featureSubsetStrategy=subset, seed=seed
-        )
-    if kind == "RandomForestClassifier":
-        return RandomForestClassifier(
-            numTrees=int(p["n_estimators"]),
-            maxDepth=p["max_depth"],
-            impurity=p["criterion"],
-            featureSubsetStrategy=_subset(n_features, p["max_features"]),
-            minInstancesPerNode=p["min_instances_per_node"],
-            seed=seed,
-        )
     if kind == "GradientBoostingClassifier":
         return GBTClassifier(maxIter=int(p["n_estimators"]), stepSize=float(p["learning_rate"]), maxDepth=p["max_depth"], seed=seed)
     if kind == "MLPClassifier":
@@ -121,43 +98,18 @@ def make_classifier(kind: str, params: Mapping, n_rows: int, n_features: int, se
     raise ValueError(f"{kind} is not a Spark classifier")
 
 
-def boost_stumps(
-    train: DataFrame, features: Sequence[str], rounds: int, learning_rate: float = 1.0, cut_every: int = 50
-) -> list[Stump]:
-    """Boosted stumps (discrete SAMME).
+def tree_settings(kind: str, params: Mapping, n_features: int, seed: int = 0) -> TreeSettings:
+    """Settings of a tree or forest from the usual parameter names (see ``effective``)."""
+    p = effective(kind, params)
+    forest = kind == "RandomForestClassifier"
+    depth = None if p["max_depth"] is None else int(p["max_depth"])
+    subset = _subset(n_features, p["max_features"])
+    return TreeSettings(int(p.get("n_estimators", 1)), p["criterion"], depth, subset, int(p["min_samples_split"]), bootstrap=forest, seed=seed)
 
-    Each round fits a depth-1 tree with row weights. A stump is one comparison, so the weights
-    of the next round are a plain column expression; every ``cut_every`` rounds they are written
-    out, which keeps the expression short.
-    """
-    rows = VectorAssembler(inputCols=list(features), outputCol="_x").transform(
-        train.withColumn("_y", F.col("label").cast("double")).withColumn("_w", F.lit(1.0))
-    ).persist()
-    cached = rows
-    stumps: list[Stump] = []
-    for i in range(rounds):
-        tree = DecisionTreeClassifier(featuresCol="_x", labelCol="_y", weightCol="_w", maxDepth=1, seed=0).fit(rows)
-        root = tree._java_obj.rootNode()
-        if tree.numNodes == 1:
-            split = (None, 0.0, root.prediction(), root.prediction())
-        else:
-            cut = root.split()
-            split = (features[cut.featureIndex()], cut.threshold(), root.leftChild().prediction(), root.rightChild().prediction())
-        stump = Stump(1.0, *split)
-        miss = (stump.vote() != F.col("_y")).cast("double")
-        err = rows.agg((F.sum(F.col("_w") * miss) / F.sum("_w")).alias("e")).first().e
-        if err >= 0.5:
-            break
-        if err <= 0.0:
-            stumps.append(stump)
-            break
-        alpha = learning_rate * math.log((1.0 - err) / err)
-        stumps.append(Stump(alpha, *split))
-        rows = rows.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * miss))
-        if (i + 1) % cut_every == 0:
-            rows = cut_lineage(rows)
-    cached.unpersist()
-    return stumps
+
+def boost_stumps(train: DataFrame, features: Sequence[str], rounds: int, learning_rate: float = 1.0) -> list[Stump]:
+    """Boosted stumps (discrete SAMME), each from one histogram of the weighted rows."""
+    return [Stump(*split) for split in boosted_splits(train, features, rounds, learning_rate)]
 
 
 def boosted_score(stumps: Sequence[Stump]) -> Column:
@@ -174,7 +126,7 @@ class Fitted:
     kind: str
     features: list[str]
     params: Mapping
-    model: PipelineModel | list[Stump] | None = None
+    model: PipelineModel | Trees | list[Stump] | None = None
 
     def score(self, matrix: DataFrame) -> DataFrame:
         """``entity_id, as_of_date, score`` for each row."""
@@ -185,6 +137,8 @@ class Fitted:
             return linear_ranker(matrix, weights).select(*KEYS, "score")
         if self.kind == "AdaBoostClassifier":
             return matrix.select(*KEYS, boosted_score(self.model).alias("score"))
+        if isinstance(self.model, Trees):
+            return score_trees(matrix, self.features, self.model)
         scored = self.model.transform(matrix)
         return scored.select(*KEYS, vector_to_array("probability")[1].alias("score"))
 
@@ -195,6 +149,8 @@ class Fitted:
         if self.kind == "AdaBoostClassifier":
             total = sum(s.alpha for s in self.model) or 1.0
             values = [sum(s.alpha for s in self.model if s.feature == f) / total for f in self.features]
+        elif isinstance(self.model, Trees):
+            values = self.model.importances(len(self.features), self.params["criterion"])
         else:
             last = self.model.stages[-1]
             if self.kind == "LogisticRegression":
@@ -215,6 +171,8 @@ def fit(train: DataFrame, features: Sequence[str], kind: str, params: Mapping, s
     if kind == "AdaBoostClassifier":
         stumps = boost_stumps(train, features, int(params["n_estimators"]), float(params["learning_rate"]))
         return Fitted(kind, features, params, stumps)
+    if kind in ("DecisionTreeClassifier", "RandomForestClassifier"):
+        return Fitted(kind, features, params, fit_trees(train, features, tree_settings(kind, params, len(features), seed)))
     assembler = VectorAssembler(inputCols=features, outputCol="_x")
     n_rows = train.count() if kind == "LogisticRegression" else 0
     model = make_classifier(kind, params, n_rows, len(features), seed).setFeaturesCol("_x").setLabelCol("_y")
@@ -223,11 +181,14 @@ def fit(train: DataFrame, features: Sequence[str], kind: str, params: Mapping, s
 
 
 def save(fitted: Fitted, path: str) -> None:
-    """Spark ML models are saved by Spark; stumps as a small JSON table."""
+    """Spark ML models are saved by Spark; trees as tables, stumps as a small JSON table."""
     if isinstance(fitted.model, PipelineModel):
         fitted.model.write().overwrite().save(path)
         return
     spark = SparkSession.getActiveSession()
+    if isinstance(fitted.model, Trees):
+        save_trees(spark, fitted.model, path)
+        return
     rows = [(s.alpha, s.feature, s.threshold, s.left, s.right) for s in fitted.model or []]
     schema = "alpha double, feature string, threshold double, `left` double, `right` double"
     spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").json(path)
@@ -240,4 +201,6 @@ def load(spark: SparkSession, path: str, kind: str, features: Sequence[str], par
         schema = "alpha double, feature string, threshold double, `left` double, `right` double"
         rows = spark.read.schema(schema).json(path).collect()
         return Fitted(kind, list(features), params, [Stump(*r) for r in rows])
+    if kind in ("DecisionTreeClassifier", "RandomForestClassifier"):
+        return Fitted(kind, list(features), effective(kind, params), load_trees(spark, path))
     return Fitted(kind, list(features), params, PipelineModel.load(path))
