@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import keyed_texts, slices
 from tidemark.llm.components import connected_components
+from tidemark.llm.filters import key_filter
 from tidemark.session import stored
 
 ROWS, GROUPS = 7, 36  # 36 groups of 7 permutations: 36 bands of minima and 36 of maxima
@@ -125,6 +126,14 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    held = key_filter(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node")
+
+    def of_pairs(batches):
+        """Only sets that may be in a pair are exchanged."""
+        for batch in batches:
+            yield batch.filter(pa.array(held.may_hold(batch.column(0).to_numpy())))
+
+    sets = sets.select("node", "items").mapInArrow(of_pairs, "node long, items binary")
     left, right = sets.select(F.col("node").alias("a"), F.col("items").alias("x")), sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
@@ -219,7 +228,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80)
         pairs = met.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
         pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        found = stored(_confirmed(of_like_size(pairs), sets, percent), "links")
+        found = stored(_confirmed(stored(of_like_size(pairs), "likely"), sets, percent), "links")
         tested, links = (pairs, found) if tested is None else (tested.unionByName(pairs), links.unionByName(found))
         components = connected_components(links)
 
