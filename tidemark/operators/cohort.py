@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -164,6 +165,37 @@ def build_split_labels(
     )
 
 
+@dataclass(frozen=True)
+class LabelDefinition:
+    """What makes a label event: rows of a source table with ``where`` (SQL), dated by ``date``.
+
+    Several definitions may share a name; each then adds its events.
+    """
+
+    name: str
+    source: str
+    date: str
+    where: str | None = None
+    entity: str = "entity_id"
+
+
+def defined_label_events(tables: Mapping[str, DataFrame], definitions: Sequence[LabelDefinition]) -> DataFrame:
+    """``entity_id, event_date, label_name`` of all definitions, each source table read once.
+
+    Rows without entity or date make no event.
+    """
+    if not definitions:
+        raise ValueError("no label is defined")
+    out = None
+    for source in dict.fromkeys(d.source for d in definitions):
+        own = [d for d in definitions if d.source == source]
+        found = [F.named_struct(F.lit("entity_id"), F.col(d.entity), F.lit("event_date"), F.col(d.date).cast("date"), F.lit("label_name"), F.lit(d.name)) for d in own]
+        found = [F.when(F.expr(d.where), x) if d.where else x for d, x in zip(own, found, strict=True)]
+        rows = tables[source].select(F.explode(F.array_compact(F.array(*found))).alias("e")).select("e.*").where("entity_id is not null and event_date is not null")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def combine_label_parts(parts: Mapping[str, Sequence[DataFrame]]) -> DataFrame:
     """``{label_name: [frames with entity_id, event_date]}`` -> one label event table."""
     out = None

@@ -189,8 +189,8 @@ _PARTS = {
     "max": lambda v, day: {"": ("max", v)},
     "avg": lambda v, day: {"__s": ("sum", v), "__n": ("count", v)},
     "variance": lambda v, day: {"__s": ("sum", v.cast("double")), "__q": ("sum", v.cast("double") * v.cast("double")), "__n": ("count", v)},
-    "first": lambda v, day: {"": ("min", F.when(v.isNotNull(), F.struct(day.alias("day"), v.alias("value"))))},
-    "last": lambda v, day: {"": ("max", F.when(v.isNotNull(), F.struct(day.alias("day"), v.alias("value"))))},
+    "first": lambda v, day: {"": ("min", F.when(v.isNotNull(), F.named_struct(F.lit("day"), day, F.lit("value"), v)))},
+    "last": lambda v, day: {"": ("max", F.when(v.isNotNull(), F.named_struct(F.lit("day"), day, F.lit("value"), v)))},
 }
 _PARTS["stddev"] = _PARTS["variance"]
 
@@ -271,7 +271,7 @@ def _first_values(spec: FeatureSource, source: DataFrame, days: Sequence[date],
     numbered = [(i, s) for i, s in enumerate(spec.states) if s.fn == "count_distinct"]
     if not numbered:
         return None
-    values = F.array(*[F.struct(F.lit(i).alias("state"), _guarded(s.arg, s.where).cast("string").alias("value")) for i, s in numbered])
+    values = F.array(*[F.named_struct(F.lit("state"), F.lit(i), F.lit("value"), _guarded(s.arg, s.where).cast("string")) for i, s in numbered])
     rows = _first_dates(spec, source, days, carried and carried.since, [values.alias("vs")])
     rows = rows.select("entity_id", "as_of_date", F.explode("vs").alias("v")).where("v.value is not null")
     found = rows.groupBy("entity_id", F.col("v.state").alias("state"), F.col("v.value").alias("value")).agg(F.min("as_of_date").alias("as_of_date"))
@@ -452,7 +452,7 @@ def spec_modes(spec: FeatureSource) -> FeatureSource:
 
 def _mode_counts(source: DataFrame, spec: FeatureSource, days: Sequence[date], carried: Carried | None) -> DataFrame:
     """entity_id, feature, value, count and bucket, the first as-of date after the counted rows."""
-    values = F.array(*[F.struct(F.lit(m.name).alias("feature"), _guarded(m.arg, m.where).cast("string").alias("value")) for m in spec.modes])
+    values = F.array(*[F.named_struct(F.lit("feature"), F.lit(m.name), F.lit("value"), _guarded(m.arg, m.where).cast("string")) for m in spec.modes])
     rows = _first_dates(spec, source, days, carried and carried.since, [values.alias("vs")])
     rows = rows.select("entity_id", F.col("as_of_date").alias("bucket"), F.explode("vs").alias("v")).where("v.value is not null")
     counts = rows.groupBy("entity_id", "bucket", F.col("v.feature").alias("feature"), F.col("v.value").alias("value")).count()

@@ -18,6 +18,7 @@ from tidemark.operators import matrix as mx
 from tidemark.operators.features import FeatureSource, build_features, columns_for_segment
 from tidemark.operators.ranking import attach_labels, model_grid, rank_predictions
 from tidemark.plans import folds as fo
+from tidemark.plans.stages import Stages, data_version, stage_key
 from tidemark.sources import results as rs
 
 
@@ -35,6 +36,8 @@ class Experiment:
     segment: str = "ALL"
     exclude_sources: Sequence[str] = ()
     impute_columns: Sequence[str] = field(default=())
+    split_labels: bool = False
+    labels_until: str | None = None  # open horizon: labels up to this date whatever the as-of date
 
     @property
     def segments(self) -> list[str]:
@@ -45,11 +48,12 @@ def run_experiment(
     spark: SparkSession,
     exp: Experiment,
     events: DataFrame,
-    label_events: DataFrame,
+    label_events: DataFrame | Sequence[co.LabelDefinition],
     tables: Mapping[str, DataFrame],
     folder: str,
     exits: DataFrame | None = None,
     clock=datetime.now,
+    stages: Stages | None = None,
 ) -> int:
     """Run the experiment and write all its tables below ``folder``; gives the experiment id.
 
@@ -58,6 +62,10 @@ def run_experiment(
     a hash of settings and starting time (``clock``): a retry with the same clock takes the same
     id and replaces its rows; with another clock it is an experiment of its own.
 
+    ``label_events`` are finished events or definitions over ``tables``. With ``split_labels`` a
+    table of one row per label name is written too. With ``stages`` cohort, labels and features
+    are kept there by settings and data: what is there is used again, further dates are added.
+
     Each stage is written once and read back, so that later stages and lost executors restart
     from tables, and matrix statistics and ranks read stored rows.
     """
@@ -65,7 +73,7 @@ def run_experiment(
         "segment": exp.segment,
         "temporal": vars(exp.temporal),
         "cohort": {"interval_back": exp.interval_back},
-        "labels": {"months_future": exp.temporal.months_future, "selected_labels": list(exp.selected_labels)},
+        "labels": {"months_future": exp.temporal.months_future, "selected_labels": list(exp.selected_labels), "until": exp.labels_until},
     }
     experiment_id = rs.start_experiment(spark, folder, config, exp.segment, exp.label_group, clock())
     place = f"{folder}/experiment_{experiment_id}"
@@ -73,16 +81,31 @@ def run_experiment(
     dates = fo.all_dates(folds)
     by_date = ["as_of_date"]
 
-    cohort = rs.overwrite(
-        co.build_cohort(events, dates, exp.interval_back, exp.segment_sources, exp.exclude_sources, exits),
-        f"{place}/cohort", by_date,
-    )
-    labels = co.build_labels(cohort, label_events, exp.selected_labels, dates, exp.temporal.months_future, exp.segments)
-    labels = rs.overwrite(labels, f"{place}/{co.label_table_name(exp.label_group, exp.segment)}", by_date)
-    features = [
-        rs.overwrite(build_features(cohort, tables[s.name], s, dates), f"{place}/features/{s.name}_{s.prefix}", by_date)
-        for s in exp.feature_sources
-    ]
+    if not isinstance(label_events, DataFrame):
+        label_events = co.defined_label_events(tables, label_events)
+    horizon = (exp.selected_labels, exp.temporal.months_future, exp.segments, exp.labels_until)
+    label_name = co.label_table_name(exp.label_group, exp.segment)
+    cohort_key = stages and stage_key(exp.interval_back, exp.segment_sources, exp.exclude_sources, data_version(events), data_version(exits))
+    label_key = stages and stage_key(cohort_key, horizon, data_version(label_events))
+
+    def kept(name: str, key: str | None, build) -> DataFrame:
+        """The table by date: from the stages, or written to the experiment's own folder."""
+        return stages.by_date(name, key, dates, build) if stages else rs.overwrite(build(dates), f"{place}/{name}", by_date)
+
+    def with_labels(build):
+        return lambda days: build(cohort.where(F.col("as_of_date").isin(list(days))), label_events, exp.selected_labels, days, exp.temporal.months_future, exp.segments, exp.labels_until)
+
+    cohort = kept("cohort", cohort_key, lambda days: co.build_cohort(events, days, exp.interval_back, exp.segment_sources, exp.exclude_sources, exits))
+    labels = kept(label_name, label_key, with_labels(co.build_labels))
+    if exp.split_labels:
+        kept(f"split_{label_name}", label_key, with_labels(co.build_split_labels))
+    if stages:
+        features = [stages.features(stage_key(cohort_key, s, data_version(tables[s.name])), cohort, tables[s.name], s, dates) for s in exp.feature_sources]
+    else:
+        features = [
+            rs.overwrite(build_features(cohort, tables[s.name], s, dates), f"{place}/features/{s.name}_{s.prefix}", by_date)
+            for s in exp.feature_sources
+        ]
     master = mx.master_matrix(cohort, features)
     wanted = columns_for_segment(exp.feature_sources, exp.segment)
     master = rs.overwrite(master.select(*mx.KEYS, *wanted), f"{place}/master", by_date)

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import learners as ln
+from tidemark.operators import matrix as mx
 from tidemark.operators import ranking as rk
+from tidemark.operators import trees as tr
 from tidemark.queries import base as b
 from tidemark.queries import matrices as mt
 from tidemark.queries import temporal as tp
@@ -142,6 +144,74 @@ def _(spark, sf):
     return _scores(spark, sf, "AdaBoostClassifier", {"n_estimators": 5, "learning_rate": 0.5})
 
 
+TREE_FEATURES = ["ord_n_sum_3m", "ord_n_sum_12m", "ord_days_since_last"]
+
+
+def _split_sql(rows: str, by: str) -> str:
+    """The best split of each group of rows (fold_id, {by}, f, x, y), first feature and lowest edge on ties."""
+    pure = "(({0} * {0} + {1} * {1}) / ({0} + {1}))"
+    parent = pure.format("p0", "p1")
+    both = pure.format("l0", "l1") + " + " + pure.format("(p0 - l0)", "(p1 - l1)")
+    return f"""SELECT fold_id, {by}, f, v FROM (
+        SELECT fold_id, {by}, f, v, {both} AS score, {parent} AS base FROM (
+          SELECT fold_id, {by}, f, v, sum((x <= v AND y = 0)::INT)::DOUBLE AS l0, sum((x <= v AND y = 1)::INT)::DOUBLE AS l1, sum((y = 0)::INT)::DOUBLE AS p0, sum(y)::DOUBLE AS p1
+          FROM {rows} JOIN edges USING (fold_id, f) GROUP BY ALL) WHERE l0 + l1 > 0 AND p0 + p1 > l0 + l1 AND p0 > 0 AND p1 > 0)
+      WHERE score > base QUALIFY row_number() OVER (PARTITION BY fold_id, {by} ORDER BY score DESC, f, v) = 1"""
+
+
+LONG_ROWS = f"""{mt.SLICED}, {b.LABELS.split(b.COHORT + ', ', 1)[1]}, train AS (SELECT fold_id, row_number() OVER () AS id, label::INT AS y, {", ".join(f"{c}::DOUBLE AS x{i}" for i, c in enumerate(TREE_FEATURES))}
+      FROM sliced JOIN labels_ USING (entity_id, as_of_date) WHERE role = 'train'),
+    long AS ({" UNION ALL ".join(f"SELECT fold_id, id, y, {i} AS f, x{i} AS x FROM train" for i in range(len(TREE_FEATURES)))}),
+    placed AS (SELECT fold_id, f, x, row_number() OVER (PARTITION BY fold_id, f ORDER BY x) AS pos, count(*) OVER (PARTITION BY fold_id, f) AS n FROM long),
+    vals AS (SELECT fold_id, f, count(DISTINCT x) AS d, max(x) AS top FROM long GROUP BY ALL),
+    edges AS (SELECT DISTINCT fold_id, f, x AS v FROM placed JOIN vals USING (fold_id, f), range(1, 32) q(i) WHERE d > 32 AND pos = greatest(1, ceil(i / 32.0::DOUBLE * n))
+      UNION SELECT DISTINCT fold_id, f, x FROM placed JOIN vals USING (fold_id, f) WHERE d <= 32 AND x < top)"""
+
+
+def _tree_matrix(spark, sf):
+    rows = mx.align_labels(mt.sliced(spark, sf, ["numbers"]).select("fold_id", "role", *KEYS, *TREE_FEATURES), tp.labels(spark, sf))
+    return stored(rows.where("role = 'train'"), "tree-matrix")
+
+
+@register(
+    "r5_tree_depth_two",
+    f"""WITH {LONG_ROWS}, rows0 AS (SELECT *, '' AS path FROM long), s0 AS ({_split_sql("rows0", "path")}),
+    side AS (SELECT fold_id, id, CASE WHEN x <= v THEN 'L' ELSE 'R' END AS path FROM long JOIN s0 USING (fold_id, f)),
+    rows1 AS (SELECT long.*, path FROM long JOIN side USING (fold_id, id)), s1 AS ({_split_sql("rows1", "path")}),
+    side2 AS (SELECT fold_id, id, path || CASE WHEN x <= v THEN 'L' ELSE 'R' END AS path FROM rows1 JOIN s1 USING (fold_id, path, f)),
+    members AS (SELECT fold_id, id, '' AS path FROM train UNION ALL SELECT * FROM side UNION ALL SELECT * FROM side2),
+    splits AS (SELECT * FROM s0 UNION ALL SELECT * FROM s1)
+    SELECT fold_id, path, count(*) AS n, sum(y)::BIGINT AS positive, any_value(f)::INT AS feature, any_value(v) AS edge
+    FROM members JOIN train USING (fold_id, id) LEFT JOIN splits USING (fold_id, path) GROUP BY fold_id, path""",
+)
+def _(spark, sf):
+    """Every node of a Gini tree of depth two in every fold: its rows, positives and split."""
+    rows, out = _tree_matrix(spark, sf), []
+    paths = {tr.ROOT: ""}
+    for _ in range(2):
+        paths |= {tr.child(k, side): p + "LR"[side] for k, p in paths.items() for side in (False, True)}
+    for i in range(len(b.FOLDS)):
+        grown = tr.fit_trees(rows.where(f"fold_id = {i}"), TREE_FEATURES, tr.TreeSettings(max_depth=2, max_bins=32, finish_rows=500))
+        out += [(i, paths[k], int(w0 + w1), int(w1), f if f >= 0 else None, float(grown.edges[f][at]) if f >= 0 else None) for _, k, f, at, w0, w1 in grown.nodes]
+    return spark.createDataFrame(out, "fold_id int, path string, n long, positive long, feature int, edge double")
+
+
+@register(
+    "r6_first_stumps",
+    f"""WITH {LONG_ROWS}, rows0 AS (SELECT *, '' AS path FROM long), s0 AS ({_split_sql("rows0", "path")}),
+    sides AS (SELECT fold_id, f, v, sum((x <= v AND y = 0)::INT) AS l0, sum((x <= v AND y = 1)::INT) AS l1, sum((x > v AND y = 0)::INT) AS r0, sum((x > v AND y = 1)::INT) AS r1 FROM long JOIN s0 USING (fold_id, f) GROUP BY ALL)
+    SELECT fold_id, f::INT AS feature, v AS edge, (l1 > l0)::INT::DOUBLE AS below, (r1 > r0)::INT::DOUBLE AS above,
+      round(0.5::DOUBLE * ln((l0 + l1 + r0 + r1 - least(l0, l1) - least(r0, r1)) / (least(l0, l1) + least(r0, r1))::DOUBLE), 9) AS alpha FROM sides""",
+)
+def _(spark, sf):
+    """The first boosted stump of every fold and its weight."""
+    rows, out = _tree_matrix(spark, sf), []
+    for i in range(len(b.FOLDS)):
+        for alpha, feature, edge, below, above in tr.boosted_splits(rows.where(f"fold_id = {i}"), TREE_FEATURES, 1, 0.5, max_bins=32):
+            out.append((i, TREE_FEATURES.index(feature), edge, below, above, round(alpha, 9)))
+    return spark.createDataFrame(out, "fold_id int, feature int, edge double, below double, above double, alpha double")
+
+
 @register("r7_importances")
 def _(spark, sf):
     def one(train, validation, columns):

@@ -10,9 +10,11 @@ from tidemark.operators import conform as cf
 from tidemark.operators import features as fe
 from tidemark.operators.features import AgeFeature, DateFeature, FeatureSource, HistoryExpression, HistoryFeature, ModeFeature, State, WindowAggregate
 from tidemark.plans import folds as fo
+from tidemark.plans.stages import Stages, data_version, stage_key
 from tidemark.queries import base as b
 from tidemark.queries import etl
 from tidemark.queries.base import register, t
+from tidemark.session import new_table_path
 
 KEYS = ["entity_id", "as_of_date"]
 
@@ -92,6 +94,32 @@ def _(spark, sf):
     return labels(spark, sf, sorted(chosen)).groupBy(F.lit(name).alias("table_name"), "as_of_date", "segment", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
+DEFINITIONS = (
+    co.LabelDefinition("Large order", "orders", "o_orderdate", "o_totalprice > 300000", "o_custkey"),
+    co.LabelDefinition("Urgent", "orders", "o_orderdate", "o_orderpriority = '1-URGENT'", "o_custkey"),
+    co.LabelDefinition("Urgent", "items", "l_shipdate", "l_quantity > 49", "o_custkey"),
+    co.LabelDefinition("Any shipment", "items", "l_shipdate", entity="o_custkey"),
+)
+
+
+@register(
+    "t6_label_definitions",
+    f"""WITH {b.COHORT}, items AS (SELECT o_custkey, l_shipdate, l_quantity FROM orders JOIN lineitem ON l_orderkey = o_orderkey), defined AS (
+      SELECT o_custkey AS entity_id, CAST(o_orderdate AS DATE) AS event_date, 'Large order' AS label_name FROM orders WHERE o_totalprice > 300000
+      UNION ALL SELECT o_custkey, CAST(o_orderdate AS DATE), 'Urgent' FROM orders WHERE o_orderpriority = '1-URGENT'
+      UNION ALL SELECT o_custkey, CAST(l_shipdate AS DATE), 'Urgent' FROM items WHERE l_quantity > 49
+      UNION ALL SELECT o_custkey, CAST(l_shipdate AS DATE), 'Any shipment' FROM items),
+    hits AS (SELECT DISTINCT c.entity_id, c.as_of_date, label_name FROM cohort c JOIN defined d ON d.entity_id = c.entity_id AND event_date > as_of_date AND event_date < as_of_date + INTERVAL {b.HORIZON} MONTH)
+    SELECT c.entity_id, c.as_of_date, segment, n.label_name, h.entity_id IS NOT NULL AS label FROM cohort c, (SELECT DISTINCT label_name FROM defined) n
+    LEFT JOIN hits h ON h.entity_id = c.entity_id AND h.as_of_date = c.as_of_date AND h.label_name = n.label_name WHERE segment IN ('east', 'west')""",
+)
+def _(spark, sf):
+    """Labels from definitions over source tables, one row per label name."""
+    tables = {"orders": t(spark, sf, "orders"), "items": b.owned_items(spark, sf)}
+    found = co.defined_label_events(tables, DEFINITIONS)
+    return co.build_split_labels(cohort(spark, sf), found, sorted({d.name for d in DEFINITIONS}), b.DATES, b.HORIZON, b.SEGMENTS)
+
+
 def split_labels(spark, sf, **kw):
     return co.build_split_labels(cohort(spark, sf), b.label_events(spark, sf), b.LABEL_NAMES, b.DATES, b.HORIZON, b.SEGMENTS, **kw)
 
@@ -218,8 +246,8 @@ EXPRESSIONS = FeatureSource(
         State("urgent", "count", "1", where="o_orderpriority = '1-URGENT'"),
     ),
     expressions=(
-        HistoryExpression("mean_spend", "round(mean, 4)", impute=0),
-        HistoryExpression("sd_spend", "round(sd, 1)"),
+        HistoryExpression("mean_spend", "round(mean, 8)", impute=0),
+        HistoryExpression("sd_spend", "round(sd, 3)"),
         HistoryExpression("known_years", "round(datediff(as_of_date, first_day) / 365.25D, 6)"),
         HistoryExpression("first_priority", "first_priority", impute="NONE", categorical=True),
         HistoryExpression("last_price", "last_price"),
@@ -229,8 +257,8 @@ EXPRESSIONS = FeatureSource(
 )
 EXPRESSION_SQL = f"""WITH {JOINED}, firsts AS (SELECT entity_id, as_of_date, min((d, o_orderpriority))[2] AS p FROM j WHERE o_orderpriority IS NOT NULL AND d IS NOT NULL GROUP BY ALL),
     lasts AS (SELECT entity_id, as_of_date, max((d, o_totalprice))[2] AS q FROM j WHERE o_orderstatus = 'O' GROUP BY ALL)
-    SELECT j.entity_id, j.as_of_date, {win('max', 'o_totalprice', '1 YEAR')} AS ord_spend_max_1y, coalesce(round(avg(o_totalprice), 4), 0) AS ord_mean_spend,
-      round(stddev_samp(o_totalprice) FILTER (WHERE o_orderstatus = 'F'), 1) AS ord_sd_spend, round((j.as_of_date - min(d)) / 365.25::DOUBLE, 6) AS ord_known_years,
+    SELECT j.entity_id, j.as_of_date, {win('max', 'o_totalprice', '1 YEAR')} AS ord_spend_max_1y, coalesce(round(avg(o_totalprice), 8), 0) AS ord_mean_spend,
+      round(stddev_samp(o_totalprice) FILTER (WHERE o_orderstatus = 'F'), 3) AS ord_sd_spend, round((j.as_of_date - min(d)) / 365.25::DOUBLE, 6) AS ord_known_years,
       coalesce(any_value(p), 'NONE') AS ord_first_priority, any_value(q) AS ord_last_price,
       round(count(*) FILTER (WHERE o_orderpriority = '1-URGENT') / nullif(count(DISTINCT o_orderpriority), 0)::DOUBLE, 6) AS ord_urgent_per_priority,
       count(DISTINCT o_orderdate) FILTER (WHERE o_totalprice > 100000) AS ord_dates
@@ -308,6 +336,16 @@ def _(spark, sf):
     return fe.build_features(cohort(spark, sf), etl.attributes(spark, sf), spec, b.DATES).withColumn("dem_age", F.round("dem_age", 6))
 
 
+@register("t10_stages", f"WITH {JOINED} SELECT entity_id, as_of_date, {WINDOW_SQL}, {HISTORY_SQL} FROM j GROUP BY entity_id, as_of_date")
+def _(spark, sf):
+    """Features by stages: a first run over some dates, a second over all, which adds only the others."""
+    stages, people, orders = Stages(spark, new_table_path(spark, "stages")), cohort(spark, sf), order_source(spark, sf)
+    spec, dates = only(ORDERS, windows=ORDERS.windows, history=ORDERS.history), sorted(b.DATES)
+    key = stage_key(spec, data_version(orders), data_version(people))
+    stages.features(key, people, orders, spec, dates[: len(dates) // 2])
+    return rounded(stages.features(key, people, orders, spec, dates))
+
+
 @register("t16_seasonality", f"WITH {b.COHORT} SELECT entity_id, as_of_date, CAST(month(as_of_date) AS STRING) AS ord_seasonality_month FROM cohort")
 def _(spark, sf):
     return fe.build_features(cohort(spark, sf), order_source(spark, sf), only(ORDERS, dates=ORDERS.dates), b.DATES)
