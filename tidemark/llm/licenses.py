@@ -4,12 +4,17 @@ Fingerprints of all templates form an inverted index (a small table that every t
 bounded by the templates). A text's fingerprints are looked up in it. Hits of one template on
 neighbouring diagonals are one candidate, which a banded local alignment turns into matched
 words, coverage of the template and a span of the text.
+
+Short lines of different licenses differ in a word or two. So a short template's own words, those
+that few templates have, must all be in the span, and of overlapping findings only the best stays:
+that with the most matched words less those missing from the template and those put in between.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +24,7 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import keyed_texts
 
 WORD = re.compile(r"[^\W_]+")
+SHORT, RARE = 20, 2  # templates under SHORT words must have all their words that at most RARE templates have
 GRAM, WINDOW = 3, 2  # every shared run of GRAM + WINDOW - 1 words has a fingerprint in common
 
 # Short notices and opening paragraphs of public licenses, word for word.
@@ -138,6 +144,9 @@ class Templates:
     def __init__(self, templates: dict[str, str]):
         self.names = sorted(templates)
         self.words = [words_of(templates[n])[0] for n in self.names]
+        own = [set(w) for w in self.words]
+        known = Counter(w for words in own for w in words)
+        self.telling = [{w for w in words if known[w] <= RARE} if len(all_) < SHORT else set() for words, all_ in zip(own, self.words, strict=True)]
         entries = sorted((int(h), t, int(p)) for t, words in enumerate(self.words) for h, p in zip(*fingerprints(words), strict=True))
         self.hashes = np.array(sorted({e[0] for e in entries}), np.uint64)
         self.postings: dict[int, list[tuple[int, int]]] = {}
@@ -147,7 +156,9 @@ class Templates:
     def find(self, text: str, least_coverage: float) -> list[tuple]:
         """template, coverage, matched words, start and end (code points) of every finding.
 
-        Findings of one template never overlap: those with more matched words go first, then the earlier.
+        Findings never overlap. Those of one template with more matched words go first, then the
+        earlier; of those of several templates the best by matched less missing and added words,
+        then the longer, then the first template by name.
         """
         if not len(self.hashes):
             return []
@@ -172,21 +183,32 @@ class Templates:
                 m, first, last = align(template, words, d + band // 2, band)
                 if m >= least_coverage * len(template):
                     spans.append((-m, first, last))
-            taken: list[tuple[int, int]] = []
-            for m, first, last in sorted(spans):
-                i = bisect_right(taken, (first, last))
-                if (i and taken[i - 1][1] >= first) or (i < len(taken) and taken[i][0] <= last):
-                    continue
-                taken.insert(i, (first, last))
-                out.append((self.names[t], -m / len(template), -m, starts[first], ends[last]))
-        return sorted(out, key=lambda f: (f[3], f[0]))
+            for first, last, m in _apart([(m, first, last, -m) for m, first, last in spans]):
+                if self.telling[t] <= set(words[first : last + 1]):
+                    added = last - first + 1 - m
+                    out.append((-(m - (len(template) - m) - added), -m, t, first, last))
+        kept = _apart([((score, m, t), first, last, (t, -m)) for score, m, t, first, last in out])
+        return [(self.names[t], m / len(self.words[t]), m, starts[first], ends[last]) for first, last, (t, m) in sorted(kept)]
+
+
+def _apart(spans: list[tuple]) -> list[tuple]:
+    """(first, last, what) of the spans (rank, first, last, what) that overlap none of lower rank, then earlier."""
+    taken: list[tuple[int, int]] = []
+    out = []
+    for _, first, last, what in sorted(spans):
+        i = bisect_right(taken, (first, last))
+        if (i and taken[i - 1][1] >= first) or (i < len(taken) and taken[i][0] <= last):
+            continue
+        taken.insert(i, (first, last))
+        out.append((first, last, what))
+    return out
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least_coverage: float = 0.8) -> DataFrame:
     """One row per finding in the whole text of every row.
 
     doc_id, template, coverage (matched share of the template's words), matched_words, span_start
-    and span_end (code points, end exclusive). Null, empty and wordless texts have no findings.
+    and span_end (code points, end exclusive). Findings do not overlap. Null, empty and wordless texts have no findings.
     Repeated rows and null doc_ids are scanned like all others. Templates of under three words
     have no fingerprint and are never found.
     """
