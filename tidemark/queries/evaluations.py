@@ -347,7 +347,7 @@ def _(spark, sf):
 
 @register(
     "v20_metric_over_time",
-    f"""WITH {EVALUATED}, o AS (SELECT as_of_date, model_set_id, CASE type WHEN 'RandomForestClassifier' THEN 'RF_1000_100' WHEN 'FeatureRanker' THEN 'Rank_age' ELSE 'LR_l2_0.1' END AS model_name,
+    f"""WITH {EVALUATED}, o AS (SELECT as_of_date, model_set_id, CASE type WHEN 'RandomForestClassifier' THEN 'RandomForestClassifier(1000, 100)' WHEN 'FeatureRanker' THEN 'FeatureRanker(age)' ELSE 'LogisticRegression(l2, 0.1)' END AS model_name,
         label_group, trained_on, value FROM evals JOIN models USING (model_id) JOIN sets USING (model_set_id) JOIN exps USING (experiment_id)
         WHERE metric = 'precision' AND segment = 'east' AND segment_k = 75)
     SELECT * FROM o WHERE model_name IN (SELECT model_name FROM o WHERE as_of_date = (SELECT max(as_of_date) FROM o) ORDER BY value DESC, model_name, model_set_id LIMIT 2)""",
