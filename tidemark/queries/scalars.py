@@ -9,6 +9,7 @@ from tidemark.functions import flags as fl
 from tidemark.functions import text as tx
 from tidemark.functions import vocab as v
 from tidemark.queries.base import register, t
+from tidemark.session import spread
 
 KEY = "o_orderkey"
 REF = "2001-12-31"
@@ -399,7 +400,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     # The upper-cased text is a column of its own, else each of the rules would make it anew.
-    docs = t(spark, sf, "documents").select("lang", F.upper("text").alias("u"))
+    docs = spread(t(spark, sf, "documents").select("lang", "text")).select("lang", F.upper("text").alias("u"))
     return docs.groupBy(tx.classify_text(F.col("u"), v.DIAGNOSIS_CLASSES, F.lit("OTHER")).alias("class"), "lang").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -57,6 +57,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores if the scan gives fewer tasks, for heavy work on each row; else as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame written once to a new table in the shared folder and read back.
 
