@@ -176,7 +176,7 @@ def _small(keys: DataFrame, most: int) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= most else keys
 
 
-def frequent_phrases(docs: DataFrame, longest: int = 5, least: int = 100, shards: int = 4, most_broadcast: int = 500_000) -> DataFrame:
+def frequent_phrases(docs: DataFrame, longest: int = 5, least: int = 100, shards: int = 2, most_broadcast: int = 500_000) -> DataFrame:
     """lang, k, phrase and f of every phrase of up to ``longest`` words that occurs ``least`` times in a language.
 
     Length 0 has the number of words of each language that has so many. The parameters choose only
@@ -206,7 +206,8 @@ def frequent_phrases(docs: DataFrame, longest: int = 5, least: int = 100, shards
         old = held.select("k", "key").distinct()
         new = stored(counts.filter(F.col("c") * shards >= least).select("k", "key").join(old, ["k", "key"], "left_anti"), "telling")
         parts = [held, counts.join(_small(old.unionByName(new), most_broadcast), ["k", "key"])]
-        parts += [c.join(_small(new, most_broadcast), ["k", "key"]) for c in last]
+        new = _small(new, most_broadcast)
+        parts += [c.join(new, ["k", "key"]) for c in last]
         held = reduce(DataFrame.unionByName, (p.select("k", "key", "shard", "c") for p in parts))
         held = stored(held.groupBy("k", "key", "shard").agg(F.max("c").alias("c")), "held")
         totals = held.groupBy("k", "key").agg(F.sum("c").alias("f")).filter(F.col("f") >= least)
@@ -216,7 +217,7 @@ def frequent_phrases(docs: DataFrame, longest: int = 5, least: int = 100, shards
     return stored(_spelled(texts, longest, key_filter(reached)).join(reached.select("k", "key", "f"), ["k", "key"]).select("lang", F.col("k").cast("int").alias("k"), "phrase", "f"), "phrases")
 
 
-def collocations(docs: DataFrame, longest: int = 5, least: int = 100, most: int = 2000, shards: int = 4) -> DataFrame:
+def collocations(docs: DataFrame, longest: int = 5, least: int = 100, most: int = 2000, shards: int = 2) -> DataFrame:
     """lang, rank, phrase, a, l, r, n and score: the first ``most`` collocations of every language.
 
     A candidate is a phrase of 2 to ``longest`` words that occurs a >= ``least`` times within
