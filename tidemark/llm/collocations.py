@@ -25,12 +25,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import slices
 from tidemark.llm.filters import KeyFilter, key_filter
 from tidemark.session import new_table_path, stored
 
 SEPARATORS = bytes.maketrans(b"\t.,;:!?\x0b\x0c\r", b" " + b"\n" * 9)
 BLANK = re.compile(rb"[ \n]")
 BLOCK = 1 << 20  # bytes of text split into words at once, one row of a shard
+HELD = 1 << 23  # bytes of texts that wait for their block to fill
 CACHE_BYTES = 1 << 25
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNDETERMINED = "und"
@@ -104,24 +106,37 @@ def phrases(hashes: np.ndarray, new: int, lang: str, longest: int, known: KeyFil
         keys = _mixed(before[places] * BASE + word[places + k] + np.uint64(k))
 
 
-def _split(batch, keys: list[str], longest: int, cache: WordHashes):
-    """(keys, words, hashes, new) for the blocks of each group of texts with the same keys."""
+def _split(batches, keys: list[str], longest: int, cache: WordHashes):
+    """(keys, words, hashes, new) for blocks of texts with the same keys, few bytes of which are held at a time."""
     groups: dict[tuple, list[bytes]] = {}
-    for *key, text in zip(*(batch.column(k).to_pylist() for k in (*keys, "text")), strict=True):
-        groups.setdefault(tuple(key), []).append(text.encode("utf-8", "surrogatepass"))
-    for key, texts in groups.items():
-        for words, new in blocks(texts, longest):
+    sizes: dict[tuple, int] = {}
+
+    def closed(key):
+        del sizes[key]
+        for words, new in blocks(groups.pop(key), longest):
             yield key, words, np.fromiter(map(cache.__getitem__, words), np.uint64, len(words)), new
 
+    for batch in batches:
+        for part, texts in slices(batch, batch.schema.get_field_index("text")):
+            for *values, text in zip(*(part.column(k).to_pylist() for k in keys), texts, strict=True):
+                key, data = tuple(values), text.encode("utf-8", "surrogatepass")
+                groups.setdefault(key, []).append(data)
+                sizes[key] = sizes.get(key, 0) + len(data)
+                if sizes[key] >= BLOCK:
+                    yield from closed(key)
+            if sum(sizes.values()) > HELD:
+                yield from closed(max(sizes, key=sizes.get))
+    for key in list(groups):
+        yield from closed(key)
+
 
 def _hashed(texts: DataFrame, longest: int) -> DataFrame:
     """shard, lang, new and the hashes of the words of each block."""
 
     def run(batches):
         cache = WordHashes()
-        for batch in batches:
-            for (shard, lang), _, hashes, new in _split(batch, ["shard", "lang"], longest, cache):
-                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([lang]), pa.array([new], pa.int64()), pa.array([hashes.tobytes()], pa.binary())], names=["shard", "lang", "new", "hashes"])
+        for (shard, lang), _, hashes, new in _split(batches, ["shard", "lang"], longest, cache):
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([lang]), pa.array([new], pa.int64()), pa.array([hashes.tobytes()], pa.binary())], names=["shard", "lang", "new", "hashes"])
 
     return texts.select("shard", "lang", "text").mapInArrow(run, "shard int, lang string, new long, hashes binary")
 
@@ -153,15 +168,14 @@ def _spelled(texts: DataFrame, longest: int, known: KeyFilter) -> DataFrame:
 
     def run(batches):
         cache, told = WordHashes(), set()
-        for batch in batches:
-            for (lang,), words, hashes, new in _split(batch, ["lang"], longest, cache):
-                if lang not in told:
-                    told.add(lang)
-                    yield _named(lang, 0, np.array([language_key(lang)], np.uint64), [""])
-                for k, places, keys in phrases(hashes, new, lang, longest, known, None):
-                    keys, first = np.unique(keys, return_index=True)
-                    held = known.may_hold(keys)
-                    yield _named(lang, k, keys[held], [b" ".join(words[p : p + k]).decode("utf-8", "replace") for p in places[first[held]]])
+        for (lang,), words, hashes, new in _split(batches, ["lang"], longest, cache):
+            if lang not in told:
+                told.add(lang)
+                yield _named(lang, 0, np.array([language_key(lang)], np.uint64), [""])
+            for k, places, keys in phrases(hashes, new, lang, longest, known, None):
+                keys, first = np.unique(keys, return_index=True)
+                held = known.may_hold(keys)
+                yield _named(lang, k, keys[held], [b" ".join(words[p : p + k]).decode("utf-8", "replace") for p in places[first[held]]])
 
     return texts.select("lang", "text").mapInArrow(run, "lang string, k byte, key long, phrase string").distinct()
 
