@@ -25,13 +25,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import arrow_batches, slices
 from tidemark.llm.filters import KeyFilter, key_filter
 from tidemark.session import new_table_path, stored
 
 SEPARATORS = bytes.maketrans(b"\t.,;:!?\x0b\x0c\r", b" " + b"\n" * 9)
 BLANK = re.compile(rb"[ \n]")
 BLOCK = 1 << 20  # bytes of text split into words at once, one row of a shard
+TEXTS_AT_ONCE, BLOCKS_AT_ONCE = 64, 4  # rows in a batch for Python
 HELD = 1 << 23  # bytes of texts that wait for their block to fill
 CACHE_BYTES = 1 << 25
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -201,7 +202,8 @@ def frequent_phrases(docs: DataFrame, longest: int = 5, least: int = 100, shards
     path = new_table_path(spark, "phrase-shards")
     texts = docs.filter("text is not null").select(F.coalesce(F.col("lang").cast("string"), F.lit(UNDETERMINED)).alias("lang"), F.col("text").cast("string").alias("text"), F.col("doc_id"))
     dealt = texts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards).cast("long")).cast("int"))
-    _hashed(dealt, longest).write.partitionBy("shard").parquet(path)
+    with arrow_batches(spark, TEXTS_AT_ONCE):
+        _hashed(dealt, longest).write.partitionBy("shard").parquet(path)
     table = spark.read.schema("lang string, new long, hashes binary, shard int").parquet(path)
     reached = spark.createDataFrame([], "k byte, key long, f long, stop int")
     held = spark.createDataFrame([], "k byte, key long, shard int, c long")  # counts, shard by shard, of phrases that have their share in one
@@ -214,7 +216,8 @@ def frequent_phrases(docs: DataFrame, longest: int = 5, least: int = 100, shards
             break
         shard = step % shards
         counts = _scan(table.filter(F.col("shard") == shard), longest, key_filter(before), key_filter(recent), step < shards)
-        counts = stored(counts, "phrase-counts").withColumn("shard", F.lit(shard))
+        with arrow_batches(spark, BLOCKS_AT_ONCE):
+            counts = stored(counts, "phrase-counts").withColumn("shard", F.lit(shard))
         # what reaches the threshold in all shards reaches its share in one of them; what does so
         # now was active for at most a cycle
         old = held.select("k", "key").distinct()
@@ -228,7 +231,9 @@ def frequent_phrases(docs: DataFrame, longest: int = 5, least: int = 100, shards
         reached = stored(totals.join(reached.select("k", "key", "stop"), ["k", "key"], "left").select("k", "key", "f", F.coalesce("stop", F.lit(step)).alias("stop")), "reached")
         last = [*last, counts][1 - shards :] if shards > 1 else []
         step += 1
-    return stored(_spelled(texts, longest, key_filter(reached)).join(reached.select("k", "key", "f"), ["k", "key"]).select("lang", F.col("k").cast("int").alias("k"), "phrase", "f"), "phrases")
+    spelled = _spelled(texts, longest, key_filter(reached)).join(reached.select("k", "key", "f"), ["k", "key"])
+    with arrow_batches(spark, TEXTS_AT_ONCE):
+        return stored(spelled.select("lang", F.col("k").cast("int").alias("k"), "phrase", "f"), "phrases")
 
 
 def collocations(docs: DataFrame, longest: int = 5, least: int = 100, most: int = 2000, shards: int = 2) -> DataFrame:

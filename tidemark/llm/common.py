@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -38,6 +39,18 @@ def slices(batch, column: int = 1, most_bytes: int = 1 << 20):
         start = end
 
 
+@contextmanager
+def arrow_batches(spark, rows: int):
+    """Jobs started inside send at most ``rows`` rows at once to Python, for rows that may be long; then the session's setting is back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def remainder_of_crc(key: str, divisor: int):
     """crc32 of the key as text, modulo ``divisor``; a null key counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), F.lit(divisor).cast("long"))
