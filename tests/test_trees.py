@@ -85,6 +85,22 @@ def test_forest_is_repeatable_and_learns(spark, tmp_path):
     assert drawn.mean() == pytest.approx(1, abs=0.02) and drawn.var() == pytest.approx(1, abs=0.03)
 
 
+def test_batches_without_rows_of_a_node(spark):
+    """Rows come sorted in small batches, so that most batches have no row of most nodes."""
+    rows = [(i, date(2020, 1, 1), (i // 50) % 2 == 0, float(i // 50), float(i % 7), 0.0) for i in range(400)]
+    train = spark.createDataFrame(rows, "entity_id long, as_of_date date, label boolean, a double, b double, c double").coalesce(1).sortWithinPartitions("a")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 40)
+    try:
+        trees = tr.fit_trees(train, FEATURES, tr.TreeSettings(max_depth=5, finish_rows=0))
+        forest = ln.fit(train, FEATURES, "RandomForestClassifier", {"n_estimators": 5, "max_depth": 3})
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert shown(trees) == brute(rows, 0, 5)
+    assert sum(r.feature_importance for r in forest.importances(spark).collect()) == pytest.approx(1)
+    assert tr.histogram(np.zeros((0, 3), np.uint8), np.zeros(0, np.int64), np.zeros(0), 4).dtype == float
+
+
 def test_odd_inputs(spark):
     schema = "entity_id long, as_of_date date, label boolean, a double, b double, c double"
     empty = spark.createDataFrame([], schema)

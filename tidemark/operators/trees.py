@@ -136,10 +136,10 @@ def _leaf(w0: float, w1: float, depth: int, s: TreeSettings) -> bool:
 
 
 def histogram(x: np.ndarray, y: np.ndarray, w: np.ndarray, bins: int) -> np.ndarray:
-    """Class weights by feature and bin."""
+    """Class weights by feature and bin, as doubles (numpy counts no rows in integers, even with weights)."""
     n = x.shape[1]
     at = (x.astype(np.int64) + np.arange(n) * bins) * 2 + y[:, None]
-    return np.bincount(at.ravel(), np.repeat(w, n), n * bins * 2).reshape(n, bins, 2)
+    return np.bincount(at.ravel(), np.repeat(w, n), n * bins * 2).astype(float).reshape(n, bins, 2)
 
 
 def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray, tree: int, node: int, depth: int, bins: int, s: TreeSettings) -> list[tuple]:
