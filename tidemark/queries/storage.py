@@ -13,7 +13,7 @@ from tidemark.queries import groups as gq
 from tidemark.queries import temporal as tp
 from tidemark.queries.base import register, t
 from tidemark.queries.ranks import GRID
-from tidemark.session import new_table_path
+from tidemark.session import new_table_path, stored
 from tidemark.sources import catalog as ct
 from tidemark.sources import results as rs
 
@@ -43,7 +43,7 @@ def _(spark, sf):
 @register("s6_append_results", f"WITH {b.PREDICTIONS}, {eq.EVALUATIONS} SELECT * FROM evals UNION ALL SELECT model_id + 1000, as_of_date, segment, metric, k, segment_k, value FROM evals")
 def _(spark, sf):
     folder = new_table_path(spark, "results")
-    rows = eq.evaluations(spark, sf)
+    rows = stored(eq.evaluations(spark, sf), "evaluations")  # a few rows per model, ranked once for both writes
     rs.append(rows, folder, "evaluations")
     rs.append(rows.withColumn("model_id", F.col("model_id") + 1000), folder, "evaluations")
     return spark.read.parquet(f"{folder}/evaluations")
