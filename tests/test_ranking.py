@@ -1,4 +1,5 @@
 import random
+from datetime import date
 
 import pandas as pd
 import pytest
@@ -124,3 +125,21 @@ def test_ranker_with_one_common_combination(spark):
         first.setdefault(v, i)
         last[v] = i
     assert got == {e: pytest.approx(((first[(a, -b)] + last[(a, -b)]) / 2 + 1) / n) for e, _, a, b in rows}
+
+
+def test_many_cuts_take_one_pass_of_the_rows(spark):
+    """Each rank used to read its input again, and every row was compared with every cut."""
+    cuts = [-1.5, 0.0, 0.25, 0.5, 2.0, 7.0]
+    values = [-3.0, -1.5, -0.0, 0.1, 0.25, 0.3, 0.5, 1.0, 2.0, 3.0, 7.0, 8.0, float("nan"), None]
+    for some in (cuts, cuts[:1], cuts[:3]):
+        got = spark.createDataFrame([(v,) for v in values], "v double").select(rk._cuts_below(F.col("v"), some).alias("n")).collect()
+        assert [r.n for r in got] == [0 if v is None else len(some) if v != v else sum(c < v for c in some) for v in values]
+    schema = "model_id int, as_of_date date, segment string, entity_id long, score double"
+    day = date(2020, 1, 1)
+    rows = [(m, day, "east" if i % 3 else "west", i, [0.25, 0.5, i % 40 / 10, None][i % 4]) for m in (1, 2) for i in range(300)]
+    df = spark.createDataFrame(rows, schema)
+    plain = rk.rank_predictions(df, cuts=[])
+    cut = rk.rank_predictions(df, cuts=cuts)
+    assert sorted(map(str, cut.collect())) == sorted(map(str, plain.collect())) and cut.columns == plain.columns
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") <= 3  # the rows, and their counts for both kinds of rank

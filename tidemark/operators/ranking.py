@@ -57,22 +57,44 @@ def add_rank(
     order = [F.desc(score), *tie_order(entity)]
     if not cuts:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))
-    # Even buckets lie between two cuts, odd ones hold the rows equal to a cut; only the latter
-    # (equal scores throughout) are split further by tie slot.
-    edges = F.array(*[F.lit(float(c)) for c in cuts])
-    above = F.size(F.filter(edges, lambda c: c < F.col(score)))
-    equal = F.array_contains(edges, F.col(score).cast("double"))
-    cut = df.withColumn("_b", 2 * above + F.when(equal, 1).otherwise(0)).withColumn(
-        "_t", F.when(equal, F.pmod(F.col(entity), F.lit(TIE_SLOTS))).otherwise(F.lit(0))
-    )
     keys = [*by, "_b", "_t"]
-    before = Window.partitionBy(*by).orderBy(F.desc("_b"), "_t").rowsBetween(Window.unboundedPreceding, -1)
-    starts = cut.groupBy(*keys).count().select(*keys, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+    cut = _in_buckets(df, cuts, score, entity)
+    starts = _starts(cut.groupBy(*keys).count(), by, "_start")
     inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     ranked = cut.withColumn("_r", inside).join(starts, keys, "inner")
     return ranked.select(*df.columns, (F.col("_r") + F.col("_start")).cast("long").alias(name))
 
 
+def _cuts_below(value: Column, cuts: Sequence[float]) -> Column:
+    """How many of the sorted cuts are below a value, found by halving."""
+    edges = F.array(*[F.lit(float(c)) for c in cuts])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))])
+    further = lambda at, step: (at + step <= len(cuts)) & (F.get(edges, at + step - 1) < value)
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(further(at, step), at + step).otherwise(at))
+
+
+def _in_buckets(df: DataFrame, cuts: Sequence[float], score: str, entity: str) -> DataFrame:
+    """Rows with their bucket ``_b`` and slot ``_t``.
+
+    Even buckets lie between two cuts, odd ones hold the rows equal to a cut; only the latter
+    (equal scores throughout) are split further by tie slot.
+    """
+    edges = F.array(*[F.lit(float(c)) for c in cuts])
+    equal = F.get(edges, F.col("_above")) == F.col(score).cast("double")
+    return (
+        df.withColumn("_above", _cuts_below(F.col(score).cast("double"), cuts))
+        .withColumn("_b", 2 * F.col("_above") + F.when(equal, 1).otherwise(0))
+        .withColumn("_t", F.when(equal, F.pmod(F.col(entity), F.lit(TIE_SLOTS))).otherwise(F.lit(0)))
+        .drop("_above")
+    )
+
+
+def _starts(counts: DataFrame, by: Sequence[str], name: str) -> DataFrame:
+    """Rows of the buckets before each bucket, from ``count`` by (by, _b, _t)."""
+    before = Window.partitionBy(*by).orderBy(F.desc("_b"), "_t").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(*by, "_b", "_t", F.coalesce(F.sum("count").over(before), F.lit(0)).alias(name))
+
+
 def rank_predictions(
     df: DataFrame, rows_per_task: int = 2_000_000, cuts: Sequence[float] | None = None
 ) -> DataFrame:
@@ -82,8 +104,19 @@ def rank_predictions(
     a table first and rank that.
     """
     cuts = score_cuts(df, rows_per_task=rows_per_task) if cuts is None else cuts
-    out = add_rank(df, ["model_id", "as_of_date"], "k", cuts=cuts)
-    return add_rank(out, ["model_id", "as_of_date", "segment"], "segment_k", cuts=cuts)
+    by, own = ["model_id", "as_of_date"], ["model_id", "as_of_date", "segment"]
+    if not cuts:
+        return add_rank(add_rank(df, by, "k"), own, "segment_k")
+    # Both ranks come from the same buckets: one exchange of the rows, one table of counts.
+    cut = _in_buckets(df, cuts, "score", "entity_id")
+    counts = cut.groupBy(*own, "_b", "_t").count()
+    overall = _starts(counts.groupBy(*by, "_b", "_t").agg(F.sum("count").alias("count")), by, "_start")
+    starts = _starts(counts, own, "_own_start").join(overall, [*by, "_b", "_t"], "inner")
+    order = [F.desc("score"), *tie_order()]
+    inside = lambda keys: F.row_number().over(Window.partitionBy(*keys, "_b", "_t").orderBy(*order))
+    ranked = cut.withColumn("_r", inside(by)).withColumn("_own", inside(own)).join(starts, [*own, "_b", "_t"], "inner")
+    k, own_k = (F.col("_r") + F.col("_start")).cast("long"), (F.col("_own") + F.col("_own_start")).cast("long")
+    return ranked.select(*df.columns, k.alias("k"), own_k.alias("segment_k"))
 
 
 def attach_labels(scores: DataFrame, labels: DataFrame) -> DataFrame:
