@@ -101,6 +101,20 @@ def test_batches_without_rows_of_a_node(spark):
     assert tr.histogram(np.zeros((0, 3), np.uint8), np.zeros(0, np.int64), np.zeros(0), 4).dtype == float
 
 
+def test_features_with_few_values_get_no_quantile_summaries(spark, monkeypatch):
+    """A summary holds up to a million numbers per task, a 0/1 column needs none."""
+    rows = [(float(i % 2), float(i % 400), float(i % 9), None) for i in range(4_000)]
+    train = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    asked, real = [], tr.F.percentile_approx
+    monkeypatch.setattr(tr.F, "percentile_approx", lambda column, *rest: asked.append(column) or real(column, *rest))
+    edges = tr.bin_edges(train, ["a", "b", "c", "d"], 256)
+    assert len(asked) == 1
+    assert [len(e) for e in edges] == [1, 255, 8, 0] and edges[2].tolist() == [float(i) for i in range(8)]
+    x = np.arange(21, dtype=np.uint8).reshape(7, 3)
+    assert tr._bytes(x).to_pylist() == [r.tobytes() for r in x]
+    assert (tr._byte_rows(tr._bytes(x)[2:5], 3) == x[2:5]).all() and tr._byte_rows(tr._bytes(x)[:0], 3).shape == (0, 3)
+
+
 def test_odd_inputs(spark):
     schema = "entity_id long, as_of_date date, label boolean, a double, b double, c double"
     empty = spark.createDataFrame([], schema)

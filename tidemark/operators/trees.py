@@ -58,18 +58,22 @@ class TreeSettings:
 def bin_edges(train: DataFrame, features: Sequence[str], max_bins: int, accuracy: int = 1_000_000) -> list[np.ndarray]:
     """Edges of each feature: all values but the largest if there are at most ``max_bins``, else quantiles.
 
-    Quantiles come from one aggregate of mergeable summaries, exact up to ``accuracy`` rows. Sets
-    of values are only collected where an estimate says that they are small.
+    Sets of values are only collected where an estimate says that they are small. Quantiles of the
+    other features come from mergeable summaries, exact up to ``accuracy`` rows; these are large, so
+    features with few values get none.
     """
     shares, columns = [i / max_bins for i in range(1, max_bins)], [F.col(f"`{c}`").cast("double") for c in features]
-    row = train.agg(*[F.percentile_approx(c, shares, accuracy).alias(f"e{i}") for i, c in enumerate(columns)], *[F.approx_count_distinct(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    few = [i for i in range(len(features)) if row[f"n{i}"] <= 1.25 * max_bins]
-    sets = train.agg(*[F.collect_set(columns[i]).alias(f"v{i}") for i in few]).first() if few else {}
-    out = []
-    for i in range(len(features)):
-        values = np.unique([v for v in sets[f"v{i}"] if v == v]) if i in few else None
-        out.append(values[:-1] if values is not None and len(values) <= max_bins else np.unique(np.array(row[f"e{i}"] or [], float)))
-    return out
+
+    def measured(one, some) -> dict[int, object]:
+        some = list(some)
+        return dict(zip(some, train.agg(*[one(columns[i]).alias(f"v{i}") for i in some]).first(), strict=True)) if some else {}
+
+    distinct = measured(F.approx_count_distinct, range(len(features)))
+    sets = measured(F.collect_set, (i for i, n in distinct.items() if n <= 1.25 * max_bins))
+    values = {i: np.unique([v for v in found if v == v]) for i, found in sets.items()}
+    values = {i: v for i, v in values.items() if len(v) <= max_bins}
+    quantiles = measured(lambda c: F.percentile_approx(c, shares, accuracy), (i for i in range(len(features)) if i not in values))
+    return [values[i][:-1] if i in values else np.unique(np.array(quantiles[i] or [], float)) for i in range(len(features))]
 
 
 def _binned(batch: pa.RecordBatch, edges: list[np.ndarray], first: int) -> np.ndarray:
@@ -78,13 +82,26 @@ def _binned(batch: pa.RecordBatch, edges: list[np.ndarray], first: int) -> np.nd
     return np.stack([np.searchsorted(e, np.where(np.isnan(x), np.inf, x), side="left") for e, x in zip(edges, columns, strict=True)], axis=1).astype(np.uint8)
 
 
+def _bytes(x: np.ndarray) -> pa.Array:
+    """A binary value per row of a byte matrix."""
+    ends = np.arange(len(x) + 1) * x.shape[1]
+    return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x))])
+
+
+def _byte_rows(values: pa.Array, n: int) -> np.ndarray:
+    """The byte matrix of binary values of ``n`` bytes each, none of them null."""
+    data = values.buffers()[2]
+    first = np.frombuffer(values.buffers()[1], np.int32, 1, values.offset * 4)[0] if len(values) else 0
+    return np.frombuffer(data, np.uint8, len(values) * n, first).reshape(len(values), n) if data is not None else np.zeros((len(values), n), np.uint8)
+
+
 def binned_rows(train: DataFrame, features: Sequence[str], edges: list[np.ndarray]) -> DataFrame:
     """key (hash of the row's keys), y and x, a byte per feature, stored. Rows without label are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             x = _binned(batch, edges, 2)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([r.tobytes() for r in x], pa.binary())], names=["key", "y", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _bytes(x)], names=["key", "y", "x"])
 
     rows = train.where("label is not null").select(F.xxhash64(*KEYS).alias("key"), F.col("label").cast("int").alias("y"), *[F.col(f"`{c}`").cast("double").alias(f"_{i}") for i, c in enumerate(features)])
     return stored(rows.mapInArrow(run, "key long, y int, x binary"), "binned")
@@ -227,7 +244,7 @@ def _open_nodes(table: dict[int, tuple], open_: set[int], x: np.ndarray) -> dict
 
 
 def _matrix(batch: pa.RecordBatch, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    x = np.frombuffer(b"".join(batch.column("x").to_pylist()), np.uint8).reshape(batch.num_rows, n)
+    x = _byte_rows(batch.column("x"), n)
     return batch.column("key").to_numpy(), batch.column("y").to_numpy().astype(np.int64), x
 
 
@@ -303,7 +320,7 @@ def fit_trees(train: DataFrame, features: Sequence[str], s: TreeSettings) -> Tre
                             at = at[w[at] > 0]
                             same = lambda v, k, m=len(at): pa.array(np.full(m, v), k)
                             yield pa.RecordBatch.from_arrays(
-                                [same(tree, pa.int32()), same(node, pa.int64()), pa.array(keys[at]), pa.array(y[at].astype(np.int32)), pa.array([r.tobytes() for r in x[at]], pa.binary()), pa.array(w[at])],
+                                [same(tree, pa.int32()), same(node, pa.int64()), pa.array(keys[at]), pa.array(y[at].astype(np.int32)), _bytes(x[at]), pa.array(w[at])],
                                 names=["tree", "node", "key", "y", "x", "w"],
                             )
 

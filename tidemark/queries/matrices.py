@@ -25,9 +25,9 @@ KINDS = FeatureSource("orders", "cat", "o_orderdate", modes=(ModeFeature("priori
 DOB = FeatureSource("attributes", "dem", "event_date", modes=(ModeFeature("dob", "attribute_value", where="attribute_type = 'dob'"),))
 
 
-def feature_tables(spark, sf, parts=("numbers", "kinds", "age")):
+def feature_tables(spark, sf, parts=("numbers", "kinds", "age"), people=None):
     """The cohort and its chosen feature tables, one per source."""
-    people = stored(tp.cohort(spark, sf), "cohort")
+    people = stored(tp.cohort(spark, sf), "cohort") if people is None else people
 
     def age():
         dob = fe.build_features(people, etl.attributes(spark, sf), DOB, b.DATES)
@@ -42,8 +42,8 @@ def feature_tables(spark, sf, parts=("numbers", "kinds", "age")):
     return people, [make[p]() for p in parts]
 
 
-def master(spark, sf, dates=None, parts=("numbers", "kinds", "age")):
-    people, tables = feature_tables(spark, sf, parts)
+def master(spark, sf, dates=None, parts=("numbers", "kinds", "age"), people=None):
+    people, tables = feature_tables(spark, sf, parts, people)
     return mx.master_matrix(people, tables, dates)
 
 
@@ -58,9 +58,9 @@ MASTER = f"""{tp.JOINED}, {etl.ATTRIBUTES}, cnt AS (SELECT entity_id, as_of_date
 SLICED = f"{MASTER}, {tp.SERIES_FOLDS}, sliced AS (SELECT * FROM master JOIN folds USING (as_of_date))"
 
 
-def sliced(spark, sf, parts=("numbers", "kinds", "age")):
+def sliced(spark, sf, parts=("numbers", "kinds", "age"), people=None):
     """Fold rows of the stored master matrix, as the statistics and the rows both read it."""
-    return mx.slice_folds(stored(master(spark, sf, parts=parts), "master"), fo.folds_frame(spark, b.FOLDS))
+    return mx.slice_folds(stored(master(spark, sf, parts=parts, people=people), "master"), fo.folds_frame(spark, b.FOLDS))
 
 
 @register("m1_feature_join", f"WITH {MASTER} SELECT * REPLACE (round(dem_age, 6) AS dem_age) FROM master")
@@ -145,11 +145,12 @@ def _(spark, sf):
 
 
 def fold_matrix(spark, sf):
-    """Labelled, imputed, one-hot and scaled rows of every fold."""
-    rows = mx.impute_mean(sliced(spark, sf), ["dem_age"])
+    """Labelled, imputed, one-hot and scaled rows of every fold. Features and labels share one stored cohort."""
+    people = stored(tp.cohort(spark, sf), "cohort")
+    rows = mx.impute_mean(sliced(spark, sf, people=people), ["dem_age"])
     rows = mx.one_hot(rows, {"cat_priority": CATEGORIES})
     columns = [c for c in rows.columns if c not in (*KEYS, "fold_id", "role")]
-    return mx.align_labels(mx.standardise(rows, columns), tp.labels(spark, sf)), columns
+    return mx.align_labels(mx.standardise(rows, columns), tp.labels(spark, sf, people=people)), columns
 
 
 @register(

@@ -72,8 +72,8 @@ def _(spark, sf):
     return cohort(spark, sf)
 
 
-def labels(spark, sf, names=tuple(b.LABEL_NAMES)):
-    return co.build_labels(cohort(spark, sf), b.label_events(spark, sf), names, b.DATES, b.HORIZON, b.SEGMENTS)
+def labels(spark, sf, names=tuple(b.LABEL_NAMES), people=None):
+    return co.build_labels(cohort(spark, sf) if people is None else people, b.label_events(spark, sf), names, b.DATES, b.HORIZON, b.SEGMENTS)
 
 
 @register("t5_labels", f"WITH {b.LABELS} SELECT * FROM labels_")
