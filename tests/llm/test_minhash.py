@@ -90,3 +90,20 @@ def test_one_id_with_two_texts(spark):
     rows = [(1, one), (1, two), (2, one + " x"), (3, two + " y"), (3, "c d e f"), (0, two + " z")]
     got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {(1, 59, 1, True), (2, 60, 1, False), (1, 59, 0, False), (3, 60, 0, False), (0, 60, 0, True), (3, 3, 3, True)}
+
+
+def test_copies_around_one_text_meet_few_others(spark, monkeypatch):
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for k in range(240):  # two copies are about as similar as the threshold, and each is closer to the base
+        copy = list(base)
+        for _ in range(rng.randint(1, 6) if k != 100 else 0):
+            copy[rng.randrange(100)] = f"x{rng.random()}"
+        rows.append((k, " ".join(copy)))
+    compared = []
+    confirmed = minhash._confirmed
+    monkeypatch.setattr(minhash, "_confirmed", lambda pairs, sets, percent: compared.append(pairs.count()) or confirmed(pairs, sets, percent))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == exact(rows, 2, 80)
+    assert sum(compared) <= 2 * len(rows), compared

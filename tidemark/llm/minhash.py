@@ -3,11 +3,13 @@
 Each permutation of the shingles gives two signature values, its minimum and its maximum, so half
 the hash evaluations fill a signature. Rows of a band come from different permutations: minima
 form bands of their own, maxima too. Documents that share a band are candidates; candidates are
-confirmed on their full shingle sets.
+confirmed on their full shingle sets. Bands that only one class has go no further than the count
+of bands, by a bitmap of the others.
 
 Equal sets are one class from the start, and only the class is compared. A band never gives all
-pairs of its classes: each class meets the band's smallest class, in some bands first and then in
-all, and only if they are not in one component yet. After that, only pairs from different
+pairs of its classes: the hub of a band is the class that meets most others in all its bands, and
+in a round each class meets one hub, that of most of its bands, of those in other components. So
+the pairs of a round are no more than the classes, and edited copies meet what they are copies of. After that, only pairs from different
 components that were not tested remain, and what is left after those could link nothing further.
 
 That last step takes every document of such an open band once. Shingles are ordered from rare to
@@ -18,6 +20,8 @@ that have a band but little else in common cost no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -26,9 +30,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import keyed_texts, slices
 from tidemark.llm.components import connected_components
-from tidemark.llm.filters import key_filter
+from tidemark.llm.filters import KeyFilter, key_filter
 from tidemark.session import stored
 
+ROUNDS = 2  # in which every class is compared with one other that has a band in common
 ROWS, GROUPS = 7, 36  # 36 groups of 7 permutations: 36 bands of minima and 36 of maxima
 COUNTERS = 1 << 20  # hashed counts by which shingles are ordered; the order only has to be the same everywhere
 CHUNK = 1024
@@ -114,6 +119,31 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
     return texts.mapInArrow(run, "cls binary, items binary, n long").select(F.xxhash64("cls").alias("node"), "items", "n")
 
 
+def _may_hold(keys: KeyFilter):
+    """A condition on a column of keys; only the keys go to Python."""
+
+    @F.arrow_udf("boolean")
+    def condition(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array(keys.may_hold(batch.to_numpy(zero_copy_only=False)), pa.bool_())
+
+    return condition
+
+
+def _in_bands(nodes: DataFrame, held: KeyFilter) -> DataFrame:
+    """node, pos and band of the bands that may be in the filter."""
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(1)
+            band = lists.flatten().to_numpy()
+            at = np.flatnonzero(held.may_hold(band))
+            node = np.repeat(batch.column(0).to_numpy(), 2 * GROUPS)[at]
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array((at % (2 * GROUPS)).astype(np.int32)), pa.array(band[at])], names=["node", "pos", "band"])
+
+    return nodes.select("node", "bands").mapInArrow(run, "node long, pos int, band long")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity."""
 
@@ -204,31 +234,41 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80)
     signed = stored(_signed(texts, shingle_words), "signed")
     usable = signed.filter("cls is not null and doc_id is not null")
     # a node is a class; its first document only lends the text
-    classes = stored(usable.groupBy("cls").agg(F.min("doc_id").alias("first")).withColumn("node", F.xxhash64("cls")), "classes")
-    nodes = usable.select("cls", F.col("doc_id").alias("first"), "bands").join(classes, ["cls", "first"])
-    in_bands = nodes.select("node", F.posexplode("bands").alias("pos", "band"))
-    hubs = in_bands.groupBy("pos", "band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub <> last").select("pos", "band", "hub")
-    shared = stored(in_bands.join(hubs, ["pos", "band"]).select("pos", "band", "hub", "node").distinct(), "shared")
-    members = classes.join(shared.select("node").distinct(), "node", "left_semi").select(F.col("first").alias("doc_id")).distinct()
-    sets = stored(_sets(texts.join(members, "doc_id", "left_semi"), shingle_words), "sets")
-    sizes = sets.select("node", "n")
+    classes = stored(usable.groupBy("cls").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")).withColumn("node", F.xxhash64("cls")), "classes")
+    # of classes of one document the bands need no exchange
+    copied = _may_hold(key_filter(classes.filter("copies > 1"), "node"))
+    bands_of = usable.select(F.xxhash64("cls").alias("node"), "cls", F.col("doc_id").alias("first"), "bands")
+    lent = bands_of.filter(copied("node")).join(classes.select("cls", "first"), ["cls", "first"]).dropDuplicates(["node"])
+    nodes = stored(bands_of.filter(~copied("node")).unionByName(lent).select("node", "bands"), "nodes")
+    twice = nodes.select(F.explode("bands").alias("band")).groupBy("band").count().filter("count > 1").select("band")
+    in_bands = _in_bands(nodes, key_filter(stored(twice, "twice"), "band"))
+    several = in_bands.groupBy("pos", "band").agg(F.count("*").alias("size")).filter("size > 1")
+    in_bands = stored(in_bands.join(several, ["pos", "band"]), "in-bands")
+    met_by = in_bands.groupBy("node").agg(F.sum("size").alias("met"))
+    hubs = in_bands.join(met_by, "node").groupBy("pos", "band").agg(F.max_by("node", F.struct("met", "node")).alias("hub"))
+    shared = stored(in_bands.select("pos", "band", "node").join(hubs, ["pos", "band"]), "shared")
+    members = stored(classes.join(shared.select("node").distinct(), "node", "left_semi").select(F.col("first").alias("doc_id")).distinct(), "members")
+    # only texts that may be needed are exchanged
+    needed = _may_hold(key_filter(members.select(F.xxhash64("doc_id").alias("key"))))
+    sets = stored(_sets(texts.filter(needed(F.xxhash64("doc_id"))).join(members, "doc_id", "left_semi"), shingle_words), "sets")
+    sizes = sets.select("node", "n").distinct()
 
     def of_like_size(pairs: DataFrame) -> DataFrame:
         for k in "ab":
             pairs = pairs.join(sizes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}")), k)
-        return pairs.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b")
+        return pairs.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b", "c")
 
     def place(rows: DataFrame, node: str = "node", name: str = "component") -> DataFrame:
         return rows.join(components.select(F.col("node").alias(node), F.col("component").alias(name)), node, "left").withColumn(name, F.coalesce(name, node))
 
+    met = stored(of_like_size(shared.filter("node <> hub").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("c"))), "met")
     tested = links = None
     components = spark.createDataFrame([], "node long, component long")
-    for some in ("pos % 6 = 0", "pos % 6 <> 0"):
-        met = place(place(shared.filter(some).filter("node <> hub")), "hub", "other").filter("component <> other")
-        pairs = met.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    for _ in range(ROUNDS):
+        pairs = place(place(met, "a", "ca"), "b", "cb").filter("ca <> cb").select("a", "b", "c")
         pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        found = stored(_confirmed(stored(of_like_size(pairs), "likely"), sets, percent), "links")
+        pairs = stored(pairs.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a")).select("a", "b"), "pairs")
+        found = stored(_confirmed(pairs, sets, percent), "links")
         tested, links = (pairs, found) if tested is None else (tested.unionByName(pairs), links.unionByName(found))
         components = connected_components(links)
 
