@@ -7,22 +7,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import langid, minhash, packing, quality
-from tidemark.llm.common import table
+from tidemark.llm.common import arrow_bytes, table
 from tidemark.session import stored
 
 #: SQL has no trained models or tokenizers.
 ORACLE_SQL = None
 
 
+def few_bytes(spark: SparkSession) -> None:
+    """From now on texts go to Python about a megabyte at a time. It stays so, as the rows of a stage are made when they are read."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 1 << 20)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has an identified language. Null texts and texts without a letter go."""
     model = langid.fit_languages(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), F.lit(True))
+    few_bytes(spark)
     return langid.keep_identified(docs, model)
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the trained verdict."""
     model = quality.fit_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.lit(True))
+    few_bytes(spark)
     return quality.keep_good(docs, model)
 
 
@@ -34,7 +41,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all documents in sequences of 4096 tokens."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    with arrow_bytes(spark):
+        return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [("language_id", identify_language), ("quality_rules", apply_quality_rules), ("near_dedup", drop_near_duplicates), ("packing", pack)]
@@ -43,6 +51,7 @@ STAGES = [("language_id", identify_language), ("quality_rules", apply_quality_ru
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each one's rows are written and read again by the next."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    with arrow_bytes(spark):  # the session's own setting is back in the end
+        for name, stage in STAGES:
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -7,6 +7,8 @@ from test_quality import by_hand
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from tidemark import session
+from tidemark.llm import minhash
 
 SF = "/root/testdata/sf0.001"
 
@@ -39,6 +41,32 @@ def test_rows_without_key_and_repeated_rows(spark):
     assert sorted(((r.doc_id or 0, r.text is None) for r in out)) == [(0, False), (0, True), (1, False), (3, True)]
 
 
+def test_few_bytes_of_texts_are_with_python(spark, monkeypatch):
+    """Batches for Python are bounded by bytes while the rows of a stage are made; after the run they are as before."""
+    limit, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+
+    def noted(df, name, write=session.stored):
+        seen.append(int(spark.conf.get(limit)))
+        return write(df, name)
+
+    text = " ".join(f"word{i}" for i in range(80))
+    docs = spark.createDataFrame([(1, text, "en"), (2, text, "en"), (3, None, "en")], "doc_id long, text string, lang string")
+    tables = {"documents": docs, "labels": spark.createDataFrame([], "doc_id long, quality int")}
+    monkeypatch.setattr(corpus_pipeline, "table", lambda spark, sf_dir, name: tables[name])
+    for module in (corpus_pipeline, minhash):
+        monkeypatch.setattr(module, "stored", noted)
+    before = spark.conf.get(limit)
+    assert [r.doc_id for r in corpus_pipeline.run(spark, "").collect()] == [1]
+    assert len(seen) > len(corpus_pipeline.STAGES) and max(seen) <= 1 << 20 and spark.conf.get(limit) == before
+    try:
+        for _, stage in corpus_pipeline.STAGES[:2]:
+            spark.conf.set(limit, before)
+            rows = stage(spark, docs, "")
+            assert int(spark.conf.get(limit)) <= 1 << 20 and rows.count() == 2
+    finally:
+        spark.conf.set(limit, before)
+
+
 def test_registered():
     names = set(entry.queries())
     assert {"pipeline"} | {f"op{n}_" for n in range(1, 11)} <= {"pipeline"} | {n.split("_")[0] + "_" for n in names if n.startswith("op")}

@@ -28,13 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keyed_texts, slices
+from tidemark.llm.common import arrow_batches, arrow_bytes, keyed_texts, slices
 from tidemark.llm.components import connected_components
 from tidemark.llm.filters import KeyFilter, key_filter
 from tidemark.session import stored
 
 ROUNDS = 2  # in which every class is compared with one other that has a band in common
 ROWS, GROUPS = 7, 36  # 36 groups of 7 permutations: 36 bands of minima and 36 of maxima
+ROWS_AT_ONCE = 1000  # in a batch for Python; whole texts and sets stand in them or wait beside them
 COUNTERS = 1 << 20  # hashed counts by which shingles are ordered; the order only has to be the same everywhere
 CHUNK = 1024
 _RANDOM = np.random.default_rng(20240229)
@@ -228,7 +229,15 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 2, percent: int = 80)
 
     A pair at exactly 80 percent shares no band with a chance of 5e-8; all pairs with a band are
     found. Shingles are compared as 64-bit hashes.
+
+    Texts and sets go to Python about a megabyte at a time.
     """
+    with arrow_bytes(docs.sparkSession), arrow_batches(docs.sparkSession, ROWS_AT_ONCE):
+        return _near_duplicates(docs, shingle_words, percent)
+
+
+def _near_duplicates(docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
+    """All jobs that use Python run before it returns; what is left of the plan has joins only."""
     spark = docs.sparkSession
     texts = keyed_texts(docs)
     signed = stored(_signed(texts, shingle_words), "signed")
