@@ -2,10 +2,12 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import collocations
+from tidemark.llm.filters import KeyFilter, key_filter
 
 
 def brute(rows, longest=5, least=100, most=2000):
@@ -65,6 +67,32 @@ def test_late_words_complete_a_cycle(spark):
     assert found(spark, rows, least=30) == brute(rows, least=30)
 
 
+def test_phrases_of_one_text_get_their_words(spark):
+    """Each phrase is in one text only, so every part of the texts has some."""
+    rows = [(i, "en" if i % 3 else "de", f"p{i} q{i} r{i}, " * 7) for i in range(60)]
+    want = brute(rows, least=7)
+    assert len(want) == 60 and found(spark, rows, least=7) == want
+
+
+def test_a_task_spells_a_phrase_once(spark):
+    """However many blocks it is in; only what is wanted, known or not, is spelled."""
+    text = "aa bb cc, dd ee. " * 220_000
+    assert len(text) > 3 * collocations.BLOCK
+    every = KeyFilter(np.full(1, ~np.uint64(0)))
+    texts = spark.createDataFrame([(1, "en", text)], "doc_id long, lang string, text string").coalesce(1)
+    got = collocations._spelled(texts, 3, every, every).collect()
+    assert sorted(r.phrase for r in got) == ["", "aa", "aa bb", "aa bb cc", "bb", "bb cc", "cc", "dd", "dd ee", "ee"]
+    only = [r.key for r in got if r.phrase == "bb cc"]
+    got = collocations._spelled(texts, 3, every, key_filter(spark.createDataFrame([(only[0],)], "key long"))).collect()
+    assert "bb cc" in {r.phrase for r in got} and len(got) < 10
+
+
+def test_keys_that_share_a_place_are_told_again():
+    told = collocations.Told(2)
+    for keys, new in (([0, 1 << 62], [True, True]), ([1, 1 << 62], [True, False]), ([0, 3 << 62], [True, True]), ([0], [False])):
+        assert told.new(np.array(keys, np.uint64)).tolist() == new
+
+
 def test_blocks_see_every_phrase_once():
     text = [b"a b c d e f g, h i j k l", b"m n o p q r s t u v w x y z " * 3]
     whole = [w for words, new in collocations.blocks(text, 5) for w in words]

@@ -11,7 +11,9 @@ not active. That does no harm: a phrase is counted in a shard wholly or not at a
 in a shard is the same whenever it is taken, and totals take each shard once.
 
 Phrases are 64-bit hashes of language and words while they are counted. Texts are split and
-hashed once, into the shards; one last pass over them gives the frequent phrases their words.
+hashed once, into the shards. In the end the frequent phrases get their words from the texts, a
+small part of which has nearly all of them; the other texts are only read for phrases that have
+not been met.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ BLOCK = 1 << 20  # bytes of text split into words at once, one row of a shard
 TEXTS_AT_ONCE, BLOCKS_AT_ONCE = 64, 4  # rows in a batch for Python
 HELD = 1 << 23  # bytes of texts that wait for their block to fill
 CACHE_BYTES = 1 << 25
+TOLD_BITS = 18  # of the table by which a task knows phrases that it has spelled
+PARTS = ((0, 1), (1, 8), (8, 32))  # 32nds of the texts that are read for the words of phrases, one part after the other
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNDETERMINED = "und"
 
@@ -164,21 +168,40 @@ def _counts(k: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), k, np.int8)), pa.array(keys.view(np.int64)), pa.array(counts, pa.int64())], names=["k", "key", "c"])
 
 
-def _spelled(texts: DataFrame, longest: int, known: KeyFilter) -> DataFrame:
-    """lang, k, key and words of the known phrases (and, of length 0, of the languages)."""
+class Told:
+    """The keys last seen by this task, one for each place of a table of fixed size."""
+
+    def __init__(self, bits: int = TOLD_BITS):
+        self.shift = np.uint64(64 - bits)
+        self.keys = np.arange(1, (1 << bits) + 1, dtype=np.uint64) << self.shift  # none in its own place
+
+    def new(self, keys: np.ndarray) -> np.ndarray:
+        """Which of the distinct keys are not in the table; now they are."""
+        place = (keys >> self.shift).astype(np.int64)
+        new = self.keys[place] != keys
+        self.keys[place[new]] = keys[new]
+        return new
+
+
+def _spelled(texts: DataFrame, longest: int, known: KeyFilter, wanted: KeyFilter) -> DataFrame:
+    """lang, k, key and words of the wanted ones of the known phrases (and, of length 0, of the languages).
+
+    Most of them once for each task, some of them more often.
+    """
 
     def run(batches):
-        cache, told = WordHashes(), set()
+        cache, languages, told = WordHashes(), set(), Told()
         for (lang,), words, hashes, new in _split(batches, ["lang"], longest, cache):
-            if lang not in told:
-                told.add(lang)
+            if lang not in languages:
+                languages.add(lang)
                 yield _named(lang, 0, np.array([language_key(lang)], np.uint64), [""])
             for k, places, keys in phrases(hashes, new, lang, longest, known, None):
-                keys, first = np.unique(keys, return_index=True)
-                held = known.may_hold(keys)
-                yield _named(lang, k, keys[held], [b" ".join(words[p : p + k]).decode("utf-8", "replace") for p in places[first[held]]])
+                held = known.may_hold(keys) & wanted.may_hold(keys)
+                keys, first = np.unique(keys[held], return_index=True)
+                fresh = told.new(keys)
+                yield _named(lang, k, keys[fresh], [b" ".join(words[p : p + k]).decode("utf-8", "replace") for p in places[held][first[fresh]]])
 
-    return texts.select("lang", "text").mapInArrow(run, "lang string, k byte, key long, phrase string").distinct()
+    return texts.select("lang", "text").mapInArrow(run, "lang string, k byte, key long, phrase string")
 
 
 def _named(lang: str, k: int, keys: np.ndarray, named: list[str]) -> pa.RecordBatch:
@@ -201,9 +224,10 @@ def frequent_phrases(docs: DataFrame, longest: int = 5, least: int = 100, shards
     spark = docs.sparkSession
     path = new_table_path(spark, "phrase-shards")
     texts = docs.filter("text is not null").select(F.coalesce(F.col("lang").cast("string"), F.lit(UNDETERMINED)).alias("lang"), F.col("text").cast("string").alias("text"), F.col("doc_id"))
-    dealt = texts.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards).cast("long")).cast("int"))
+    mixed = F.xxhash64("doc_id", "text")
+    dealt = texts.withColumn("shard", F.pmod(mixed, F.lit(shards).cast("long")).cast("int"))
     with arrow_batches(spark, TEXTS_AT_ONCE):
-        _hashed(dealt, longest).write.partitionBy("shard").parquet(path)
+        _hashed(dealt, longest).write.partitionBy("shard").option("compression", "zstd").parquet(path)  # words that recur far apart take few bytes
     table = spark.read.schema("lang string, new long, hashes binary, shard int").parquet(path)
     reached = spark.createDataFrame([], "k byte, key long, f long, stop int")
     held = spark.createDataFrame([], "k byte, key long, shard int, c long")  # counts, shard by shard, of phrases that have their share in one
@@ -231,9 +255,16 @@ def frequent_phrases(docs: DataFrame, longest: int = 5, least: int = 100, shards
         reached = stored(totals.join(reached.select("k", "key", "stop"), ["k", "key"], "left").select("k", "key", "f", F.coalesce("stop", F.lit(step)).alias("stop")), "reached")
         last = [*last, counts][1 - shards :] if shards > 1 else []
         step += 1
-    spelled = _spelled(texts, longest, key_filter(reached)).join(reached.select("k", "key", "f"), ["k", "key"])
-    with arrow_batches(spark, TEXTS_AT_ONCE):
-        return stored(spelled.select("lang", F.col("k").cast("int").alias("k"), "phrase", "f"), "phrases")
+    known, wanted, found = key_filter(reached), reached.select("k", "key", "f"), []
+    for start, end in PARTS:
+        some = texts.filter(F.shiftrightunsigned(mixed, 59).between(start, end - 1))
+        with arrow_batches(spark, TEXTS_AT_ONCE):
+            spelled = _spelled(some, longest, known, key_filter(wanted)).distinct()
+            found.append(stored(spelled.join(wanted, ["k", "key"]), "phrases"))
+        wanted = stored(wanted.join(found[-1], ["k", "key"], "left_anti"), "unspelled")
+        if wanted.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, found).select("lang", F.col("k").cast("int").alias("k"), "phrase", "f")
 
 
 def collocations(docs: DataFrame, longest: int = 5, least: int = 100, most: int = 2000, shards: int = 2) -> DataFrame:
