@@ -204,6 +204,49 @@ def test_carried_states_equal_a_full_run(spark, rows, exits):
         fe.build_features(cohort, events, plain, DATES, carried=state)
 
 
+def dealt(monkeypatch, rows_per_task):
+    monkeypatch.setattr("tidemark.session.ROWS_PER_TASK", rows_per_task, raising=False)
+
+
+@pytest.mark.parametrize("spec", [SPEC, STATES, fe.FeatureSource("events", "x", "event_date", states=STATES.states[:6], expressions=STATES.expressions[:6])])
+def test_features_of_many_tasks_equal_those_of_one(spark, rows, exits, monkeypatch, spec):
+    events, cohort = make(spark, [*rows, (None, DATES[0], "s0", 1), (2, None, "s0", 1), (3, DATES[0], None, None)], exits)
+    want = as_dict(fe.build_features(cohort, events, spec, DATES))
+    state = fe.history_state(events, spec, DATES[0]).values
+    kept = {r.entity_id: (r.n, r.var__s, r.late) for r in state.collect()} if spec.states else None
+    dealt(monkeypatch, 100)
+    for chunk in (100, 4):
+        got = as_dict(fe.build_features(cohort, events, spec, DATES, chunk))
+        assert got == {k: pytest.approx(v, abs=1e-9) for k, v in want.items()}
+    if spec.states:
+        state = fe.history_state(events, spec, DATES[0]).values
+        assert {r.entity_id: (r.n, r.var__s, r.late) for r in state.collect()} == kept
+
+
+@pytest.mark.parametrize("kept", ["windows", "history"])
+def test_tasks_go_with_the_rows(spark, monkeypatch, kept):
+    """No task gets a share of the keys that grows with the input, also if the scan is one task and rows are narrow."""
+    dealt(monkeypatch, 2000)
+    events = spark.range(30_000).select((F.col("id") % 15_000).alias("entity_id"), F.lit(DATES[0]).alias("event_date"), F.lit("s0").alias("source"), F.lit(1).alias("amount")).coalesce(1)
+    cohort = events.select("entity_id", F.explode(F.array(*map(F.lit, DATES[1:]))).alias("as_of_date")).distinct()
+    spec = fe.FeatureSource("events", "e", "event_date", **{kept: getattr(SPEC, kept)})
+    out = fe.build_features(cohort, events, spec, DATES).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in out) == 45_000
+    assert max(r["count"] for r in out) < 9_000
+
+
+def test_a_hot_entity_is_combined_in_several_tasks(spark, monkeypatch):
+    """Its rows leave a task as one per date and ring, and no task has a third of them."""
+    events = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("entity_id"), F.lit(DATES[0]).alias("event_date"), F.lit("s0").alias("source"), F.col("id").cast("int").alias("amount"))
+    spec = fe.FeatureSource("events", "e", "event_date", windows=SPEC.windows)
+    rows, _ = fe._rings(events, spec, fe._pieces(spec), DATES, True, None, 16)
+    hot = rows.where("entity_id = -1").select("*", F.spark_partition_id().alias("p")).collect()
+    name = next(c for c in rows.columns if c.startswith("_m"))
+    assert len(hot) <= fe.PARTS_PER_ENTITY * len(DATES[1:]) and len({r.p for r in hot}) >= 8
+    total = {d: sum(r[name] or 0 for r in hot if r.as_of_date == d) for d in DATES[1:]}
+    assert set(total.values()) <= {0, sum(range(0, 30_000, 3))} and total[DATES[1]]
+
+
 def test_no_row_goes_to_every_later_date(spark, rows, exits):
     """Rows of all history leave the fan-out once; only those inside a window come more often."""
     events, cohort = make(spark, rows, exits)

@@ -18,6 +18,9 @@ row goes to more than one date for them. States can be stored (``history_state``
 to later dates, for which only newer rows are then read.
 
 The cohort keys join in by union before the aggregate, so no join is needed.
+
+An aggregate holds a row per key of its task. A source's rows are therefore counted as they fan
+out and dealt to a number of tasks that goes with the count, whatever the splits of its scan.
 """
 
 from __future__ import annotations
@@ -31,9 +34,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.dates import Interval, fan_out, to_date
-from tidemark.session import stored
+from tidemark.session import gathered, stored, tasks_for
 
 KEYS = ["entity_id", "as_of_date"]
+#: parts of an entity's rows that are combined apart if a source needs several tasks
+PARTS_PER_ENTITY = 32
 
 
 @dataclass(frozen=True)
@@ -301,8 +306,9 @@ def history_state(source: DataFrame, spec: FeatureSource, as_of: date | str, ear
     With earlier states only rows since then are read. To be stored before they are carried on.
     """
     as_of = to_date(as_of)
-    _, running = pieces = _pieces(spec)
-    rows, _ = _rings(source, spec, ({}, pieces[1]), [as_of], False, earlier and earlier.since)
+    _, running = _pieces(spec)
+    pieces = {}, running
+    rows, _ = _rings(source, spec, pieces, [as_of], False, earlier and earlier.since, _tasks(source, spec, pieces, [as_of], earlier and earlier.since))
     others, merge, firsts = _state_rows(spec, source, [as_of], earlier)
     merge = {n: fn for n, (fn, _) in running.items()} | merge
     rows = rows.select("entity_id", *running)
@@ -332,13 +338,8 @@ def _shorter(interval: Interval, spans: Sequence[Interval], days: Sequence[date]
     return F.element_at(F.create_map(*[F.lit(x) for d, n in counts.items() for x in (d, n)]), F.col("as_of_date"))
 
 
-def _rings(source: DataFrame, spec: FeatureSource, pieces: tuple[dict, dict], days: Sequence[date], by_ring: bool, since: date | None = None) -> tuple[DataFrame, dict[str, Column]]:
-    """Rows of one source by (entity, as-of date), and what each bounded column takes from them.
-
-    ``by_ring`` first sums rows per ring: how many of the intervals do not reach back to a row.
-    There is then one column per measure, and few rows per key, however many columns there are.
-    Running columns take only rows since ``since``, and older rows beyond all windows stay unread.
-    """
+def _reach(source: DataFrame, spec: FeatureSource, pieces: tuple[dict, dict], days: Sequence[date], since: date | None):
+    """The rows that any date needs, the dates, which of them a row goes to, and for which it is new."""
     bounded, running = pieces
     intervals = list(dict.fromkeys(iv for _, _, iv, _ in bounded.values()))
     dates = [
@@ -354,20 +355,50 @@ def _rings(source: DataFrame, spec: FeatureSource, pieces: tuple[dict, dict], da
     known = _prepared(source, spec).where(day < F.lit(days[-1]))
     if since:
         known = known.where(day >= F.lit(min(since, dates[0]["lo"])))
+    return known, dates, keep, newer
+
+
+def _tasks(source: DataFrame, spec: FeatureSource, pieces: tuple[dict, dict], days: Sequence[date], since: date | None = None) -> int:
+    """How many tasks the rows of a source need once they have fanned out."""
+    known, dates, keep, _ = _reach(source, spec, pieces, days, since)
+    return tasks_for(fan_out(known, ["_day"], dates, keep).count())
+
+
+def _rings(
+    source: DataFrame, spec: FeatureSource, pieces: tuple[dict, dict], days: Sequence[date], by_ring: bool, since: date | None = None, tasks: int = 1
+) -> tuple[DataFrame, dict[str, Column]]:
+    """Rows of one source by (entity, as-of date), and what each bounded column takes from them.
+
+    ``by_ring`` first sums rows per ring: how many of the intervals do not reach back to a row.
+    There is then one column per measure, and few rows per key, however many columns there are.
+    Running columns take only rows since ``since``, and older rows beyond all windows stay unread.
+    With several ``tasks`` rows are dealt to them by entity and part of its rows before they fan
+    out, and combined there, so a hot entity is neither one task's nor sent on row by row.
+    """
+    bounded, running = pieces
+    intervals = list(dict.fromkeys(iv for _, _, iv, _ in bounded.values()))
+    known, dates, keep, newer = _reach(source, spec, pieces, days, since)
+    day = F.col("_day")
     measures = {m: (f"_m{i}", fn, v) for i, (m, (fn, v)) in enumerate({m: (fn, v) for fn, v, _, m in bounded.values()}.items())}
     inputs = [v.alias(n) for n, _, v in measures.values()] + [v.alias(n) for n, (_, v) in running.items()]
-    fanned = fan_out(known, ["entity_id", "_day", *inputs], dates, keep)
+    known, sub = known.select("entity_id", "_day", *inputs), []
+    if tasks > 1:
+        sub = ["_sub"]
+        part = F.pmod(F.xxhash64(*known.columns), F.lit(PARTS_PER_ENTITY))
+        known = known.withColumn("_sub", part).repartition(tasks, "entity_id", "_sub")
+    fanned = fan_out(known, known.columns, dates, keep)
     as_of = F.col("_w.as_of")
     started = [F.when(newer(F.col("_w")), F.col(n)).alias(n) for n in running]
     names = [n for n, _, _ in measures.values()]
+    merged = [_MERGE[fn](n).alias(n) for n, fn, _ in measures.values()] + [_MERGE[fn](n).alias(n) for n, (fn, _) in running.items()]
     if not by_ring:
-        rows = fanned.select("entity_id", as_of.alias("as_of_date"), "_day", *names, *started)
+        rows = fanned.select("entity_id", as_of.alias("as_of_date"), *sub, "_day", *names, *started)
+        if sub:
+            rows = rows.groupBy(*KEYS, *sub, *(["_day"] if names else [])).agg(*merged).drop(*sub)
         return rows, {n: F.when(day >= iv.before_col(F.col("as_of_date")), F.col(measures[m][0])) for n, (_, _, iv, m) in bounded.items()}
     ring = sum((F.when(iv.before_col(as_of) > day, 1).otherwise(0) for iv in intervals), F.lit(0))
-    rows = fanned.select("entity_id", as_of.alias("as_of_date"), ring.alias("_ring"), *names, *started)
-    rows = rows.groupBy(*KEYS, "_ring").agg(
-        *[_MERGE[fn](n).alias(n) for n, fn, _ in measures.values()], *[_MERGE[fn](n).alias(n) for n, (fn, _) in running.items()]
-    )
+    rows = fanned.select("entity_id", as_of.alias("as_of_date"), ring.alias("_ring"), *sub, *names, *started)
+    rows = rows.groupBy(*KEYS, "_ring", *sub).agg(*merged).drop(*sub)
     inside = {iv: F.col("_ring") <= _shorter(iv, intervals, days) for iv in intervals}
     return rows, {n: F.when(inside[iv], F.col(measures[m][0])) for n, (_, _, iv, m) in bounded.items()}
 
@@ -396,7 +427,9 @@ def aggregate_features(
     others, merge, _ = _state_rows(spec, source, days, carried)
     merge = {n: fn for n, (fn, _) in running.items()} | merge
     if bounded or merge:
-        rows, parts = _rings(source, spec, pieces, days, bool(bounded), carried and carried.since)
+        since = carried and carried.since
+        tasks = _tasks(source, spec, pieces, days, since)
+        rows, parts = _rings(source, spec, pieces, days, bool(bounded), since, tasks)
         names = list(bounded)
         groups = [names[i : i + columns_per_aggregate] for i in range(0, len(names), columns_per_aggregate)] or [[]]
         if len(groups) > 1:
@@ -405,12 +438,12 @@ def aggregate_features(
         merged = []
         for i, group in enumerate(groups):
             started = merge if i == 0 else {}
-            part = rows.select(*KEYS, F.lit(None).cast("boolean").alias("_key"), *[parts[n].alias(n) for n in group], *(running if i == 0 else ()))
-            part = part.unionByName(marked, allowMissingColumns=True)
+            part = (rows if i == 0 else rows.drop(*running)).unionByName(marked, allowMissingColumns=True)
             if i == 0 and others is not None:
                 part = part.unionByName(others, allowMissingColumns=True)
             if i == 0 and carried:
                 part = part.unionByName(carried.values.withColumn("as_of_date", F.lit(days[0])), allowMissingColumns=True)
+            part = gathered(part, tasks, "entity_id").select(*KEYS, "_key", *[parts[n].alias(n) for n in group], *started)
             part = part.groupBy(*KEYS).agg(
                 F.max("_key").alias("_key"),
                 *[_MERGE[bounded[n][0]](n).alias(n) for n in group],

@@ -14,7 +14,7 @@ from tidemark.plans.stages import Stages, data_version, stage_key
 from tidemark.queries import base as b
 from tidemark.queries import etl
 from tidemark.queries.base import register, t
-from tidemark.session import new_table_path
+from tidemark.session import new_table_path, stored
 
 KEYS = ["entity_id", "as_of_date"]
 
@@ -370,7 +370,9 @@ def _(spark, sf):
         ),
         history=(HistoryFeature("days_since_first", "days_since_first", impute=999999),),
     )
-    return fe.build_features(cohort(spark, sf), cf.conform_episodes(etl.episode_parts(spark, sf)), spec, b.DATES)
+    # no feature takes the source; the rows are counted and then dealt out
+    episodes = stored(cf.conform_episodes(etl.episode_parts(spark, sf)).drop("source"), "episodes")
+    return fe.build_features(cohort(spark, sf), episodes, spec, b.DATES)
 
 
 @register(
@@ -384,7 +386,8 @@ def _(spark, sf):
 def _(spark, sf):
     east = FeatureSource("orders", "ord", "o_orderdate", segment="east")
     columns = fe.columns_for_segment([east, WEST_ONLY], "west")
-    return fe.build_features(cohort(spark, sf), item_source(spark, sf), WEST_ONLY, b.DATES).select(*KEYS, *columns)
+    items = stored(item_source(spark, sf).select("entity_id", "l_shipdate", "l_quantity"), "items")
+    return fe.build_features(cohort(spark, sf), items, WEST_ONLY, b.DATES).select(*KEYS, *columns)
 
 
 # ---- from events to precision at k -----------------------------------------------------
