@@ -308,3 +308,28 @@ def test_label_groups():
     assert co.label_table_name(co.label_group_of(["y", "x"], groups), "both") == "label_one_two_only_both"
     with pytest.raises(ValueError):
         co.label_group_of(["z"], groups)
+
+
+@pytest.mark.parametrize("query", ["t10_interval_aggregates", "t17_t18_episodes"])
+def test_queries_in_many_tasks(spark, tmp_path, monkeypatch, query):
+    """The same rows as in one task, and no task with a large share of them."""
+    from tidemark.queries import load_all
+
+    day = lambda n: F.timestamp_add("DAY", n.cast("int"), F.lit("1997-06-01").cast("timestamp"))
+    orders = spark.range(12_000).select(
+        F.col("id").alias("o_orderkey"), F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 4_000).alias("o_custkey"), F.lit("F").alias("o_orderstatus"),
+        (F.col("id") * 7 % 400_000).cast("double").alias("o_totalprice"), day(F.col("id") * 37 % 1200).alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority"),
+    )
+    items = orders.select(
+        F.col("o_orderkey").alias("l_orderkey"), F.timestamp_add("DAY", (F.col("o_orderkey") % 90).cast("int"), F.col("o_orderdate")).alias("l_shipdate"),
+        F.when(F.col("o_orderkey") % 5 == 0, "R").otherwise("N").alias("l_returnflag"), (F.col("o_orderkey") % 50).cast("double").alias("l_quantity"),
+    )
+    for name, df in (("orders", orders), ("lineitem", items)):
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    run = load_all()[0][query]
+    want = sorted(map(tuple, run(spark, str(tmp_path)).collect()))
+    dealt(monkeypatch, 1000)
+    got = run(spark, str(tmp_path)).withColumn("p", F.spark_partition_id()).collect()
+    assert sorted(tuple(r)[:-1] for r in got) == want and len(want) > 5_000
+    sizes = [sum(r.p == p for r in got) for p in {r.p for r in got}]
+    assert max(sizes) < len(got) / 4
