@@ -5,9 +5,11 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import spelling
 from tidemark.llm.filters import key_filter
+from tidemark.session import stored
 
 
 def lower(text):
@@ -104,3 +106,11 @@ def test_filter_denies_no_key(spark):
     assert held.may_hold(keys[:1000]).all() and held.may_hold(keys[1000:]).mean() < 0.05
     full = key_filter(spark.createDataFrame([(int(k),) for k in keys], "key long"), most_bits=64)
     assert full.may_hold(keys).all()
+
+
+def test_neighbours_are_joined_by_exchange(spark):
+    # a small file, of which each word has many neighbours: Spark's estimate says broadcast
+    words = stored(spelling._with_hashes(spark.range(300).select(F.concat(F.lit("wort"), F.col("id").cast("string")).alias("word"), F.col("id").alias("n"))), "words")
+    near = spelling.near_words(words)
+    assert "Broadcast" not in near._jdf.queryExecution().executedPlan().toString()
+    assert {(r.word, r.near) for r in near.collect()} == {(f"wort{a}", f"wort{b}") for a in range(300) for b in range(300) if one_edit(str(a), str(b))}

@@ -151,8 +151,11 @@ def vocabulary(docs: DataFrame, least_length: int = 5, least_count: int = 3, sli
 
 
 def near_words(words: DataFrame) -> DataFrame:
-    """word, near and near_n: every ordered pair of words of the table (word, n, key) at exactly one edit, once."""
-    other = words.select("key", F.col("word").alias("near"), F.col("n").alias("near_n"))
+    """word, near and near_n: every ordered pair of words of the table (word, n, key) at exactly one edit, once.
+
+    Spark takes the neighbours to be no more than the words, so it is told not to broadcast them.
+    """
+    other = words.select("key", F.col("word").alias("near"), F.col("n").alias("near_n")).hint("merge")
     edit = (F.col("word") != F.col("near")) & (F.levenshtein("word", "near", 1) == 1)
     return _neighbours(words, key_filter(words)).join(other, "key").filter(edit).select("word", "near", "near_n")
 
@@ -161,7 +164,7 @@ def roots(links: DataFrame) -> DataFrame:
     """word and root: the end of each word's chain of forms, by pointer jumping. ``links`` is (word, form), without cycles."""
     held = stored(links.select("word", F.col("form").alias("root")), "roots")
     while True:
-        further = held.select(F.col("word").alias("root"), F.col("root").alias("next"))
+        further = held.select(F.col("word").alias("root"), F.col("root").alias("next")).hint("merge")  # a table's file is smaller than its rows
         new = stored(held.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
         held = new.select("word", "root")
         if new.filter("moved").isEmpty():
@@ -179,7 +182,7 @@ def spelling_variants(docs: DataFrame, least_length: int = 5, least_count: int =
     words = stored(_with_hashes(vocabulary(docs, least_length, least_count, slip)), "words")
     best = near_words(words).groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("n"), F.col("near").alias("form"))).alias("best"))
     telling = -F.col("best.n") >= 2 * F.col("n")
-    found = words.join(best, "word", "left").select(
+    found = words.join(best.hint("merge"), "word", "left").select(
         "word",
         F.when(telling, F.col("best.form")).alias("form"),
         "n",
@@ -187,7 +190,7 @@ def spelling_variants(docs: DataFrame, least_length: int = 5, least_count: int =
         F.when(telling, -F.col("best.n")).alias("form_n"),
     )
     found = stored(found, "forms")
-    ends = roots(found.filter("form is not null"))
+    ends = roots(found.filter("form is not null")).hint("merge")
     return found.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
