@@ -3,7 +3,9 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tidemark.llm import collocations
@@ -121,3 +123,12 @@ def test_odd_rows(spark, odd_docs, no_docs):
     got = collocations.collocations(odd).collect()
     assert set(map(tuple, got)) == brute(rows) and got
     assert collocations.collocations(no_docs.withColumn("lang", F.lit("en"))).count() == 0
+
+
+def test_tasks_hold_a_filter_once(spark):
+    held = key_filter(spark.range(100_000).select(F.xxhash64("id").alias("key")))
+    assert held.words.nbytes >= 1 << 17
+    assert len(cloudpickle.dumps(held)) < 1000  # a function that has it is as small
+    sure = spark.range(1000).select(F.xxhash64("id").alias("key"))
+    found = sure.mapInArrow(lambda batches: (b.filter(pa.array(held.may_hold(b.column(0).to_numpy()))) for b in batches), "key long")
+    assert found.count() == 1000

@@ -27,15 +27,16 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_batches, slices
+from tidemark.llm.common import arrow_batches, read_batches, slices
 from tidemark.llm.filters import KeyFilter, key_filter
 from tidemark.session import new_table_path, stored
 
 SEPARATORS = bytes.maketrans(b"\t.,;:!?\x0b\x0c\r", b" " + b"\n" * 9)
 BLANK = re.compile(rb"[ \n]")
-BLOCK = 1 << 20  # bytes of text split into words at once, one row of a shard
-TEXTS_AT_ONCE, BLOCKS_AT_ONCE = 64, 4  # rows in a batch for Python
-HELD = 1 << 23  # bytes of texts that wait for their block to fill
+BLOCK = 1 << 19  # bytes of text split into words at once, one row of a shard
+TEXTS_AT_ONCE, BLOCKS_AT_ONCE = 64, 1  # rows in a batch for Python
+BLOCKS_READ = 16  # rows of a shard that its reader holds at once
+HELD = 1 << 22  # bytes of texts that wait for their block to fill
 CACHE_BYTES = 1 << 25
 TOLD_BITS = 18  # of the table by which a task knows phrases that it has spelled
 PARTS = ((0, 1), (1, 8), (8, 32))  # 32nds of the texts that are read for the words of phrases, one part after the other
@@ -240,7 +241,7 @@ def frequent_phrases(docs: DataFrame, longest: int = 5, least: int = 100, shards
             break
         shard = step % shards
         counts = _scan(table.filter(F.col("shard") == shard), longest, key_filter(before), key_filter(recent), step < shards)
-        with arrow_batches(spark, BLOCKS_AT_ONCE):
+        with arrow_batches(spark, BLOCKS_AT_ONCE), read_batches(spark, BLOCKS_READ):
             counts = stored(counts, "phrase-counts").withColumn("shard", F.lit(shard))
         # what reaches the threshold in all shards reaches its share in one of them; what does so
         # now was active for at most a cycle
